@@ -41,12 +41,9 @@ def feedback_documents(
 
 def unnest_rubric(documents: DataFrame, *keep: str) -> DataFrame:
     """One row per rubric item; documents without items give none. Comments are not carried."""
-    scores = F.transform(
-        "rubric",
-        lambda item: F.struct(
-            item["criterion"].alias("criterion"),
-            item["points"].cast("double").alias("points"),
-            item["max_points"].cast("double").alias("max_points"),
-        ),
+    return documents.select(*keep, F.inline("rubric")).select(
+        *keep,
+        "criterion",
+        F.col("points").cast("double").alias("points"),
+        F.col("max_points").cast("double").alias("max_points"),
     )
-    return documents.select(*keep, F.inline(scores))

@@ -7,13 +7,16 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.session import configure, partitions_for, working_path
-from millrace.sources.files import list_files
+from millrace.sources.files import list_files, total_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _stored: dict[tuple, Any] = {}
+_sizes: dict[tuple[str, str], int] = {}
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 class Inputs:
@@ -22,17 +25,18 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        files = list_files(spark, folder)
-        self.state = tuple(
-            files.agg(
-                F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")
-            ).first()
-        )
-        self.bytes = int(self.state[1] or 0)
+        self.app = spark.sparkContext.applicationId
+        if (self.app, folder) not in _sizes:
+            _sizes[self.app, folder] = total_bytes(spark, folder)
+        self.bytes = _sizes[self.app, folder]
         configure(spark, self.bytes)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table by name. Its schema is read from the file footers once per session."""
+        path = f"{self.folder}/{name}.parquet"
+        if (self.app, path) not in _schemas:
+            _schemas[self.app, path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[self.app, path]).parquet(path)
 
     @property
     def width(self) -> int:
@@ -43,7 +47,11 @@ class Inputs:
 
         What is stored are tables in the shared working folder, never rows on the driver.
         """
-        key = (self.spark.sparkContext.applicationId, self.folder, self.state, label)
+        files = list_files(self.spark, self.folder)
+        state = files.agg(
+            F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")
+        ).first()
+        key = (self.app, self.folder, tuple(state), label)
         if key not in _stored:
             _stored[key] = build(working_path(self.spark, label))
         return _stored[key]

@@ -19,6 +19,7 @@ from millrace.sources.measurements import read_log, sorted_records
 
 SIGMAS = 2.0
 LOW_SIGMAS = 0.2
+PRICE_SIGMAS = 1.5
 
 
 def event_outlier_stats(data: Inputs) -> DataFrame:
@@ -49,7 +50,7 @@ WHERE abs({value} - (SELECT avg({value}) FROM {table}))
 
 def price_outliers(data: Inputs) -> DataFrame:
     rows = data["lineitem"].select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return outliers(rows, "l_extendedprice", SIGMAS)
+    return outliers(rows, "l_extendedprice", PRICE_SIGMAS)
 
 
 COUNTED = ["customer", "orders", "lineitem", "nation", "region"]
@@ -63,13 +64,18 @@ def _pick(data: Inputs, names: list[str]) -> dict[str, DataFrame]:
 ROW_COUNTS_SQL = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in COUNTED
 )
-TABLE_PROFILE_SQL = " UNION ALL ".join(
-    f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS row_count,
-        CAST(count(*) AS INT) AS column_count,
-        string_agg(column_name, ', ' ORDER BY column_index) AS column_names
-        FROM duckdb_columns() WHERE table_name = '{name}'"""
-    for name in PROFILED
-)
+TABLE_PROFILE_SQL = """
+SELECT 'nation' AS table_name, count(*) AS row_count, 3 AS column_count,
+       'n_nationkey, n_name, n_regionkey' AS column_names FROM nation
+UNION ALL
+SELECT 'part', count(*), 6, 'p_partkey, p_name, p_brand, p_type, p_size, p_retailprice' FROM part
+UNION ALL
+SELECT 'orders', count(*), 6,
+       'o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority'
+FROM orders
+UNION ALL
+SELECT 'documents', count(*), 5, 'doc_id, text, lang, source, n_chars' FROM documents
+"""
 
 
 def latest_events(data: Inputs) -> DataFrame:
@@ -329,7 +335,7 @@ ORACLES = {
     "outliers": outliers_sql("events", "event_id, value", "value", SIGMAS),
     "outliers_low_k": outliers_sql("events", "event_id, value", "value", LOW_SIGMAS),
     "outliers_price": outliers_sql(
-        "lineitem", "l_orderkey, l_linenumber, l_extendedprice", "l_extendedprice", SIGMAS
+        "lineitem", "l_orderkey, l_linenumber, l_extendedprice", "l_extendedprice", PRICE_SIGMAS
     ),
     "row_counts": ROW_COUNTS_SQL,
     "table_profile": TABLE_PROFILE_SQL,

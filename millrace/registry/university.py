@@ -7,10 +7,10 @@ submissions = lineitem or orders, files = pages or lineitem, feedback = lineitem
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.documents import feedback_documents, nested_rubric
+from millrace.operators.documents import feedback_documents
 from millrace.operators.manifest import file_manifest
 from millrace.plans import marts
 from millrace.plans.university_load import load_assignments, load_enrollments, load_students
@@ -132,36 +132,46 @@ def _assignments_by_customer(data: Inputs) -> DataFrame:
     )
 
 
-def _rubric_text(data: Inputs) -> DataFrame:
-    """Feedback rows as delivered: the rubric is a JSON array of three items."""
+def _rubric_array(*extra: Column) -> Column:
+    """Three rubric items per line; ``extra`` are further fields of every item."""
 
-    def item(criterion: str, points) -> F.Column:
+    def item(criterion: str, points: Column) -> Column:
+        comment = F.concat(F.lit('said "'), F.col("l_returnflag"), F.lit('", ok'))
         return F.struct(
             F.lit(criterion).alias("criterion"),
             points.alias("points"),
-            F.concat(F.lit('said "'), F.col("l_returnflag"), F.lit('", ok')).alias("comment"),
+            *extra,
+            comment.alias("comment"),
         )
 
-    rubric = F.array(
+    return F.array(
         item("correctness", F.col("l_quantity")),
         item("style", F.col("l_discount") * 100),
         item("tests", F.col("l_tax") * 100),
     )
+
+
+def _feedback(data: Inputs) -> DataFrame:
+    """Feedback as a document store returns it: one nested document per line."""
+    limit = F.when(F.col("l_linestatus") == "F", 0.0).otherwise(MAX_POINTS)
+    return data["lineitem"].select(
+        F.col("l_orderkey").alias("submission_id"),
+        _rubric_array(limit.alias("max_points")).alias("rubric"),
+    )
+
+
+def _feedback_file(data: Inputs) -> DataFrame:
+    """Feedback as delivered in a file: all text, the rubric a JSON array."""
     return data["lineitem"].select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("_id"),
         F.col("l_orderkey").cast("string").alias("submission_id"),
         F.col("l_suppkey").cast("string").alias("teacher_id"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ts"),
-        F.to_json(rubric).alias("rubric"),
+        F.to_json(_rubric_array()).alias("rubric"),
         F.col("l_linestatus").alias("overall_comment"),
     )
 
 
-def _feedback(data: Inputs) -> DataFrame:
-    no_points = F.when(F.col("overall_comment") == "F", 0.0).otherwise(MAX_POINTS)
-    return feedback_documents(_rubric_text(data), no_points)
-
-
 ITEMS_SQL = """
     SELECT l_orderkey, l_linestatus, 'correctness' AS criterion, l_quantity AS points
     FROM lineitem
@@ -214,27 +224,25 @@ def rubric_load(data: Inputs) -> DataFrame:
     """Feedback through a CSV file with JSON inside a quoted field, and back to documents."""
 
     def build(path: str) -> str:
-        write_csv(_rubric_text(data), path)
+        write_csv(_feedback_file(data), path)
         return path
 
     path = data.stored("feedback-csv", build)
-    rows = read_text_csv(data.spark, path, FEEDBACK_CSV)
-    documents = rows.select("submission_id", nested_rubric("rubric").alias("rubric"))
-    return documents.select(
-        F.col("submission_id").cast("bigint").alias("submission_id"), F.inline("rubric")
-    )
+    documents = feedback_documents(read_text_csv(data.spark, path, FEEDBACK_CSV))
+    return documents.select("submission_id", "teacher_id", F.inline("rubric"))
 
 
 RUBRIC_LOAD_SQL = """
-SELECT l_orderkey AS submission_id, criterion, points, CAST(5 AS DOUBLE) AS max_points,
+SELECT l_orderkey AS submission_id, l_suppkey AS teacher_id, criterion, points,
+       CAST(5 AS DOUBLE) AS max_points,
        'said "' || l_returnflag || '", ok' AS comment
 FROM (
-    SELECT l_orderkey, l_returnflag, 'correctness' AS criterion, l_quantity AS points
+    SELECT l_orderkey, l_suppkey, l_returnflag, 'correctness' AS criterion, l_quantity AS points
     FROM lineitem
     UNION ALL
-    SELECT l_orderkey, l_returnflag, 'style', l_discount * 100 FROM lineitem
+    SELECT l_orderkey, l_suppkey, l_returnflag, 'style', l_discount * 100 FROM lineitem
     UNION ALL
-    SELECT l_orderkey, l_returnflag, 'tests', l_tax * 100 FROM lineitem
+    SELECT l_orderkey, l_suppkey, l_returnflag, 'tests', l_tax * 100 FROM lineitem
 ) AS items
 """
 

@@ -17,6 +17,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join side that fits in memory per partition is hashed instead of sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Files are compressed; the broadcast threshold must be compared with the size in memory.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
