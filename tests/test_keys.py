@@ -1,0 +1,67 @@
+import os
+
+import pytest
+from plans_text import plan_text
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from millrace.operators.keys import assign_dense_ids, surrogate_keys
+from millrace.session import partitions_for, working_path, working_root
+from millrace.sinks.messages import to_messages
+
+
+def test_dense_ids_equal_a_global_row_number(spark):
+    df = spark.range(3000).select(
+        (F.col("id") * 7919 % 503).alias("a"), (F.col("id") * 31 % 6).cast("string").alias("b")
+    )
+    ids = surrogate_keys(df, ["a", "b"], "key")
+    expected = df.distinct().select(
+        F.row_number().over(Window.orderBy("a", "b")).cast("bigint").alias("key"), "a", "b"
+    )
+    assert sorted(ids.collect()) == sorted(expected.collect())
+
+
+def test_copies_of_one_row_get_one_key(spark):
+    hot = spark.range(9000).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
+    rest = spark.range(50).select(F.col("id").cast("int").alias("a"), F.lit("y").alias("b"))
+    rows = surrogate_keys(hot.union(rest), ["a", "b"], "key").orderBy("key").collect()
+    assert [row["key"] for row in rows] == list(range(1, 52))
+    assert [(r["a"], r["b"]) for r in rows] == sorted((r["a"], r["b"]) for r in rows)
+
+
+def test_start_nulls_and_other_columns(spark):
+    df = spark.createDataFrame([(2, "b"), (None, "c"), (1, "a")], "n int, t string")
+    rows = assign_dense_ids(df, ["n"], "id", start=0).orderBy("id").collect()
+    assert [tuple(row) for row in rows] == [(0, 1, "a"), (1, 2, "b"), (2, None, "c")]
+
+
+def test_empty_input(spark):
+    assert assign_dense_ids(spark.range(0), ["id"], "key").collect() == []
+
+
+def test_only_offsets_meet_in_one_task(spark):
+    text = plan_text(assign_dense_ids(spark.range(1000), ["id"], "key"))
+    single = text[text.index("SinglePartition") :]
+    assert text.count("SinglePartition") == 1 and "partial_count" in single
+
+
+def test_intermediates_go_to_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert working_root(spark) == shared
+    assert working_path(spark, "x").startswith(f"{shared}/millrace/x-")
+    assign_dense_ids(spark.range(10), ["id"], "key")
+    assert os.listdir(f"{shared.removeprefix('file:')}/millrace")
+
+
+def test_messages_are_numbered_in_input_order(spark):
+    df = spark.createDataFrame([(30, 1.5), (10, None), (20, 2.5)], "at int, v double")
+    rows = to_messages(df, ["at"], drop_order=True).orderBy("key").collect()
+    assert [tuple(row) for row in rows] == [("1", "{}"), ("2", '{"v":2.5}'), ("3", '{"v":1.5}')]
+
+
+@pytest.mark.parametrize(
+    "size, cores, expected",
+    [(0, 8, 8), (10 * 2**30, 8, 80), (100 * 2**40, 8000, 32768), (100 * 2**40, 50000, 50000)],
+)
+def test_shuffle_width_follows_the_input(size, cores, expected):
+    assert partitions_for(size, cores) == expected

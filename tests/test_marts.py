@@ -1,0 +1,317 @@
+import datetime
+from decimal import Decimal
+
+import pytest
+from plans_text import plan_text
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from millrace.operators.documents import feedback_documents, nested_rubric, unnest_rubric
+from millrace.operators.manifest import cast_columns, file_manifest, normalize_fields
+from millrace.plans import marts
+from millrace.plans.university_load import LOADERS, load_enrollments, load_university
+from millrace.sinks.files import write_csv
+from millrace.sinks.tables import replace_documents
+from millrace.sources.catalog import Catalog
+
+DUE = datetime.date(2025, 3, 10)
+
+
+def at(day, hour=12):
+    return datetime.datetime(2025, 3, day, hour)
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    def frame(schema, *data):
+        return spark.createDataFrame(list(data), schema)
+
+    return {
+        "courses": frame(
+            "course_id int, course_name string", (1, "C1"), (2, "C2"), (3, "C3"), (4, "C4")
+        ),
+        "students": frame(
+            "student_id int, group_name string", (10, "A"), (11, "A"), (12, "B")
+        ),
+        "assignments": frame(
+            "assignment_id int, course_id int, title string, due_dt date, max_score decimal(5,2)",
+            (100, 1, "t100", DUE, Decimal(50)),
+            (101, 1, "t101", DUE, Decimal(10)),
+            (102, 3, "t102", DUE, Decimal(50)),
+        ),
+        "enrollments": frame(
+            "course_id int, student_id int",
+            (1, 10), (1, 11), (1, 11), (3, 10), (3, 12), (2, 12),
+        ),
+        "submissions": frame(
+            "submission_id int, assignment_id int, student_id int, submitted_ts timestamp_ntz, "
+            "grade decimal(5,2)",
+            (1, 100, 10, at(8), Decimal(30)),      # early
+            (2, 100, 11, at(10, 23), Decimal(0)),  # same day
+            (3, 100, 12, at(12), Decimal(20)),     # two days late
+            (4, 101, 10, at(11), Decimal(6)),      # one day late
+            (5, 101, 11, at(9), Decimal(6)),
+            (6, 102, 12, at(15), Decimal(10)),     # five days late
+            (7, 102, 10, at(15), Decimal(12)),
+        ),
+        "manifest": frame(
+            "submission_id int, assignment_id int, file_name string, size_kb double, "
+            "size_bytes bigint, object_path string",
+            (1, 100, "a", 10.0, 10240, "s/a"), (1, 100, "b", 30.0, 30720, "s/b"),
+            (2, 101, "c", 10.0, 10240, "s/c"),     # same submission, other assignment
+            (4, 101, "d", 30.0, 30720, "s/d"),
+        ),
+        "feedback": spark.createDataFrame(
+            [
+                (1, [("correctness", 2.0, 5.0, "x"), ("style", 5.0, 5.0, None)]),
+                (2, [("correctness", 3.0, 5.0, ""), ("bonus", 1.0, 0.0, "y")]),
+                (3, []), (5, None), (99, [("correctness", 0.0, 5.0, "no submission")]),
+                (6, [("correctness", 4.0, 5.0, "z")]),
+            ],
+            "submission_id int, rubric array<struct<criterion: string, points: double, "
+            "max_points: double, comment: string>>",
+        ),
+    }
+
+
+def test_course_load(tables):
+    load = marts.course_load(tables["courses"], tables["enrollments"], tables["assignments"])
+    assert rows(load) == [
+        (1, "C1", 2, 2), (3, "C3", 2, 1), (2, "C2", 1, 0), (4, "C4", 0, 0),
+    ]
+
+
+def test_punctuality(tables):
+    report = marts.submission_punctuality(
+        tables["submissions"], tables["assignments"], tables["students"]
+    )
+    assert rows(report) == [
+        (1, "A", 4, 0.25, 0.25),
+        (1, "B", 1, 2.0, 1.0),
+        (3, "A", 1, 5.0, 1.0),
+        (3, "B", 1, 5.0, 1.0),
+    ]
+
+
+def test_grade_distribution(tables):
+    report = marts.grade_distribution(tables["submissions"], tables["assignments"])
+    assert rows(report) == [
+        (3, 102, "t102", 2, 11.0, 10.0, 0.0, 1.0, True),
+        # 6 / 10 is exactly 0.60, which is not below the limit
+        (1, 101, "t101", 2, 6.0, 6.0, 0.0, 0.5, False),
+        (1, 100, "t100", 3, 16.67, 20.0, 0.333, 0.333, False),
+    ]
+
+
+def test_hard_label_uses_the_rounded_values(spark):
+    assignments = spark.createDataFrame(
+        [(1, 1, "t", DUE, Decimal(10))],
+        "assignment_id int, course_id int, title string, due_dt date, max_score decimal(5,2)",
+    )
+    # mean 5.996 is shown as 6.00, so the assignment is not too hard
+    grades = [Decimal("5.99")] * 2 + [Decimal("6.00")] * 3
+    submissions = spark.createDataFrame(
+        [(i, 1, i, at(20), grade) for i, grade in enumerate(grades)],
+        "submission_id int, assignment_id int, student_id int, submitted_ts timestamp_ntz, "
+        "grade decimal(5,2)",
+    )
+    row = marts.grade_distribution(submissions, assignments).first()
+    assert (row["avg_grade"], row["is_too_hard"]) == (6.0, False)
+
+
+def test_rubric_items_and_evaluation(tables):
+    items = marts.rubric_items(tables["submissions"], tables["assignments"], tables["feedback"])
+    assert sorted(rows(items)) == [
+        (1, 100, 1, "correctness", 2.0, 5.0),
+        (1, 100, 1, "style", 5.0, 5.0),
+        (1, 100, 2, "bonus", 1.0, 0.0),
+        (1, 100, 2, "correctness", 3.0, 5.0),
+        (3, 102, 6, "correctness", 4.0, 5.0),
+    ]
+    assert rows(marts.rubric_evaluation(items)) == [
+        ("correctness", 3, 3.0, 0.6, 0.333),
+        ("bonus", 1, 1.0, None, 0.0),
+        ("style", 1, 5.0, 1.0, 0.0),
+    ]
+    assert len(rows(marts.rubric_evaluation(items, top=1))) == 1
+
+
+def test_file_queries(tables):
+    manifest = tables["manifest"]
+    assert rows(marts.file_sizes(manifest)) == [(100, 2, 20.0), (101, 2, 20.0)]
+    largest = marts.largest_files(manifest, top=3)
+    assert [(r["submission_id"], r["size_kb"]) for r in largest.collect()] == [
+        (1, 30.0), (4, 30.0), (1, 10.0),
+    ]
+    missing = marts.missing_files(tables["submissions"], manifest)
+    assert [r["submission_id"] for r in missing.collect()] == [2, 3, 5, 6, 7]
+
+
+def test_course_quality(tables):
+    mart = marts.course_quality(
+        tables["courses"],
+        tables["assignments"],
+        tables["submissions"],
+        tables["manifest"].select(F.col("assignment_id").cast("string"), F.col("size_kb").cast("string")),
+        tables["feedback"],
+    )
+    assert rows(mart) == [
+        (1, "C1", 12.4, 0.4, 20.0, 2.5),
+        (2, "C2", None, None, None, None),
+        (3, "C3", 11.0, 1.0, None, 4.0),
+        (4, "C4", None, None, None, None),
+    ]
+
+
+def test_marts_use_no_python_and_no_cross_join(tables):
+    mart = marts.course_quality(
+        tables["courses"], tables["assignments"], tables["submissions"],
+        tables["manifest"], tables["feedback"],
+    )
+    text = plan_text(mart)
+    for word in ("Python", "Cartesian", "NestedLoop", "SinglePartition"):
+        assert word not in text
+
+
+def test_missing_files_is_an_anti_join_with_one_exchange_per_side(tables, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan_text(marts.missing_files(tables["submissions"], tables["manifest"]))
+    assert "LeftAnti" in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_nested_rubric_from_csv_text(spark, tmp_path):
+    text = '[{"criterion":"style","points":3,"comment":"said \\"no\\", then; left"}]'
+    raw = spark.createDataFrame(
+        [("f1", "1", "9", "t", text, "a,b"), ("f2", "2", "9", "t", "[]", None),
+         ("f3", "3", "9", "t", None, None), ("f4", "4", "9", "t", "broken", None)],
+        "_id string, submission_id string, teacher_id string, ts string, rubric string, "
+        "overall_comment string",
+    )
+    path = f"file:{tmp_path}/feedback"
+    write_csv(raw, path)
+    from millrace.sources.files import read_text_csv
+
+    documents = feedback_documents(read_text_csv(spark, path, raw.columns))
+    assert [r["submission_id"] for r in documents.orderBy("submission_id").collect()] == [1, 2, 3, 4]
+    assert rows(unnest_rubric(documents, "submission_id")) == [(1, "style", 3.0, 5.0)]
+    item = documents.where("submission_id = 1").first()["rubric"][0]
+    assert (item["comment"], item["max_points"]) == ('said "no", then; left', 5.0)
+    limited = raw.select(nested_rubric("rubric", 8).alias("r")).first()["r"][0]
+    assert limited["max_points"] == 8.0
+
+
+def test_replace_documents_refuses_duplicates(spark, tmp_path):
+    path = f"file:{tmp_path}/docs"
+    replace_documents(spark.range(3), path, ["id"])
+    replace_documents(spark.range(2), path, ["id"])
+    assert spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError, match="duplicate key"):
+        replace_documents(spark.range(3).union(spark.range(1)), path, ["id"])
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_file_manifest_types(spark):
+    raw = spark.createDataFrame(
+        [("1", "2", "3", "x/y/report.pdf", "12"), ("4", "5", "6", "x/y/", "7")],
+        "submission_id string, assignment_id string, student_id string, file_path string, "
+        "size_kb string",
+    )
+    assert rows(file_manifest(raw)) == [
+        (1, 2, 3, "report.pdf", 12.0, 12288, "s3://course-data/x/y/report.pdf"),
+        (4, 5, 6, "", 7.0, 7168, "s3://course-data/x/y/"),
+    ]
+    fraction = raw.withColumn("size_kb", F.lit("1.5"))
+    with pytest.raises(PySparkException):
+        file_manifest(fraction).collect()
+    lenient = file_manifest(fraction, store="f/", strict=False).first()
+    assert (lenient["size_kb"], lenient["size_bytes"]) == (1.5, None)
+    assert lenient["object_path"] == "f/x/y/report.pdf"
+
+
+def test_cast_columns_keeps_only_the_named(spark):
+    raw = spark.createDataFrame([("1", "2.5", "z")], "a string, b string, c string")
+    typed = cast_columns(raw, {"b": "double", "a": "int"})
+    assert typed.dtypes == [("b", "double"), ("a", "int")] and rows(typed) == [(2.5, 1)]
+
+
+def test_normalize_fields(spark):
+    raw = spark.createDataFrame(
+        [("7.4", "5.9", "x", "r1"), (None, "6", "y", "r2")],
+        "`fixed acidity` string, quality string, other string, row string",
+    )
+    fields = {"fixed acidity": "fixed_acidity", "absent": "absent", "quality": "quality"}
+    out = normalize_fields(raw, fields, keep=("row",))
+    assert out.columns == ["row", "fixed_acidity", "quality"]
+    assert rows(out) == [("r1", 7.4, 5), ("r2", None, 6)]
+    with pytest.raises(PySparkException):
+        normalize_fields(raw, {"other": "fixed_acidity"}).collect()
+    assert rows(normalize_fields(raw, {"other": "o"}, strict=False)) == [(None,), (None,)]
+
+
+def test_load_projections(spark):
+    students = spark.createDataFrame(
+        [(7, "Ann", "G", 2024)],
+        "student_id int, name string, group_name string, enrollment_year int",
+    )
+    assert rows(LOADERS["students"](students)) == [(7, "Ann", "G", 2024, "student7@example.edu")]
+    courses = spark.createDataFrame(
+        [(1, "T", 3, "s")], "course_id int, title string, teacher_id int, semester string"
+    )
+    assert LOADERS["courses"](courses).columns == [
+        "course_id", "teacher_id", "course_name", "semester",
+    ]
+    assignments = spark.createDataFrame(
+        [(5, 1, DUE, Decimal(30))],
+        "assignment_id int, course_id int, due_dt date, max_score decimal(5,2)",
+    )
+    assert rows(LOADERS["assignments"](assignments)) == [(5, 1, "Assignment_5", DUE, Decimal(30))]
+    teachers = spark.createDataFrame([(1, "N", "D")], "teacher_id int, name string, department string")
+    assert rows(LOADERS["teachers"](teachers)) == [(1, "N", "D")]
+    submissions = spark.createDataFrame(
+        [(1, 2, 3, at(1), Decimal(4))],
+        "submission_id int, assignment_id int, student_id int, submitted_ts timestamp_ntz, "
+        "score decimal(5,2)",
+    )
+    assert LOADERS["submissions"](submissions).columns[-1] == "grade"
+
+
+def test_enrollment_ids_are_dense_over_distinct_rows(spark):
+    day = datetime.date(2025, 1, 1)
+    raw = spark.createDataFrame(
+        [(2, 1, day), (1, 1, day), (1, 1, day), (1, 2, day)],
+        "student_id int, course_id int, enrolled_dt date",
+    )
+    assert sorted(rows(load_enrollments(raw))) == [
+        (1, 1, 1, day), (2, 1, 2, day), (3, 2, 1, day),
+    ]
+
+
+def test_load_university_files(spark, tmp_path):
+    (tmp_path / "courses.csv").write_text(
+        "course_id,title,teacher_id,semester\n1,Maths,3,2025-Fall\n"
+    )
+    (tmp_path / "students.csv").write_text(
+        "student_id,name,group_name,enrollment_year\n1,Ann,G,not-a-year\n"
+    )
+    loaded = load_university(spark, f"file:{tmp_path}", ["courses", "students"])
+    assert rows(loaded["courses"]) == [(1, 3, "Maths", "2025-Fall")]
+    with pytest.raises(Exception, match="not-a-year"):
+        loaded["students"].collect()
+
+
+def test_catalog_joins_sources_by_name(spark):
+    catalog = Catalog(
+        {
+            "postgres.public.left_side": lambda s: s.range(3),
+            "mongodb.university.right_side": lambda s: s.range(2),
+        }
+    )
+    assert catalog.register(spark) == ["left_side", "right_side"]
+    assert spark.sql("SELECT count(*) n FROM left_side JOIN right_side USING (id)").first()["n"] == 2
+    clash = Catalog({"a.x.t": lambda s: s.range(1), "b.x.t": lambda s: s.range(1)})
+    with pytest.raises(ValueError, match="share the view t"):
+        clash.register(spark)

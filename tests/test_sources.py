@@ -1,0 +1,182 @@
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.sinks import tables
+from millrace.sinks.files import write_csv
+from millrace.sinks.messages import to_messages, write_messages
+from millrace.sources import external
+from millrace.sources.files import (
+    detect_delimiter,
+    list_files,
+    read_csv,
+    read_hospital,
+    read_text_csv,
+    total_bytes,
+)
+from millrace.sources.schemas import HOSPITAL, WINE_FIELDS, WINE_MESSAGE
+
+
+@pytest.mark.parametrize(
+    "header, expected", [("a;b;c", ";"), ("a,b,c", ","), ("a", ";"), ('"x,y";b;c', ";"), ("", ";")]
+)
+def test_detect_delimiter(spark, tmp_path, header, expected):
+    path = tmp_path / "f.csv"
+    path.write_text(f"{header}\n1;2;3\n")
+    assert detect_delimiter(spark, f"file:{path}") == expected
+
+
+def test_csv_round_trip_keeps_awkward_text(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, 'say "hi"; now', 0.1), (2, "a,b", None), (3, None, 1e-9)], "n int, t string, x double"
+    )
+    path = f"file:{tmp_path}/out"
+    write_csv(df, path, delimiter=";")
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == sorted(
+        map(tuple, df.collect())
+    )
+
+
+def test_strict_csv_fails_and_lenient_gives_null(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("a,b\n1,x\nbad,y\n")
+    path = f"file:{tmp_path}/f.csv"
+    with pytest.raises(Exception, match="bad"):
+        read_csv(spark, path, "a int, b string").collect()
+    lenient = read_csv(spark, path, "a int, b string", strict=False)
+    assert [tuple(row) for row in lenient.collect()] == [(1, "x"), (None, "y")]
+
+
+def test_text_csv_has_no_inference(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('id,size_kb\n1,007\n2,"x ""y"", z"\n')
+    df = read_text_csv(spark, f"file:{tmp_path}/f.csv")
+    assert df.dtypes == [("id", "string"), ("size_kb", "string")]
+    assert [row["size_kb"] for row in df.collect()] == ["007", 'x "y", z']
+
+
+def test_hospital_files(spark, tmp_path):
+    (tmp_path / "payers.csv").write_text(
+        "ID,NAME,ADDRESS,CITY,STATE_HEADQUARTERED,ZIP,PHONE\np1,Plan,,Town,MA,01,555\n"
+    )
+    payers = read_hospital(spark, f"file:{tmp_path}", {"payers": HOSPITAL["payers"]})["payers"]
+    assert payers.columns == [
+        "id", "name", "address", "city", "state_headquartered", "zip", "phone",
+    ]
+    assert payers.first()["zip"] == "01"
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [("patients", 20), ("organizations", 8), ("payers", 7), ("encounters", 14), ("procedures", 9)],
+)
+def test_hospital_schemas(spark, name, columns):
+    assert len(spark.createDataFrame([], HOSPITAL[name]).columns) == columns
+
+
+def test_wine_fields_match_the_message():
+    assert list(WINE_FIELDS.values()) == WINE_MESSAGE.fieldNames()
+
+
+def test_list_files(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "a.bin").write_bytes(b"12345")
+    (tmp_path / "d" / "b.bin").write_bytes(b"1")
+    listed = list_files(spark, f"file:{tmp_path}")
+    assert sorted(row["length"] for row in listed.collect()) == [1, 5]
+    assert total_bytes(spark, f"file:{tmp_path}") == 6
+
+
+def test_documents_from_json_folder(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"id": 1, "rubric": [{"criterion": "c", "points": 2}]}\n')
+    schema = "id int, rubric array<struct<criterion: string, points: double>>"
+    df = external.read_documents(spark, schema, "json", path=f"file:{tmp_path}/d.json")
+    assert df.first()["rubric"][0]["points"] == 2.0
+
+
+def test_object_store_settings():
+    settings = external.object_store_settings("http://store:9000", "a", "s")
+    assert settings["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert settings["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert len(settings) == 5
+
+
+class Recorder:
+    """Stands in for a reader or writer whose connector is not on the class path."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+
+        return call
+
+    def options_set(self):
+        return {args[0]: args[1] for name, args, _ in self.calls if name == "option"}
+
+
+def test_kafka_reader_options():
+    class Session:
+        readStream = Recorder()
+
+    external.read_message_stream(Session, servers="b:9092", topic="t")
+    assert Session.readStream.options_set() == {
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "t",
+        "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+    }
+
+
+def test_kafka_writer_options():
+    class Messages:
+        write = Recorder()
+
+    write_messages(Messages, servers="b:9092", topic="t")
+    assert Messages.write.options_set()["kafka.acks"] == "all"
+    assert Messages.write.options_set()["kafka.retries"] == "5"
+
+
+def test_messages_to_a_folder(spark, tmp_path):
+    path = f"file:{tmp_path}/messages"
+    write_messages(to_messages(spark.range(3), ["id"]), "json", path=path)
+    stored = spark.read.json(path).orderBy("key").collect()
+    assert [(r["key"], r["value"]) for r in stored] == [
+        ("1", '{"id":0}'), ("2", '{"id":1}'), ("3", '{"id":2}'),
+    ]
+
+
+def test_jdbc_arguments():
+    class Session:
+        read = Recorder()
+
+    external.read_jdbc(Session, "jdbc:x", "t", {"user": "u"})
+    external.read_jdbc(
+        Session, "jdbc:x", "t", partition_column="id", lower=0, upper=9, partitions=3
+    )
+    plain, split = Session.read.calls
+    assert plain == ("jdbc", ("jdbc:x", "t"), {"properties": {"user": "u"}})
+    assert split[2]["numPartitions"] == 3 and split[2]["column"] == "id"
+    with pytest.raises(ValueError, match="needs lower"):
+        external.read_jdbc(Session, "jdbc:x", "t", partition_column="id")
+
+    class Rows:
+        write = Recorder()
+
+    tables.write_jdbc(Rows, "jdbc:x", "t", mode="overwrite", properties={"user": "u"})
+    assert [call[0] for call in Rows.write.calls] == ["mode", "jdbc"]
+
+
+def test_table_statements(spark, tmp_path):
+    tables.create_database(spark, "side")
+    tables.create_database(spark, "side")
+    tables.drop_table(spark, "side.numbers")
+    spark.sql(
+        f"CREATE TABLE side.numbers (id BIGINT, t STRING) USING parquet LOCATION '{tmp_path}/n'"
+    )
+    rows = spark.range(3).select(F.lit("x").alias("t"), "id")
+    tables.fill_table(rows, "side.numbers")
+    tables.fill_table(rows, "side.numbers")
+    assert spark.table("side.numbers").agg(F.count("*"), F.sum("id")).first() == (6, 6)
+    tables.drop_table(spark, "side.numbers")
+    assert not spark.catalog.tableExists("side.numbers")
