@@ -15,6 +15,9 @@ from millrace.operators.counts import row_counts
 from millrace.operators.layout import Placed
 from millrace.plans import star
 from millrace.registry.common import Inputs, query, sql_round
+from millrace.sinks.files import write_csv
+from millrace.sources.files import read_csv
+from millrace.sources.schemas import SEGMENT_COUNTS
 
 SEGMENTS = 2
 
@@ -241,8 +244,15 @@ GROUP BY names.table_name, s.id
 """
 
 
-def _rounded(report: DataFrame) -> DataFrame:
-    return report.select(
+def skew_report(data: Inputs) -> DataFrame:
+    """The report over counts that were exported to a CSV file and read back."""
+
+    def build(path: str) -> str:
+        write_csv(segment_counts(data), path)
+        return path
+
+    counts = read_csv(data.spark, data.stored("segments", build), SEGMENT_COUNTS, delimiter=",")
+    return segments.skew_report(counts).select(
         "table_name",
         "segment_id",
         "row_count",
@@ -281,7 +291,7 @@ QUERIES = {
     "star_q3": query(star_q3),
     "star_q3_alt": query(lambda data: star_q3(data, _alternative_rows)),
     "segment_counts": query(segment_counts),
-    "skew_report": query(lambda data: _rounded(segments.skew_report(segment_counts(data)))),
+    "skew_report": query(skew_report),
     "hash_segments": query(hash_segments),
 }
 

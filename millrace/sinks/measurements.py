@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import safe_ratio
 from millrace.operators.keys import assign_dense_ids
+from millrace.sources.files import or_empty
 from millrace.sources.measurements import read_log
 
 FIELDS = [
@@ -30,13 +30,9 @@ def with_speedup(runs: DataFrame) -> DataFrame:
 
 def next_record_id(spark: SparkSession, path: str) -> int:
     """One more than the largest id in the log, 0 for a log that does not exist or is empty."""
-    try:
-        row = read_log(spark, path).agg(F.max("record_id").alias("last")).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-    return 0 if row["last"] is None else int(row["last"]) + 1
+    records = or_empty(spark, "record_id bigint", lambda: read_log(spark, path))
+    last = records.agg(F.max("record_id").alias("last")).first()["last"]
+    return 0 if last is None else int(last) + 1
 
 
 def append_measurements(runs: DataFrame, path: str, order_by: list[str]) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,14 +65,29 @@ def read_hospital(spark: SparkSession, folder: str, schemas: dict[str, str]) ->
     }
 
 
+FILE_LISTING = "path string, length bigint, modificationTime timestamp"
+
+
+def or_empty(
+    spark: SparkSession, schema: T.StructType | str, read: Callable[[], DataFrame]
+) -> DataFrame:
+    """The result of a read, or no rows when its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and change time of every file below a folder; file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length", "modificationTime")
-    )
+    """Path, size and change time of every file below a folder; file contents are not read.
+
+    An empty and a missing folder both give no rows.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    columns = ["path", "length", "modificationTime"]
+    return or_empty(spark, FILE_LISTING, lambda: reader.load(path).select(*columns))
 
 
 def total_bytes(spark: SparkSession, path: str) -> int:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.constraints import has_no_nulls, null_violations
 from millrace.sinks.files import write_batch
 from millrace.sinks.tables import write_jdbc
+from millrace.sources.files import or_empty
 from millrace.streaming.messages import (
     EVENT_COLUMNS,
     REQUIRED_COLUMNS,
@@ -53,7 +54,11 @@ class FileSinks:
         write_batch(rows, f"{self.root}/{name}", batch_id)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}")
+        """All stored rows of one output; none when no batch has written any yet."""
+        schema = SCHEMAS[name]
+        return or_empty(
+            spark, schema, lambda: spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        )
 
 
 @dataclass(frozen=True)

@@ -82,6 +82,7 @@ def test_list_files(spark, tmp_path):
     listed = list_files(spark, f"file:{tmp_path}")
     assert sorted(row["length"] for row in listed.collect()) == [1, 5]
     assert total_bytes(spark, f"file:{tmp_path}") == 6
+    assert list_files(spark, f"file:{tmp_path}/none").isEmpty()
 
 
 def test_documents_from_json_folder(spark, tmp_path):

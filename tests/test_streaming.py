@@ -160,6 +160,7 @@ def test_empty_batches_write_nothing(spark, tmp_path):
     assert not (tmp_path / "out").exists()
     write_micro_batch(parse_messages(batch(spark, message(quality=3))), 1, out)
     assert not (tmp_path / "out" / "events").exists()
+    assert out.read(spark, "events").isEmpty() and out.read(spark, "stats").isEmpty()
 
 
 def test_stored_batch_is_released_when_a_write_fails(spark):
