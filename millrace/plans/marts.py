@@ -7,11 +7,12 @@ Spark's own size threshold; there are no unconditional broadcast hints.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import (
     days_late,
+    flag,
     is_late,
     positive_part,
     rate,
@@ -73,19 +74,35 @@ def submission_punctuality(
 def grade_distribution(submissions: DataFrame, assignments: DataFrame) -> DataFrame:
     """Grade statistics per assignment; too hard means a low mean score and many late ones.
 
-    The label compares the rounded statistics that are shown.
+    Submissions are counted per assignment and grade first, before anything is moved by
+    assignment. Grades come from a fixed scale, so an assignment has a bounded number of those
+    counts, however many submissions it has, and the median over them is exact: the lowest grade
+    that at least half of the submissions do not exceed. The label compares the rounded
+    statistics that are shown.
     """
-    graded = submissions.select("assignment_id", "submitted_ts", "grade").join(
-        assignments.select("assignment_id", "course_id", "title", "due_dt", "max_score"),
-        "assignment_id",
+    owner = ["course_id", "assignment_id", "title", "max_score"]
+    graded = submissions.select(
+        "assignment_id", "submitted_ts", F.col("grade").cast("double").alias("grade")
+    ).join(assignments.select(*owner, "due_dt"), "assignment_id")
+    counted = graded.groupBy(*owner, "grade").agg(
+        F.count("*").alias("rows"),
+        F.count("grade").alias("grades"),
+        F.sum(flag(is_late("submitted_ts", "due_dt"))).alias("late"),
     )
-    grade = F.col("grade").cast("double")
-    stats = graded.groupBy("course_id", "assignment_id", "title", "max_score").agg(
-        F.count("*").alias("submission_count"),
-        rounded_avg(grade, 2).alias("avg_grade"),
-        F.round(F.percentile_approx(grade, 0.5, 10000), 2).alias("median_grade"),
-        rate(F.col("grade") == 0).alias("zero_rate"),
-        rate(is_late("submitted_ts", "due_dt")).alias("late_rate"),
+    by_grade = Window.partitionBy(*owner).orderBy(F.asc_nulls_last("grade"))
+    up_to = F.sum("grades").over(by_grade.rowsBetween(Window.unboundedPreceding, 0))
+    of_all = F.sum("grades").over(Window.partitionBy(*owner))
+    ranked = counted.withColumn("upper_half", up_to * 2 >= of_all)
+    stats = ranked.groupBy(*owner).agg(
+        F.sum("rows").alias("submission_count"),
+        rounded_ratio(F.sum(F.col("grade") * F.col("grades")), F.sum("grades"), 2).alias(
+            "avg_grade"
+        ),
+        F.round(F.min(F.when(F.col("upper_half"), F.col("grade"))), 2).alias("median_grade"),
+        rounded_ratio(
+            F.sum(F.when(F.col("grade") == 0, F.col("rows")).otherwise(0)), F.sum("rows"), 3
+        ).alias("zero_rate"),
+        rounded_ratio(F.sum("late"), F.sum("rows"), 3).alias("late_rate"),
     )
     low_score = F.col("avg_grade") / F.col("max_score").cast("double") < HARD_SCORE
     hard = low_score & (F.col("late_rate") >= HARD_LATE_RATE)

@@ -57,6 +57,19 @@ def read_text_csv(
     return reader.csv(path)
 
 
+INPUT_ORDER = ["_file", "_start", "_row"]
+
+
+def with_input_order(df: DataFrame) -> DataFrame:
+    """Add three columns that sort the rows of a file read as they stand in the files."""
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+
+
 def read_hospital(spark: SparkSession, folder: str, schemas: dict[str, str]) -> dict[str, DataFrame]:
     """One external CSV table per schema, read from ``<folder>/<name>.csv``."""
     return {

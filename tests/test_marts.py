@@ -123,6 +123,29 @@ def test_hard_label_uses_the_rounded_values(spark):
     assert (row["avg_grade"], row["is_too_hard"]) == (6.0, False)
 
 
+def test_median_is_exact_for_a_large_assignment(spark):
+    assignments = spark.createDataFrame(
+        [(1, 1, "t", DUE, Decimal(10)), (2, 1, "u", DUE, Decimal(10))],
+        "assignment_id int, course_id int, title string, due_dt date, max_score decimal(5,2)",
+    )
+    size = 100_001
+    grade = (F.col("id") * 7919 % size % 1000 / 100).cast("decimal(5,2)")
+    submissions = spark.range(size).select(
+        F.lit(1).alias("assignment_id"), F.lit(at(1)).alias("submitted_ts"), grade.alias("grade")
+    )
+    few = spark.createDataFrame(
+        [(2, at(1), None), (2, at(1), Decimal(3)), (2, at(11), Decimal(9))],
+        "assignment_id int, submitted_ts timestamp_ntz, grade decimal(5,2)",
+    )
+    report = marts.grade_distribution(submissions.unionByName(few), assignments)
+    rows = {row["assignment_id"]: row for row in report.collect()}
+    grades = sorted(i * 7919 % size % 1000 / 100 for i in range(size))
+    assert rows[1]["median_grade"] == grades[size // 2]
+    assert rows[1]["submission_count"] == size
+    # a missing grade counts as a submission, but neither in the mean nor in the median
+    assert (rows[2]["submission_count"], rows[2]["avg_grade"], rows[2]["median_grade"]) == (3, 6, 3)
+
+
 def test_rubric_items_and_evaluation(tables):
     items = marts.rubric_items(tables["submissions"], tables["assignments"], tables["feedback"])
     assert sorted(rows(items)) == [
