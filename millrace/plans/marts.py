@@ -77,23 +77,24 @@ def grade_distribution(submissions: DataFrame, assignments: DataFrame) -> DataFr
     Submissions are counted per assignment and grade first, before anything is moved by
     assignment. Grades come from a fixed scale, so an assignment has a bounded number of those
     counts, however many submissions it has, and the median over them is exact: the lowest grade
-    that at least half of the submissions do not exceed. The label compares the rounded
-    statistics that are shown.
+    that at least half of the submissions do not exceed. Titles and other attributes join the
+    finished statistics by assignment_id, the key of the assignments. The label compares the
+    rounded statistics that are shown.
     """
-    owner = ["course_id", "assignment_id", "title", "max_score"]
+    owner = "assignment_id"
     graded = submissions.select(
-        "assignment_id", "submitted_ts", F.col("grade").cast("double").alias("grade")
-    ).join(assignments.select(*owner, "due_dt"), "assignment_id")
-    counted = graded.groupBy(*owner, "grade").agg(
+        owner, "submitted_ts", F.col("grade").cast("double").alias("grade")
+    ).join(assignments.select(owner, "due_dt"), owner)
+    counted = graded.groupBy(owner, "grade").agg(
         F.count("*").alias("rows"),
         F.count("grade").alias("grades"),
         F.sum(flag(is_late("submitted_ts", "due_dt"))).alias("late"),
     )
-    by_grade = Window.partitionBy(*owner).orderBy(F.asc_nulls_last("grade"))
+    by_grade = Window.partitionBy(owner).orderBy(F.asc_nulls_last("grade"))
     up_to = F.sum("grades").over(by_grade.rowsBetween(Window.unboundedPreceding, 0))
-    of_all = F.sum("grades").over(Window.partitionBy(*owner))
+    of_all = F.sum("grades").over(Window.partitionBy(owner))
     ranked = counted.withColumn("upper_half", up_to * 2 >= of_all)
-    stats = ranked.groupBy(*owner).agg(
+    stats = ranked.groupBy(owner).agg(
         F.sum("rows").alias("submission_count"),
         rounded_ratio(F.sum(F.col("grade") * F.col("grades")), F.sum("grades"), 2).alias(
             "avg_grade"
@@ -104,9 +105,10 @@ def grade_distribution(submissions: DataFrame, assignments: DataFrame) -> DataFr
         ).alias("zero_rate"),
         rounded_ratio(F.sum("late"), F.sum("rows"), 3).alias("late_rate"),
     )
+    labelled = stats.join(assignments.select(owner, "course_id", "title", "max_score"), owner)
     low_score = F.col("avg_grade") / F.col("max_score").cast("double") < HARD_SCORE
     hard = low_score & (F.col("late_rate") >= HARD_LATE_RATE)
-    return stats.select(
+    return labelled.select(
         "course_id",
         "assignment_id",
         "title",

@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A join side that fits in memory per partition is hashed instead of sorted.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Bucket files are written sorted, one file per bucket: joins need not sort them again.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # Files are compressed; the broadcast threshold must be compared with the size in memory.
     "spark.sql.sources.fileCompressionFactor": "4.0",
 }
