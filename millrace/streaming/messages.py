@@ -96,14 +96,19 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
     return parsed.select(*fields, "kafka_timestamp")
 
 
-def parse_messages(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Valid messages with flags and quality group; messages without a grade are dropped."""
-    valid = flatten_messages(messages).where(F.col("quality").isNotNull())
+def grade_rows(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Rows that have a grade, with flags and quality group."""
+    valid = rows.where(F.col("quality").isNotNull())
     return flag_anomalies(valid, rules).withColumn(
         "quality_group", classify_quality("quality", rules)
     )
 
 
+def parse_messages(messages: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Valid messages with flags and quality group; messages without a grade are dropped."""
+    return grade_rows(flatten_messages(messages), rules)
+
+
 def anomaly_lines(rows: DataFrame, batch_id: int) -> DataFrame:
     """Flagged rows with their fields and one log line each."""
     fields = rows.where("is_anomaly").select(*ANOMALY_COLUMNS)

@@ -18,7 +18,8 @@ from millrace.streaming.messages import (
     Rules,
     anomaly_lines,
     batch_stats,
-    parse_messages,
+    flatten_messages,
+    grade_rows,
 )
 
 MEASURES_DDL = (
@@ -81,19 +82,21 @@ class DatabaseSinks:
 
 
 def write_micro_batch(
-    batch: DataFrame, batch_id: int, sinks: FileSinks | DatabaseSinks, rules: Rules = Rules()
+    rows: DataFrame, batch_id: int, sinks: FileSinks | DatabaseSinks, rules: Rules = Rules()
 ) -> None:
-    """Write one parsed batch. The batch is kept while its four outputs are written.
+    """Write one batch of flattened messages, kept in memory while its outputs are written.
 
-    Rows that lack a required value go to the rejects with the column named, so that one such
-    row does not fail the whole batch.
+    The rows are kept before they are filtered: a filter in front of the parse would make Spark
+    parse every message twice. Rows that lack a required value go to the rejects with the column
+    named, so that one such row does not fail the whole batch.
     """
-    if batch.isEmpty():
-        return
-    batch = batch.persist()
+    rows = rows.persist()
     try:
-        sinks.write("anomalies", anomaly_lines(batch, batch_id), batch_id)
-        kept = batch.where(~F.col("is_anomaly") & (F.col("quality") >= rules.min_quality))
+        graded = grade_rows(rows, rules)
+        if graded.isEmpty():
+            return
+        sinks.write("anomalies", anomaly_lines(graded, batch_id), batch_id)
+        kept = graded.where(~F.col("is_anomaly") & (F.col("quality") >= rules.min_quality))
         if kept.isEmpty():
             return
         plain = kept.drop("is_anomaly", "anomaly_reason")
@@ -103,7 +106,7 @@ def write_micro_batch(
         sinks.write("events", events.select(*EVENT_COLUMNS), batch_id)
         sinks.write("stats", batch_stats(complete, batch_id), batch_id)
     finally:
-        batch.unpersist()
+        rows.unpersist()
 
 
 def start_stream(
@@ -116,10 +119,10 @@ def start_stream(
 ) -> StreamingQuery:
     """Start the job over a message stream; progress is kept in the checkpoint folder."""
     writer = (
-        parse_messages(messages, rules)
+        flatten_messages(messages)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_micro_batch(batch, batch_id, sinks, rules))
+        .foreachBatch(lambda rows, batch_id: write_micro_batch(rows, batch_id, sinks, rules))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -122,7 +122,7 @@ def test_micro_batch_outputs(spark, tmp_path):
         message(quality=8, sulphates=None, pH="x"),
         "not json",
     )
-    write_micro_batch(parse_messages(rows), 3, out)
+    write_micro_batch(flatten_messages(rows), 3, out)
     events = out.read(spark, "events")
     assert events.columns == [*EVENT_COLUMNS, "batch_id"]
     assert sorted((r["quality"], r["quality_group"]) for r in events.collect()) == [
@@ -142,8 +142,8 @@ def test_micro_batch_outputs(spark, tmp_path):
 
 def test_repeated_batch_leaves_the_sinks_unchanged(spark, tmp_path):
     out = sinks(tmp_path)
-    first = parse_messages(batch(spark, message(quality=6), message(quality=9, sulphates=2.0)))
-    second = parse_messages(batch(spark, message(quality=7)))
+    first = flatten_messages(batch(spark, message(quality=6), message(quality=9, sulphates=2.0)))
+    second = flatten_messages(batch(spark, message(quality=7)))
     write_micro_batch(first, 0, out)
     write_micro_batch(second, 1, out)
     before = {n: sorted(map(repr, out.read(spark, n).drop("processed_at", "calculated_at").collect()))
@@ -156,9 +156,9 @@ def test_repeated_batch_leaves_the_sinks_unchanged(spark, tmp_path):
 
 def test_empty_batches_write_nothing(spark, tmp_path):
     out = sinks(tmp_path)
-    write_micro_batch(parse_messages(batch(spark, "not json")), 0, out)
+    write_micro_batch(flatten_messages(batch(spark, "not json")), 0, out)
     assert not (tmp_path / "out").exists()
-    write_micro_batch(parse_messages(batch(spark, message(quality=3))), 1, out)
+    write_micro_batch(flatten_messages(batch(spark, message(quality=3))), 1, out)
     assert not (tmp_path / "out" / "events").exists()
     assert out.read(spark, "events").isEmpty() and out.read(spark, "stats").isEmpty()
 
@@ -170,7 +170,7 @@ def test_stored_batch_is_released_when_a_write_fails(spark):
 
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     with pytest.raises(RuntimeError, match="sink is down"):
-        write_micro_batch(parse_messages(batch(spark, message(quality=6))), 0, Broken())
+        write_micro_batch(flatten_messages(batch(spark, message(quality=6))), 0, Broken())
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
@@ -238,7 +238,7 @@ def test_database_sinks_send_only_their_tables(spark, tmp_path, monkeypatch):
     target = DatabaseSinks(
         "jdbc:x", {"events": "wine_events", "stats": "wine_quality_stats"}, {"user": "u"}, files
     )
-    write_micro_batch(parse_messages(batch(spark, message(quality=6))), 0, target)
+    write_micro_batch(flatten_messages(batch(spark, message(quality=6))), 0, target)
     assert [item[:3] for item in sent] == [
         ("jdbc:x", "wine_events", 1), ("jdbc:x", "wine_quality_stats", 1),
     ]
