@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import round_half_up, rounded_avg
+from millrace.functions import rounded_avg, rounded_sum
 from millrace.operators.layout import Placed, join_placed, union_parts
 
 
@@ -111,7 +111,7 @@ def costs_by_organization(
         .groupBy(*keys)
         .agg(
             F.count("*").alias("encounter_cnt"),
-            round_half_up(F.sum("cost"), 2).alias("proc_cost"),
+            rounded_sum("cost", 2).alias("proc_cost"),
         )
         .orderBy(F.desc_nulls_last("proc_cost"), *[F.asc(name) for name in keys])
         .limit(top)

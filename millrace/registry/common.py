@@ -6,11 +6,10 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.session import configure, partitions_for, working_path
-from millrace.sources.files import list_files, total_bytes
+from millrace.sources.files import folder_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +26,7 @@ class Inputs:
         self.folder = folder
         self.app = spark.sparkContext.applicationId
         if (self.app, folder) not in _sizes:
-            _sizes[self.app, folder] = total_bytes(spark, folder)
+            _sizes[self.app, folder] = folder_state(spark, folder)[1]
         self.bytes = _sizes[self.app, folder]
         configure(spark, self.bytes)
 
@@ -47,11 +46,7 @@ class Inputs:
 
         What is stored are tables in the shared working folder, never rows on the driver.
         """
-        files = list_files(self.spark, self.folder)
-        state = files.agg(
-            F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")
-        ).first()
-        key = (self.app, self.folder, tuple(state), label)
+        key = (self.app, self.folder, folder_state(self.spark, self.folder), label)
         if key not in _stored:
             _stored[key] = build(working_path(self.spark, label))
         return _stored[key]

@@ -215,10 +215,7 @@ def segment_counts(data: Inputs) -> DataFrame:
                 data["lineitem"], "procedures_alt", _modulo("l_linenumber"), SEGMENTS
             ),
             segments.segment_counts(
-                data["region"].where(F.col("r_name") == "ASIA"),
-                "organizations_alt",
-                _modulo("r_regionkey"),
-                SEGMENTS,
+                data["region"], "organizations_alt", _modulo("r_regionkey"), SEGMENTS
             ),
             segments.replicated_counts(data["customer"], "patients", SEGMENTS),
             segments.replicated_counts(data["nation"], "payers", SEGMENTS),
@@ -233,7 +230,6 @@ WITH held AS (
     UNION ALL SELECT 'encounters_alt', o_custkey % {SEGMENTS} FROM orders
     UNION ALL SELECT 'procedures_alt', l_linenumber % {SEGMENTS} FROM lineitem
     UNION ALL SELECT 'organizations_alt', r_regionkey % {SEGMENTS} FROM region
-              WHERE r_name = 'ASIA'
     UNION ALL SELECT 'patients', s.id FROM customer, range({SEGMENTS}) AS s(id)
     UNION ALL SELECT 'payers', s.id FROM nation, range({SEGMENTS}) AS s(id)
 ), names AS (SELECT DISTINCT table_name FROM held)

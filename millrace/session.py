@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,10 @@ RUNTIME_SETTINGS = {
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 32_768
 
+MIN_SPLIT_BYTES = 128 * 1024 * 1024
+MAX_SPLIT_BYTES = 1024 * 1024 * 1024
+SCAN_TASKS_PER_CORE = 16
+
 _local_roots: dict[str, str] = {}
 
 
@@ -48,19 +54,44 @@ def partitions_for(input_bytes: int, cores: int) -> int:
     return min(wanted, max(cores, MAX_SHUFFLE_PARTITIONS))
 
 
+def split_bytes_for(input_bytes: int, cores: int) -> int:
+    """Bytes per scan task: 128 MB, and up to 1 GB where a core would get too many tasks."""
+    wanted = math.ceil(input_bytes / (cores * SCAN_TASKS_PER_CORE))
+    return min(MAX_SPLIT_BYTES, max(MIN_SPLIT_BYTES, wanted))
+
+
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply the runtime settings and, for a known input size, the initial shuffle width.
+    """Apply the runtime settings and, for a known input size, scan and shuffle widths.
 
-    Adaptive execution merges small partitions afterwards, so the width is an upper bound.
+    Adaptive execution merges small shuffle partitions afterwards, so that width is an upper
+    bound.
     """
-    for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+    settings = dict(RUNTIME_SETTINGS)
     if input_bytes is not None:
-        width = partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+        cores = spark.sparkContext.defaultParallelism
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            partitions_for(input_bytes, cores)
+        )
+        settings["spark.sql.files.maxPartitionBytes"] = str(split_bytes_for(input_bytes, cores))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """One session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def working_root(spark: SparkSession) -> str:
     """Folder for intermediate tables, seen by the driver and every executor.
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import setting
+
 
 def detect_delimiter(spark: SparkSession, path: str, candidates: str = ";,") -> str:
     """The candidate that is most frequent in the header line; the first one when none occurs."""
@@ -103,6 +105,20 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, FILE_LISTING, lambda: reader.load(path).select(*columns))
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    row = list_files(spark, path).agg(F.sum("length").alias("bytes")).first()
-    return int(row["bytes"] or 0)
+def folder_state(spark: SparkSession, path: str) -> tuple[int, int, str]:
+    """Number of files, bytes and last change below a folder.
+
+    A listing reads no contents, so its tasks are limited by the cores and not by file size.
+    """
+    cores = str(spark.sparkContext.defaultParallelism)
+    with setting(spark, "spark.sql.files.maxPartitionNum", cores):
+        row = (
+            list_files(spark, path)
+            .agg(
+                F.count("*"),
+                F.coalesce(F.sum("length"), F.lit(0)),
+                F.max("modificationTime").cast("string"),
+            )
+            .first()
+        )
+    return tuple(row)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators.keys import assign_dense_ids, surrogate_keys
-from millrace.session import partitions_for, working_path, working_root
+from millrace.session import partitions_for, split_bytes_for, working_path, working_root
 from millrace.sinks.messages import to_messages
 
 
@@ -65,3 +65,11 @@ def test_messages_are_numbered_in_input_order(spark):
 )
 def test_shuffle_width_follows_the_input(size, cores, expected):
     assert partitions_for(size, cores) == expected
+
+
+@pytest.mark.parametrize(
+    "size, cores, expected",
+    [(0, 8, 128 * 2**20), (100 * 2**40, 8000, 859_000_000), (100 * 2**40, 100, 2**30)],
+)
+def test_scan_tasks_grow_with_the_input(size, cores, expected):
+    assert split_bytes_for(size, cores) == pytest.approx(expected, rel=0.001)

@@ -7,11 +7,11 @@ from millrace.sinks.messages import to_messages, write_messages
 from millrace.sources import external
 from millrace.sources.files import (
     detect_delimiter,
+    folder_state,
     list_files,
     read_csv,
     read_hospital,
     read_text_csv,
-    total_bytes,
 )
 from millrace.sources.schemas import HOSPITAL, WINE_FIELDS, WINE_MESSAGE
 
@@ -81,7 +81,9 @@ def test_list_files(spark, tmp_path):
     (tmp_path / "d" / "b.bin").write_bytes(b"1")
     listed = list_files(spark, f"file:{tmp_path}")
     assert sorted(row["length"] for row in listed.collect()) == [1, 5]
-    assert total_bytes(spark, f"file:{tmp_path}") == 6
+    assert folder_state(spark, f"file:{tmp_path}")[:2] == (2, 6)
+    assert folder_state(spark, f"file:{tmp_path}/none") == (0, 0, None)
+    assert spark.conf.get("spark.sql.files.maxPartitionNum", None) is None
     assert list_files(spark, f"file:{tmp_path}/none").isEmpty()
 
 
