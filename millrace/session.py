@@ -27,6 +27,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
+# Settings that only a new session can take. Recording the Python call site of every column
+# expression costs more than planning the query.
+STARTUP_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 32_768
 
@@ -43,7 +47,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **(settings or {})}.items():
+    for key, value in {**STARTUP_SETTINGS, **RUNTIME_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
