@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, language
+from millrace.llm.near_dedup import near_duplicates
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +33,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups on three words and a similarity of 0.85."""
+    return near_duplicates(_table(spark, folder, "documents"), shingle_words=3, percent=85)
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -47,7 +53,38 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_near_dedup": op2_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLES = {
+    "op2_near_dedup": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_LOWERED}, '{_WORD}') AS ws FROM documents
+        ), s AS (
+            SELECT doc_id, list_distinct(CASE
+                WHEN len(ws) = 0 THEN []
+                WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 1),
+                    lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh
+            FROM w
+        ), e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM e AS a JOIN e AS b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach(doc_id, node) AS (
+            SELECT doc_id, doc_id FROM s
+            UNION
+            SELECT r.doc_id, l.b FROM reach AS r JOIN links AS l ON r.node = l.a
+        ), grouped AS (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id,
+               doc_id = component_id AS kept
+        FROM s JOIN grouped USING (doc_id)
+    """,
+}
