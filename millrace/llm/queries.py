@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language
+from millrace.llm import bpe, language, pii
 from millrace.llm.near_dedup import near_duplicates
 
 
@@ -38,6 +38,22 @@ def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), shingle_words=3, percent=85)
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the base kinds and all spans of personal data of every document."""
+    spans = pii.with_spans(_table(spark, folder, "documents").select("doc_id", "text"), "spans")
+
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(pii.BASE_KINDS))
+    return spans.select(
+        "doc_id",
+        *(count(kind) for kind in pii.BASE_KINDS),
+        F.sha2(pii.described(base), 256).alias("base_sha256"),
+        pii.described(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -54,6 +70,7 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
+    "op3_pii": op3_pii,
     "op5_byte_bpe": op5_byte_bpe,
 }
 
@@ -61,6 +78,44 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+# The plain patterns of op3, and the checks of their matches m, with the text t before p.
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda d, i:
+    CASE WHEN i % 2 = 1 THEN CAST(d AS INT) WHEN d >= '5' THEN 2 * CAST(d AS INT) - 9
+         ELSE 2 * CAST(d AS INT) END)) % 10 = 0"""
+_MOD_97 = """list_reduce(list_transform(string_split(bare[5:] || bare[:4], ''), lambda c: CAST(
+    CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END AS BIGINT)),
+    lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97, CAST(0 AS BIGINT)) = 1"""
+_PII_SQL = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (
+        r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "len(list_filter(string_split(m, '.'), lambda x: CAST(x AS HUGEINT) > 255)) = 0",
+    ),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", f"len({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"len({_DIGITS}) BETWEEN 10 AND 15"),
+    "iban": (
+        r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+        f"len(bare) BETWEEN 15 AND 34 AND {_MOD_97}",
+    ),
+    "ssn": (
+        r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+        rf"regexp_matches(lower(t[greatest(p - 40, 0) + 1:p]), '\b(?:{pii.WORDS['ssn']})\b')",
+    ),
+}
+_PII_ROWS = " UNION ALL ".join(
+    f"""SELECT doc_id, '{kind}' AS kind, {k} AS k, p, p + length(m) AS q FROM (
+        SELECT *, replace(m, ' ', '') AS bare FROM (
+            SELECT doc_id, t, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS p
+            FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+                SELECT doc_id, t, regexp_extract_all(t, '{regex}') AS ms,
+                       string_split_regex(t, '{regex}') AS ps
+                FROM d WHERE regexp_matches(t, '{regex}')))))
+        WHERE {check}"""
+    for k, (kind, (regex, check)) in enumerate(_PII_SQL.items())
+)
+
 ORACLES = {
     "op2_near_dedup": f"""
         WITH RECURSIVE w AS (
@@ -87,4 +142,16 @@ ORACLES = {
                doc_id = component_id AS kept
         FROM s JOIN grouped USING (doc_id)
     """,
+    "op3_pii": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({_PII_ROWS}),
+        g AS (
+            SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{x}') AS n_{x}" for x in pii.BASE_KINDS)},
+                   string_agg(kind || ':' || p || ':' || q, ',' ORDER BY p, k) FILTER (k < 4) AS base,
+                   string_agg(kind || ':' || p || ':' || q, ',' ORDER BY p, k) AS every
+            FROM f GROUP BY doc_id
+        )
+        SELECT doc_id, {", ".join(f"CAST(coalesce(n_{x}, 0) AS BIGINT) AS n_{x}" for x in pii.BASE_KINDS)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+        FROM d LEFT JOIN g USING (doc_id)
+    """,
 }
