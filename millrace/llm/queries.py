@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, language, pii
+from millrace.llm.decontaminate import contained_items
 from millrace.llm.near_dedup import near_duplicates
 
 
@@ -54,6 +55,11 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that contains a benchmark item, with the item and what they share."""
+    return contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,6 +77,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
     "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
 }
 
@@ -154,4 +161,22 @@ ORACLES = {
                sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
         FROM d LEFT JOIN g USING (doc_id)
     """,
+    "op4_decontamination": r"""
+        WITH sets AS (
+            SELECT kind, id, list_distinct(CASE
+                WHEN len(w) < 6 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                END) AS own
+            FROM (
+                SELECT 0 AS kind, item_id AS id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w
+                FROM benchmark
+                UNION ALL
+                SELECT 1, doc_id, regexp_extract_all(lower(text), '[\pL\pN]+') FROM documents)
+            WHERE len(w) > 0
+        ), e AS (SELECT kind, id, len(own) AS n, unnest(own) AS s FROM sets)
+        SELECT d.id AS doc_id, i.id AS item_id, CAST(i.n AS INT) AS n_item_shingles,
+               CAST(count(*) AS INT) AS n_shared
+        FROM e AS i JOIN e AS d ON i.s = d.s AND i.kind = 0 AND d.kind = 1
+        GROUP BY d.id, i.id, i.n HAVING 100 * count(*) >= 80 * i.n
+    """,
 }
