@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, pii
+from millrace.llm import bpe, language, pii, quality_rules
 from millrace.llm.decontaminate import contained_items
 from millrace.llm.near_dedup import near_duplicates
 
@@ -73,12 +73,31 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base measures and the verdict of base checks and rule cascade for every document."""
+    documents = quality_rules.measured(_table(spark, folder, "documents").select("doc_id", "text"))
+    rules = quality_rules.ordered(quality_rules.estimates(quality_rules.RULES, documents))
+    measures = F.col("measures")
+    failed = quality_rules.base_failed(measures)
+    rejected_by = quality_rules.first_failed(rules, F.col("text"), measures)
+    return documents.select(
+        "doc_id",
+        *(
+            measures[name].alias(name)
+            for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        ),
+        failed.alias("base_failed"),
+        F.when(failed, False).otherwise(rejected_by.isNull()).alias("kept"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_quality_rules": op7_quality_rules,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -179,4 +198,38 @@ ORACLES = {
         FROM e AS i JOIN e AS d ON i.s = d.s AND i.kind = 0 AND d.kind = 1
         GROUP BY d.id, i.id, i.n HAVING 100 * count(*) >= 80 * i.n
     """,
+    "op7_quality_rules": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), windows AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
+            FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+        ), repeated AS (
+            SELECT r, count(DISTINCT i + k) AS n_repeat_words
+            FROM windows, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r
+        ), m AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   len(lines) AS n_lines,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+                   length(t) - length(replace(t, '!', '')) AS n_exclamations,
+                   length(t) - length(regexp_replace(t, '\p{Lu}+', '', 'g')) AS n_capitals,
+                   length(t) - length(regexp_replace(t, '\p{L}+', '', 'g')) AS n_letters
+            FROM d LEFT JOIN repeated USING (r)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words
+                    OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+                    OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
+                    OR 10 * n_exclamations > 3 * n_words OR 10 * n_capitals > 4 * word_chars
+                    OR 2 * n_letters < word_chars) AS kept
+        FROM m
+    """,
 }
