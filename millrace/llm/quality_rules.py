@@ -132,7 +132,7 @@ class Rule:
 
 RULES = [
     Rule("symbols", lambda t, m: 10 * m["n_symbols"] > m["n_words"]),
-    Rule("repeated_lines", lambda t, m: 10 * m["n_dup_lines"] > 3 * m["n_lines"]),
+    Rule("repeated_lines", lambda t, m: (m["n_dup_lines"] >= 3) & (10 * m["n_dup_lines"] > 3 * m["n_lines"])),
     Rule("word_length", lambda t, m: ~m["word_chars"].between(2 * m["n_words"], 20 * m["n_words"])),
     Rule("exclamations", lambda t, m: 10 * _removed(t, "!+") > 3 * m["n_words"]),
     Rule("capitals", lambda t, m: 10 * _removed(t, r"\p{Lu}+") > 4 * m["word_chars"]),

@@ -226,7 +226,7 @@ ORACLES = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
                n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
                NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words
-                    OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines
+                    OR 10 * n_symbols > n_words OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
                     OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
                     OR 10 * n_exclamations > 3 * n_words OR 10 * n_capitals > 4 * word_chars
                     OR 2 * n_letters < word_chars) AS kept
