@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -159,15 +160,16 @@ def encoder(path: str, pattern: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        parts, offsets = [], np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts):
-            ids = np.array(encode_text(text.as_py(), path, pattern), np.int32)
-            parts.append(ids)
-            offsets[i + 1] = offsets[i] + len(ids)
+        parts, ends = [], [0]
+        for text in texts.to_pylist():
+            ids = encode_text(text, path, pattern)
+            parts.append(np.fromiter(ids, np.int32, len(ids)))
+            ends.append(ends[-1] + len(ids))
         flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
-    return encode
+    # Else the planner would put the call into each expression that uses its result.
+    return encode.asNondeterministic()
 
 
 def decoder(path: str) -> Callable[[Column], Column]:
@@ -175,6 +177,8 @@ def decoder(path: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("binary")
     def decode(ids: pa.Array) -> pa.Array:
-        return pa.array([decode_ids(x.as_py(), path) for x in ids], pa.binary())
+        flat, ends = ids.flatten().to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0))
+        texts = (decode_ids(part.tolist(), path) for part in np.split(flat, ends[:-1]))
+        return pa.array(texts if len(ids) else [], pa.binary())
 
     return decode
