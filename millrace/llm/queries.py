@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from millrace.llm import bpe, language, pii, quality_rules
 from millrace.llm.decontaminate import contained_items
 from millrace.llm.near_dedup import near_duplicates
+from millrace.llm.token_files import read_token_file, write_token_file
+from millrace.session import working_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -91,6 +93,15 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, as read back from the token file."""
+    path = working_path(spark, "llm-token-file")
+    write_token_file(
+        _table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json")
+    )
+    return read_token_file(spark, path, with_ids=False)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
@@ -98,6 +109,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op9_token_files": op9_token_files,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
