@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, pii, quality_rules
+from millrace.llm import bpe, language, licenses, pii, quality_rules
 from millrace.llm.decontaminate import contained_items
+from millrace.llm.license_rules import signatures
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.token_files import read_token_file, write_token_file
 from millrace.session import working_path
@@ -102,6 +103,22 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_file(spark, path, with_ids=False)
 
 
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Words, base phrases, labels and score of every document."""
+    found = _table(spark, folder, "documents").select("doc_id", licenses.scan(F.col("text")).alias("s"))
+    starts = F.transform("s.places", lambda p: p["at"])
+    return found.select(
+        "doc_id",
+        F.col("s.n_words").alias("n_words"),
+        F.size("s.places").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join("s.base_labels", ",").alias("base_labels"),
+        F.array_join("s.labels", ",").alias("labels"),
+        F.col("s.score").alias("score"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
@@ -110,6 +127,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
+    "op10_license_scan": op10_license_scan,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -154,6 +172,11 @@ _PII_ROWS = " UNION ALL ".join(
     for k, (kind, (regex, check)) in enumerate(_PII_SQL.items())
 )
 
+_SIGNATURES = ", ".join(
+    f"('{r.label}', '{r.keyword}', '{r.regex}', {r.priority}, {r.score})" for r in signatures()
+)
+_KEYWORDS = "|".join(sorted({r.keyword.replace(" ", r"\s+") for r in signatures()}))
+
 ORACLES = {
     "op2_near_dedup": f"""
         WITH RECURSIVE w AS (
@@ -244,4 +267,44 @@ ORACLES = {
                     OR 2 * n_letters < word_chars) AS kept
         FROM m
     """,
+    "op10_license_scan": rf"""
+        WITH rules(label, keyword, regex, priority, score) AS (VALUES {_SIGNATURES}),
+        phrases(label, p) AS (VALUES ('cc-by', ['cc', 'by']),
+            ('gpl', ['general', 'public', 'license']), ('reserved', ['all', 'rights', 'reserved'])),
+        d AS (
+            SELECT row_number() OVER () AS r, doc_id, l,
+                   regexp_extract_all(l, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM (SELECT doc_id, {_LOWERED} AS l FROM documents)
+        ), base AS (
+            SELECT r, label, unnest(list_filter(range(0, len(w)),
+                lambda i: w[i + 1:i + len(p)] = p)) AS pos
+            FROM d, phrases WHERE list_contains(w, p[-1])
+        ), gated AS (
+            SELECT r, l, regexp_replace(l, '\s+', ' ', 'g') AS flat FROM d WHERE regexp_matches(l, '{_KEYWORDS}')
+        ), split AS (
+            SELECT r, label, priority, score, regexp_extract_all(l, regex) AS ms,
+                   string_split_regex(l, regex) AS ps
+            FROM gated JOIN rules ON contains(flat, keyword)
+        ), found AS (
+            SELECT r, label, priority, score, pos, pos + length(ms[i]) AS until FROM (
+                SELECT *, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+                    + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS pos
+                FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM split))
+        ), kept AS (
+            SELECT * FROM found AS x WHERE NOT EXISTS (
+                SELECT 1 FROM found AS y
+                WHERE y.r = x.r AND y.pos <= x.pos AND y.until >= x.until AND (y.priority > x.priority
+                    OR (y.priority = x.priority AND y.until - y.pos > x.until - x.pos)))
+        ), b AS (
+            SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+                   list_sort(list_distinct(list(label))) AS ls FROM base GROUP BY r
+        ), k AS (SELECT r, max(score) AS best, list(label) AS ls FROM kept GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+               CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+               coalesce(array_to_string(b.ls, ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(
+                   list_concat(coalesce(b.ls, []), coalesce(k.ls, [])))), ','), '') AS labels,
+               CAST(greatest(coalesce(best, 0), CASE WHEN n_base > 0 THEN 0.5 ELSE 0 END) AS DOUBLE) AS score
+        FROM d LEFT JOIN b USING (r) LEFT JOIN k USING (r)
+    """,
 }
