@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, language, licenses, pii, quality_rules
+from millrace.llm import bpe, extraction, language, licenses, pii, quality_rules
 from millrace.llm.decontaminate import contained_items
 from millrace.llm.license_rules import signatures
 from millrace.llm.near_dedup import near_duplicates
@@ -76,6 +76,13 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    extract = extraction.extractor(extraction.default_field())
+    pages = _table(spark, folder, "pages").select("page_id", "url", extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and the verdict of base checks and rule cascade for every document."""
     documents = quality_rules.measured(_table(spark, folder, "documents").select("doc_id", "text"))
@@ -125,6 +132,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
