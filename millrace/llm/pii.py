@@ -12,7 +12,7 @@ digits takes linear time and no stack.
 
 Defined cases: a null or empty text has no spans. Equal spans of one kind cannot occur; spans of
 different kinds may overlap and are all reported, and are masked as one. Texts are read whole.
-Other columns are not touched, whatever their names.
+Other columns than the one that is added are not touched.
 """
 
 from __future__ import annotations
@@ -168,9 +168,7 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, name: str = "pii_spans", text: str = "text") -> DataFrame:
-    """``docs`` with its spans in a column ``name``, which must not be taken."""
-    if name in docs.columns:
-        raise ValueError(f"the documents already have a column {name}")
+    """``docs`` with its spans in a column ``name``, in place of one of that name."""
     return docs.withColumn(name, pii_spans(F.coalesce(docs[text], F.lit(""))))
 
 

@@ -9,7 +9,7 @@ Repeated word windows are compared by 64-bit hashes.
 
 Defined cases: a null text counts as empty, has no words, lines or symbols and is rejected for
 its length. Equal texts get equal verdicts. Texts are read whole. Without rows to sample the rules
-keep their written order. Other columns are not touched, whatever their names.
+keep their written order. Other columns than the one that is added are not touched.
 """
 
 from __future__ import annotations
@@ -99,9 +99,7 @@ def line_measures(text: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``measures`` of all base measures."""
-    if "measures" in docs.columns:
-        raise ValueError("the documents already have a column measures")
+    """``docs`` with all base measures in a column ``measures``, in place of one of that name."""
     t = F.coalesce(docs[text], F.lit(""))
     return docs.withColumn(
         "measures",

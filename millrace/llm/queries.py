@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import bpe, extraction, language, licenses, pii, quality_rules
 from millrace.llm.decontaminate import contained_items
+from millrace.llm.importance import resampled
 from millrace.llm.license_rules import signatures
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.token_files import read_token_file, write_token_file
@@ -101,6 +102,11 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """Importance weight of every document and whether the resampling keeps it."""
+    return resampled(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of every document's ids, as read back from the token file."""
     path = working_path(spark, "llm-token-file")
@@ -134,6 +140,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
+    "op8_quality_selection": op8_quality_selection,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
 }
