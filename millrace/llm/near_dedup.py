@@ -3,11 +3,13 @@
 1. Every text becomes the set of its distinct word shingles (64-bit hashes), the minima of many
    universal hash functions over the set, and one key per band of minima.
 2. Texts with equal sets form a class; only one row per class goes on, so copies cost nothing.
-3. Classes that share a band key are candidates. First each class meets the smallest class of
-   its buckets. Components of the links found so far are then computed, and the remaining
+3. Classes that share a band key are candidates if their set sizes and the low bits of their
+   minima allow a link. First each class meets the smallest such class that leads one of its
+   buckets. Components of the links found so far are then computed, and the remaining
    candidates are all pairs of one bucket whose components differ. Within a component no pair is
    needed any more, so a bucket of thousands of near copies gives thousands of candidates, not
-   millions, and yet no link between components is left out.
+   millions, and yet no link between components is left out. Texts that merely share a line or a
+   passage fall to the test of sizes and bits, inside the join, and are never written.
 4. A candidate is dropped if its minima differ far more than the threshold allows, and is
    confirmed on the full sets.
 5. Components come from large-star and small-star rounds.
@@ -42,6 +44,9 @@ MINIMA = 140
 MISSED = 1e-6
 # Standard deviations that an estimate from the minima may lie under the threshold.
 SLACK = 5
+# Minima whose lowest bits are compared within the join, and the deviations allowed there.
+BITS = 128
+BIT_SLACK = 7
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,10 +96,13 @@ def _set_key(hashes: np.ndarray) -> bytes:
 
 
 def sketcher(size: int, rows: int) -> Callable[[Column], Column]:
-    """A function of a text column that gives struct<n_shingles, set_key, minima, bands>."""
+    """A function of a text column: struct<n_shingles, set_key, minima, bands, low_bits, high_bits>."""
     n_bands = MINIMA // rows
 
-    @F.arrow_udf("struct<n_shingles: bigint, set_key: binary, minima: binary, bands: array<bigint>>")
+    @F.arrow_udf(
+        "struct<n_shingles: bigint, set_key: binary, minima: binary, bands: array<bigint>,"
+        " low_bits: bigint, high_bits: bigint>"
+    )
     def sketch(texts: pa.Array) -> pa.Array:
         counts, keys, minima = [], [], []
         for hashes in shingle_sets(texts, size):
@@ -105,6 +113,7 @@ def sketcher(size: int, rows: int) -> Callable[[Column], Column]:
         bands = np.broadcast_to(np.arange(1, n_bands + 1, dtype=np.uint64), (len(minima), n_bands))
         for k in range(rows):
             bands = mixed(bands * np.uint64(7) + table[:, k : n_bands * rows : rows])
+        bits = np.packbits(table[:, :BITS] & 1, axis=1).reshape(-1).view(np.int64).reshape(len(minima), 2)
         flat = pa.array(np.ascontiguousarray(bands).view(np.int64).reshape(-1))
         ends = pa.array(np.arange(len(minima) + 1, dtype=np.int32) * np.int32(n_bands))
         return pa.StructArray.from_arrays(
@@ -113,8 +122,10 @@ def sketcher(size: int, rows: int) -> Callable[[Column], Column]:
                 pa.array(keys, pa.binary()),
                 pa.array([row.tobytes() for row in table], pa.binary()),
                 pa.ListArray.from_arrays(ends, flat),
+                pa.array(bits[:, 0].copy()),
+                pa.array(bits[:, 1].copy()),
             ],
-            ["n_shingles", "set_key", "minima", "bands"],
+            ["n_shingles", "set_key", "minima", "bands", "low_bits", "high_bits"],
         )
 
     return sketch
@@ -156,6 +167,17 @@ def _both(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
+def _may_link(percent: int) -> Column:
+    """Whether sizes and bits of two classes, with and without the suffix _b, allow a link."""
+    differing = (1 - percent / 100) / 2
+    most = BITS * differing + BIT_SLACK * (BITS * differing * (1 - differing)) ** 0.5
+    apart = sum(
+        F.bit_count(F.col(name).bitwiseXOR(F.col(f"{name}_b"))) for name in ("low_bits", "high_bits")
+    )
+    sizes = F.col("n_shingles"), F.col("n_shingles_b")
+    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (apart <= most)
+
+
 def confirmed(
     pairs: DataFrame, classes: DataFrame, documents: DataFrame, size: int, percent: int
 ) -> DataFrame:
@@ -188,6 +210,9 @@ def confirmed(
     return _both(likely, sets, "shingles").where(100 * common >= percent * union).select("a", "b")
 
 
+_TRAITS = ["n_shingles", "low_bits", "high_bits"]
+
+
 def near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT
 ) -> DataFrame:
@@ -210,6 +235,7 @@ def near_duplicates(
             F.min("doc_id").alias("first_id"),
             F.any_value("minima").alias("minima"),
             F.any_value("bands").alias("bands"),
+            *(F.any_value(name).alias(name) for name in _TRAITS),
         )
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
@@ -217,9 +243,13 @@ def near_duplicates(
 
     members = classes.select("cid", F.explode("bands").alias("band"))
     leaders = members.groupBy("band").agg(F.min("cid").alias("b"))
+    met = members.join(leaders, "band").where("cid <> b").select("cid", "b").distinct()
+    traits = classes.select("cid", *_TRAITS)
+    led = classes.select(F.col("cid").alias("b"), *(F.col(x).alias(f"{x}_b") for x in _TRAITS))
     stars = (
-        members.join(leaders, "band")
-        .where("cid <> b")
+        met.join(traits, "cid")
+        .join(led, "b")
+        .where(_may_link(percent))
         .groupBy(F.col("cid").alias("a"))
         .agg(F.min("b").alias("b"))
     )
@@ -227,7 +257,7 @@ def near_duplicates(
     roots = stored(components(links), "roots")
 
     placed = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "cid", F.coalesce("root", "cid").alias("root"), F.explode("bands").alias("band")
+        "cid", F.coalesce("root", "cid").alias("root"), *_TRAITS, F.explode("bands").alias("band")
     )
     open_buckets = (
         placed.groupBy("band")
@@ -236,10 +266,15 @@ def near_duplicates(
         .select("band")
     )
     left = placed.join(open_buckets, "band")
-    right = left.select("band", F.col("cid").alias("other"), F.col("root").alias("other_root"))
+    right = left.select(
+        "band",
+        F.col("cid").alias("other"),
+        F.col("root").alias("other_root"),
+        *(F.col(x).alias(f"{x}_b") for x in _TRAITS),
+    )
     across = (
         left.join(right, "band")
-        .where("root < other_root")
+        .where((F.col("root") < F.col("other_root")) & _may_link(percent))
         .select(F.col("cid").alias("a"), F.col("other").alias("b"))
         .distinct()
     )
