@@ -1,10 +1,11 @@
 """Personal data: patterns propose spans, checksums confirm them, context words weigh them.
 
 All of it is column expressions. Base kinds: e-mail addresses, IP addresses, card numbers and
-international phone numbers; what passes their checks is always a span. Further kinds, IBANs and
-social security numbers, are spans if their score reaches the threshold. A score starts at the
-kind's own value, a passed checksum sets it high, and each context word among the CONTEXT
-characters before a span raises it. A match that fails its check is dropped, not tried again.
+international phone numbers; what passes their checks is always a span. Further kinds, IBANs,
+social security numbers, and card and phone numbers in their usual grouping inside a longer run of
+digits that failed as a whole, are spans if their score reaches the threshold. A score starts at the
+kind's own value, which a checksum makes high, and a context word among the CONTEXT characters
+before the span, back to the previous match of the kind, raises it. A match that fails its check is dropped, not tried again.
 
 Cost: a text is searched for a kind only if it holds the sign or digits that the kind needs. All
 repetitions are possessive and start at the beginning of a run, so that a long run of letters or
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from millrace.llm.spans import let, match_spans
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
-KINDS = [*BASE_KINDS, "iban", "ssn"]
+KINDS = [*BASE_KINDS, "iban", "ssn", "card_number", "phone_number"]
+# Only where no span of this base kind is.
+INSTEAD_OF = {"card_number": "card", "phone_number": "phone"}
 CONTEXT = 40
 THRESHOLD = 0.6
 SCORE_OF_WORD = 0.3
@@ -36,9 +39,11 @@ WORDS = {
     "phone": "phone|tel|call|mobile|fax|contact",
     "iban": "iban|account|bank|transfer|konto|cuenta|compte",
     "ssn": "ssn|social|security|insurance",
+    "card_number": "card|visa|mastercard|credit|debit|payment",
+    "phone_number": "phone|tel|call|mobile|fax|contact",
 }
 # Score of a span by its pattern and, where the kind has one, its checksum alone.
-OWN_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "ssn": 0.4}
+OWN_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "card_number": 0.8, "phone_number": 0.6}
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 # \G lets a match begin where the last one ended; otherwise it begins where its run begins.
@@ -49,6 +54,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
     "ssn": r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])",
+    "card_number": r"(?<![A-Za-z0-9_])(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})(?![A-Za-z0-9_])",
+    "phone_number": r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![A-Za-z0-9_])",
 }
 # What a text must hold to be searched at all.
 _NEEDS = {
@@ -58,6 +65,8 @@ _NEEDS = {
     "phone": r"\+[0-9][\x20().0-9-]",
     "iban": r"[A-Z]{2}[0-9]{2}[\x20A-Z0-9]",
     "ssn": r"[0-9]{3}-[0-9]{2}-",
+    "card_number": r"[0-9]{13}|(?:[0-9]{4}[\x20-]){3}",
+    "phone_number": r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2}",
 }
 
 
@@ -94,7 +103,9 @@ def _confirmed(kind: str, match: Column) -> Column:
         return F.forall(parts, lambda p: (F.length(p) <= 3) & (F.substr(p, F.lit(1), F.lit(3)).cast("int") <= 255))
     if kind == "card":
         return F.length(digits).between(14, 19) & _luhn(F.substr(digits, F.lit(1), F.lit(19)))
-    if kind == "phone":
+    if kind == "card_number":
+        return _luhn(digits)
+    if kind in ("phone", "phone_number"):
         return F.length(digits).between(10, 15)
     if kind == "iban":
         bare = F.regexp_replace(match, " ", "")
@@ -104,9 +115,7 @@ def _confirmed(kind: str, match: Column) -> Column:
 
 def _spans(text: Column, kind: str) -> Column:
     def scored(s: Column) -> Column:
-        before = F.lower(
-            F.substr(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        )
+        before = F.lower(s["before"])
         near = F.when(F.regexp_like(before, F.lit(rf"\b(?:{WORDS[kind]})\b")), SCORE_OF_WORD).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"),
@@ -117,7 +126,7 @@ def _spans(text: Column, kind: str) -> Column:
         )
 
     found = F.transform(
-        F.filter(match_spans(text, F.lit(PATTERNS[kind])), lambda s: _confirmed(kind, s["match"])), scored
+        F.filter(match_spans(text, F.lit(PATTERNS[kind]), CONTEXT), lambda s: _confirmed(kind, s["match"])), scored
     )
     if kind not in BASE_KINDS:
         found = F.filter(found, lambda s: s["score"] >= THRESHOLD)
@@ -130,7 +139,19 @@ _EMPTY = "array<struct<kind:string,start:int,end:int,score:double,match:string>>
 def pii_spans(text: Column) -> Column:
     """array<struct<kind, start, end, score, match>> in the order of start and KINDS."""
     # Each kind's spans are in order already; sorting puts them together by start and kind.
-    every = F.concat(*(F.coalesce(_spans(text, kind), F.array().cast(_EMPTY)) for kind in KINDS))
+    found = F.concat(*(F.coalesce(_spans(text, kind), F.array().cast(_EMPTY)) for kind in KINDS))
+
+    def free(spans: Column) -> Column:
+        def taken(s: Column, kind: str) -> Column:
+            return F.exists(spans, lambda b: (b["kind"] == kind) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+        def stays(s: Column) -> Column:
+            blocked = [(s["kind"] == own) & taken(s, base) for own, base in INSTEAD_OF.items()]
+            return ~(blocked[0] | blocked[1])
+
+        return F.filter(spans, stays)
+
+    every = let(found, free)
     order = F.array(*map(F.lit, KINDS))
     keyed = F.transform(
         every, lambda s: F.struct(s["start"].alias("at"), F.array_position(order, s["kind"]).alias("k"), s.alias("s"))
@@ -149,20 +170,19 @@ def described(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with ``<KIND>`` in place of every span; overlapping spans become the first one."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, s: Column) -> Column:
         between = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        mark = F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))
         return F.struct(
             F.greatest(s["end"], state["at"]).alias("at"),
             F.when(s["start"] < state["at"], state["out"])
-            .otherwise(F.concat(state["out"], F.array(between, mark)))
+            .otherwise(F.concat(state["out"], between, F.lit("<"), F.upper(s["kind"]), F.lit(">")))
             .alias("out"),
         )
 
     def finish(state: Column) -> Column:
-        return F.concat(F.array_join(state["out"], ""), F.substr(text, state["at"] + 1, F.length(text)))
+        return F.concat(state["out"], F.substr(text, state["at"] + 1, F.length(text)))
 
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
 

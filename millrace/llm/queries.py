@@ -171,13 +171,18 @@ _PII_SQL = {
     ),
     "ssn": (
         r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
-        rf"regexp_matches(lower(t[greatest(p - 40, 0) + 1:p]), '\b(?:{pii.WORDS['ssn']})\b')",
+        rf"regexp_matches(lower(right(before, 40)), '\b(?:{pii.WORDS['ssn']})\b')",
+    ),
+    "card_number": (r"\b(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})\b", _LUHN),
+    "phone_number": (
+        r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}\b",
+        f"len({_DIGITS}) BETWEEN 10 AND 15",
     ),
 }
 _PII_ROWS = " UNION ALL ".join(
     f"""SELECT doc_id, '{kind}' AS kind, {k} AS k, p, p + length(m) AS q FROM (
         SELECT *, replace(m, ' ', '') AS bare FROM (
-            SELECT doc_id, t, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+            SELECT doc_id, t, ms[i] AS m, ps[i] AS before, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
                 + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS p
             FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
                 SELECT doc_id, t, regexp_extract_all(t, '{regex}') AS ms,
@@ -219,15 +224,20 @@ ORACLES = {
         FROM s JOIN grouped USING (doc_id)
     """,
     "op3_pii": f"""
-        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ({_PII_ROWS}),
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), every_span AS ({_PII_ROWS}),
+        f AS (
+            SELECT * FROM every_span AS s WHERE NOT EXISTS (
+                SELECT 1 FROM every_span AS b WHERE b.doc_id = s.doc_id AND s.kind = b.kind || '_number'
+                    AND b.p < s.q AND s.p < b.q)
+        ),
         g AS (
             SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{x}') AS n_{x}" for x in pii.BASE_KINDS)},
                    string_agg(kind || ':' || p || ':' || q, ',' ORDER BY p, k) FILTER (k < 4) AS base,
-                   string_agg(kind || ':' || p || ':' || q, ',' ORDER BY p, k) AS every
+                   string_agg(kind || ':' || p || ':' || q, ',' ORDER BY p, k) AS spans
             FROM f GROUP BY doc_id
         )
         SELECT doc_id, {", ".join(f"CAST(coalesce(n_{x}, 0) AS BIGINT) AS n_{x}" for x in pii.BASE_KINDS)},
-               sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(g.spans, '') AS spans
         FROM d LEFT JOIN g USING (doc_id)
     """,
     "op4_decontamination": r"""

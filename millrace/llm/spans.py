@@ -7,35 +7,67 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Length of the runs in which positions are added up: a text with k matches costs k times this.
+RUN = 128
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often the body names it."""
     return F.transform(F.array(value), body)[0]
 
 
-def match_spans(text: Column, regex: Column) -> Column:
-    """array<struct<start, end, match>> of all matches, leftmost and non-overlapping.
+def sums_before(lengths: Column) -> Column:
+    """For every element of an int array, the sum of those before it.
 
-    Positions count code points from 0, the end is exclusive. The pieces between the matches
-    give the positions: Spark has no function that returns all of them. The regex must not match
-    the empty string and must have no group outside a non-capturing one.
+    An array cannot be extended in place, so one pass over all elements would copy the result for
+    each of them. Runs of RUN elements are added up separately, each from the sum at its start.
     """
 
-    def placed(matches: Column) -> Column:
-        pieces = F.split(text, regex, -1)
-        start = F.struct(
-            F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out")
+    def of_run(first: Column) -> Column:
+        base = F.aggregate(F.slice(lengths, 1, first), F.lit(0), lambda a, x: a + x)
+        start = F.struct(base.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            F.slice(lengths, first + 1, RUN),
+            start,
+            lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            lambda s: s["out"],
         )
 
-        def step(state: Column, pair: Column) -> Column:
-            first = state["at"] + F.length(pair["piece"])
-            last = first + F.length(pair["match"])
-            row = F.struct(first.alias("start"), last.alias("end"), pair["match"].alias("match"))
-            return F.struct(last.alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
+    firsts = F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(RUN))
+    return F.when(F.size(lengths) > 0, F.flatten(F.transform(firsts, of_run))).otherwise(
+        F.array().cast("array<int>")
+    )
 
-        pairs = F.filter(
-            F.arrays_zip(pieces.alias("piece"), matches.alias("match")), lambda p: p["match"].isNotNull()
-        )
-        return F.aggregate(pairs, start, step, lambda state: state["out"])
 
-    return let(F.regexp_extract_all(text, regex, F.lit(0)), placed)
+def match_spans(text: Column, regex: Column, context: int = 1) -> Column:
+    """array<struct<start, end, match, before>> of all matches, leftmost and non-overlapping.
+
+    ``before`` is the text between the previous match and this one, at most its last ``context``
+    code points. Positions count code points from 0, the end is exclusive. The pieces between the
+    matches give the positions: Spark has no function that returns all of them. The regex must not
+    match the empty string and must have no group but non-capturing ones.
+    """
+
+    def placed(x: Column) -> Column:
+        pieces, matches = x["pieces"], x["matches"]
+        lengths = F.transform(matches, lambda m, i: F.length(m) + F.length(F.get(pieces, i)))
+
+        def row(starts: Column) -> Callable[[Column, Column], Column]:
+            def of(match: Column, i: Column) -> Column:
+                piece = F.get(pieces, i)
+                first = F.get(starts, i) + F.length(piece)
+                return F.struct(
+                    first.alias("start"),
+                    (first + F.length(match)).alias("end"),
+                    match.alias("match"),
+                    F.substr(piece, F.lit(-context)).alias("before"),
+                )
+
+            return of
+
+        return let(let(lengths, sums_before), lambda starts: F.transform(matches, row(starts)))
+
+    parts = F.struct(
+        F.split(text, regex, -1).alias("pieces"), F.regexp_extract_all(text, regex, F.lit(0)).alias("matches")
+    )
+    return let(parts, placed)
