@@ -44,9 +44,17 @@ def decode_utf8(value: Column | str) -> Column:
     return _column(value).cast("string")
 
 
-def parse_json(value: Column | str, schema: T.DataType | str) -> Column:
-    """Permissive JSON parse: malformed text and fields of a wrong type become null."""
-    return F.from_json(_column(value), schema)
+def parse_json(value: Column | str, schema: T.DataType | str, strict: bool = False) -> Column:
+    """JSON parse: malformed text and fields of a wrong type become null.
+
+    A strict parse fails on text that is no JSON of the schema's kind; null stays null.
+    """
+    text = _column(value)
+    parsed = F.from_json(text, schema)
+    if not strict:
+        return parsed
+    message = F.concat(F.lit("malformed JSON: "), F.substr(text, F.lit(1), F.lit(80)))
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message)).otherwise(parsed)
 
 
 def row_json(*columns: Column | str) -> Column:

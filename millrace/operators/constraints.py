@@ -63,8 +63,8 @@ def too_long(column: str, limit: int) -> Column:
 
 
 def out_of_range(column: str, precision: int, scale: int) -> Column:
-    """Violation test of a NUMERIC(precision, scale) column."""
-    return F.abs(F.col(column)) >= F.lit(float(10 ** (precision - scale)))
+    """Violation test of a NUMERIC(precision, scale) column: the value as rounded to the scale."""
+    return F.abs(F.round(F.col(column), scale)) >= F.lit(float(10 ** (precision - scale)))
 
 
 def type_limit_violations(

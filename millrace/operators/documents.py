@@ -11,11 +11,16 @@ from millrace.sources.schemas import RUBRIC_JSON
 DEFAULT_MAX_POINTS = 5.0
 
 
-def nested_rubric(text: Column | str, max_points: Column | float = DEFAULT_MAX_POINTS) -> Column:
-    """JSON array of rubric items as an array of structs, with max_points added to every item."""
+def nested_rubric(
+    text: Column | str, max_points: Column | float = DEFAULT_MAX_POINTS, strict: bool = True
+) -> Column:
+    """JSON array of rubric items as an array of structs, with max_points added to every item.
+
+    Malformed text fails, or is null when not strict; null text is null either way.
+    """
     limit = max_points if isinstance(max_points, Column) else F.lit(float(max_points))
     return F.transform(
-        parse_json(text, RUBRIC_JSON),
+        parse_json(text, RUBRIC_JSON, strict),
         lambda item: F.struct(
             item["criterion"].alias("criterion"),
             item["points"].alias("points"),
@@ -26,7 +31,7 @@ def nested_rubric(text: Column | str, max_points: Column | float = DEFAULT_MAX_P
 
 
 def feedback_documents(
-    raw: DataFrame, max_points: Column | float = DEFAULT_MAX_POINTS
+    raw: DataFrame, max_points: Column | float = DEFAULT_MAX_POINTS, strict: bool = True
 ) -> DataFrame:
     """Typed feedback documents from text rows whose rubric column holds a JSON array."""
     return raw.select(
@@ -34,14 +39,17 @@ def feedback_documents(
         F.col("submission_id").cast("bigint").alias("submission_id"),
         F.col("teacher_id").cast("bigint").alias("teacher_id"),
         "ts",
-        nested_rubric("rubric", max_points).alias("rubric"),
+        nested_rubric("rubric", max_points, strict).alias("rubric"),
         "overall_comment",
     )
 
 
 def unnest_rubric(documents: DataFrame, *keep: str) -> DataFrame:
     """One row per rubric item; documents without items give none. Comments are not carried."""
-    return documents.select(*keep, F.inline("rubric")).select(
+    fields = ["criterion", "points", "max_points"]
+    # Zipped from single fields, so that the scan reads these and not the whole items.
+    items = F.arrays_zip(*[F.col(f"rubric.{name}").alias(name) for name in fields])
+    return documents.select(*keep, F.inline(items)).select(
         *keep,
         "criterion",
         F.col("points").cast("double").alias("points"),

@@ -54,6 +54,6 @@ def normalize_fields(
             continue
         number = cast_column(F.col(f"`{source}`"), "double", strict)
         if target in whole_numbers:
-            number = number.cast("int")
+            number = number.cast("int") if strict else number.try_cast("int")
         chosen.append(number.alias(target))
     return df.select(*chosen)

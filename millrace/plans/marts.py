@@ -44,7 +44,7 @@ def course_load(
             F.coalesce("students", F.lit(0)).alias("student_count"),
             F.coalesce("tasks", F.lit(0)).alias("assignment_count"),
         )
-        .orderBy(F.desc("student_count"), F.desc("assignment_count"), F.asc("course_id"))
+        .orderBy(F.desc("student_count"), F.desc("assignment_count"), F.asc_nulls_last("course_id"))
         .limit(top)
     )
 
@@ -67,34 +67,40 @@ def submission_punctuality(
             ),
             rate(is_late("submitted_ts", "due_dt")).alias("late_rate"),
         )
-        .orderBy("course_id", "group_name")
+        .orderBy(F.asc_nulls_last("course_id"), F.asc_nulls_last("group_name"))
     )
 
 
 def grade_distribution(submissions: DataFrame, assignments: DataFrame) -> DataFrame:
     """Grade statistics per assignment; too hard means a low mean score and many late ones.
 
-    Submissions are counted per assignment and grade first, before anything is moved by
-    assignment. Grades come from a fixed scale, so an assignment has a bounded number of those
-    counts, however many submissions it has, and the median over them is exact: the lowest grade
-    that at least half of the submissions do not exceed. Titles and other attributes join the
-    finished statistics by assignment_id, the key of the assignments. The label compares the
-    rounded statistics that are shown.
+    Submissions are counted per assignment, day and grade in their scan, so what is moved by
+    assignment is bounded by days times grades, however many submissions an assignment has. The
+    counts meet the assignments once and are then reduced to grades. The median over them is
+    exact: the lowest grade that at least half of the submissions do not exceed. The label
+    compares the rounded statistics that are shown.
     """
     owner = "assignment_id"
-    graded = submissions.select(
-        owner, "submitted_ts", F.col("grade").cast("double").alias("grade")
-    ).join(assignments.select(owner, "due_dt"), owner)
-    counted = graded.groupBy(owner, "grade").agg(
-        F.count("*").alias("rows"),
-        F.count("grade").alias("grades"),
-        F.sum(flag(is_late("submitted_ts", "due_dt"))).alias("late"),
+    daily = submissions.groupBy(
+        owner,
+        F.col("submitted_ts").cast("date").alias("day"),
+        F.col("grade").cast("double").alias("grade"),
+    ).agg(F.count("*").alias("day_rows"))
+    attributes = ["course_id", "title", "max_score"]
+    counted = (
+        daily.join(assignments.select(owner, "due_dt", *attributes), owner)
+        .groupBy(owner, *attributes, "grade")
+        .agg(
+            F.sum("day_rows").alias("rows"),
+            F.sum(F.when(is_late("day", "due_dt"), F.col("day_rows")).otherwise(0)).alias("late"),
+        )
+        .withColumn("grades", F.when(F.col("grade").isNotNull(), F.col("rows")).otherwise(0))
     )
     by_grade = Window.partitionBy(owner).orderBy(F.asc_nulls_last("grade"))
     up_to = F.sum("grades").over(by_grade.rowsBetween(Window.unboundedPreceding, 0))
     of_all = F.sum("grades").over(Window.partitionBy(owner))
     ranked = counted.withColumn("upper_half", up_to * 2 >= of_all)
-    stats = ranked.groupBy(owner).agg(
+    stats = ranked.groupBy(owner, *attributes).agg(
         F.sum("rows").alias("submission_count"),
         rounded_ratio(F.sum(F.col("grade") * F.col("grades")), F.sum("grades"), 2).alias(
             "avg_grade"
@@ -105,10 +111,9 @@ def grade_distribution(submissions: DataFrame, assignments: DataFrame) -> DataFr
         ).alias("zero_rate"),
         rounded_ratio(F.sum("late"), F.sum("rows"), 3).alias("late_rate"),
     )
-    labelled = stats.join(assignments.select(owner, "course_id", "title", "max_score"), owner)
     low_score = F.col("avg_grade") / F.col("max_score").cast("double") < HARD_SCORE
     hard = low_score & (F.col("late_rate") >= HARD_LATE_RATE)
-    return labelled.select(
+    return stats.select(
         "course_id",
         "assignment_id",
         "title",
@@ -122,7 +127,7 @@ def grade_distribution(submissions: DataFrame, assignments: DataFrame) -> DataFr
         F.desc("is_too_hard"),
         F.asc_nulls_last("avg_grade"),
         F.desc_nulls_last("late_rate"),
-        F.asc("assignment_id"),
+        F.asc_nulls_last("assignment_id"),
     )
 
 
@@ -150,7 +155,7 @@ def rubric_evaluation(items: DataFrame, top: int = 10) -> DataFrame:
             rounded_avg(score, 3).alias("avg_score_ratio"),
             rate(score < WEAK_SCORE).alias("weak_rate"),
         )
-        .orderBy(F.desc("weak_rate"), F.asc_nulls_last("avg_points"), F.asc("criterion"))
+        .orderBy(F.desc("weak_rate"), F.asc_nulls_last("avg_points"), F.asc_nulls_last("criterion"))
         .limit(top)
     )
 
@@ -163,7 +168,7 @@ def file_sizes(manifest: DataFrame) -> DataFrame:
             F.count("*").alias("file_count"),
             rounded_avg("size_kb", 2).alias("avg_file_size_kb"),
         )
-        .orderBy("assignment_id")
+        .orderBy(F.asc_nulls_last("assignment_id"))
     )
 
 
@@ -172,7 +177,7 @@ def largest_files(manifest: DataFrame, top: int = 10) -> DataFrame:
         manifest.select(
             "submission_id", "assignment_id", "file_name", "size_kb", "size_bytes", "object_path"
         )
-        .orderBy(F.desc_nulls_last("size_kb"), F.asc("submission_id"))
+        .orderBy(F.desc_nulls_last("size_kb"), F.asc_nulls_last("submission_id"))
         .limit(top)
     )
 
@@ -187,17 +192,21 @@ def missing_files(submissions: DataFrame, manifest: DataFrame) -> DataFrame:
     return (
         submissions.select(*pair, "student_id", "submitted_ts", "grade")
         .join(manifest.select(*pair).distinct(), pair, "left_anti")
-        .orderBy("assignment_id", "submission_id")
+        .orderBy(F.asc_nulls_last("assignment_id"), F.asc_nulls_last("submission_id"))
     )
 
 
 def _grades_by_course(submissions: DataFrame, assignments: DataFrame) -> DataFrame:
-    graded = submissions.select("assignment_id", "submitted_ts", "grade").join(
-        assignments.select("assignment_id", "course_id", "due_dt"), "assignment_id"
-    )
-    return graded.groupBy("course_id").agg(
-        rounded_avg("grade", 2).alias("avg_grade"),
-        rate(is_late("submitted_ts", "due_dt")).alias("late_rate"),
+    """Sums per assignment and day meet the due dates, so a busy assignment is a row per day."""
+    grade = F.col("grade").cast("double")
+    daily = submissions.groupBy(
+        "assignment_id", F.col("submitted_ts").cast("date").alias("day")
+    ).agg(F.sum(grade).alias("total"), F.count(grade).alias("grades"), F.count("*").alias("rows"))
+    dated = daily.join(assignments.select("assignment_id", "course_id", "due_dt"), "assignment_id")
+    late = F.sum(F.when(is_late("day", "due_dt"), F.col("rows")).otherwise(0))
+    return dated.groupBy("course_id").agg(
+        rounded_ratio(F.sum("total"), F.sum("grades"), 2).alias("avg_grade"),
+        rounded_ratio(late, F.sum("rows"), 3).alias("late_rate"),
     )
 
 
@@ -221,11 +230,19 @@ def _file_size_by_course(manifest: DataFrame, assignments: DataFrame) -> DataFra
 def _correctness_by_course(
     submissions: DataFrame, assignments: DataFrame, feedback: DataFrame, criterion: str
 ) -> DataFrame:
+    # The points are added up inside the array: no row per item, and no comment is read.
+    chosen = F.filter(
+        F.arrays_zip(F.col("rubric.criterion").alias("criterion"), F.col("rubric.points").alias("points")),
+        lambda item: (item["criterion"] == criterion) & item["points"].isNotNull(),
+    )
+    points = F.aggregate(
+        chosen, F.lit(0.0), lambda total, item: total + item["points"].cast("double")
+    )
     scores = (
-        unnest_rubric(feedback, "submission_id")
-        .where(F.col("criterion") == criterion)
+        feedback.select("submission_id", points.alias("total"), F.size(chosen).alias("items"))
+        .where(F.col("items") > 0)
         .groupBy("submission_id")
-        .agg(F.sum("points").alias("total"), F.count("points").alias("items"))
+        .agg(F.sum("total").alias("total"), F.sum("items").alias("items"))
     )
     totals = (
         submissions.select("submission_id", "assignment_id")
@@ -246,8 +263,8 @@ def course_quality(
 ) -> DataFrame:
     """One row per course with grade, lateness, file size and correctness; missing ones null.
 
-    Files and scores are summed per assignment before they meet the assignments, so a busy
-    assignment is one row in every join.
+    Files and scores are summed per assignment, grades per assignment and day, before they meet
+    the assignments, so a busy assignment is a few rows in every join.
     """
     return (
         courses.select("course_id", "course_name")
@@ -266,5 +283,5 @@ def course_quality(
             "avg_file_size_kb",
             "avg_correctness_points",
         )
-        .orderBy("course_id")
+        .orderBy(F.asc_nulls_last("course_id"))
     )

@@ -46,7 +46,7 @@ def procedures_by_class(
         union_parts(join_placed(performed, visits, "encounter", "id"))
         .groupBy("encounterclass", "description")
         .agg(F.count("*").alias("procedure_cnt"))
-        .orderBy(F.desc("procedure_cnt"), F.asc("encounterclass"), F.asc("description"))
+        .orderBy(F.desc("procedure_cnt"), F.asc_nulls_last("encounterclass"), F.asc_nulls_last("description"))
         .limit(top)
     )
 
@@ -73,7 +73,7 @@ def claims_by_city(
             F.count("*").alias("encounter_cnt"),
             rounded_avg("total_claim_cost", 2).alias("avg_claim"),
         )
-        .orderBy(F.desc("encounter_cnt"), F.asc("city"), F.asc("state"), F.asc("name"))
+        .orderBy(F.desc("encounter_cnt"), F.asc_nulls_last("city"), F.asc_nulls_last("state"), F.asc_nulls_last("name"))
         .limit(top)
     )
 
@@ -113,6 +113,6 @@ def costs_by_organization(
             F.count("*").alias("encounter_cnt"),
             rounded_sum("cost", 2).alias("proc_cost"),
         )
-        .orderBy(F.desc_nulls_last("proc_cost"), *[F.asc(name) for name in keys])
+        .orderBy(F.desc_nulls_last("proc_cost"), *[F.asc_nulls_last(name) for name in keys])
         .limit(top)
     )

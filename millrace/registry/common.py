@@ -19,22 +19,29 @@ _schemas: dict[tuple[str, str], StructType] = {}
 
 
 class Inputs:
-    """The parquet tables of one folder, with the session set up for their size."""
+    """The parquet tables of one folder, with the session set up for those a query has named."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
         self.app = spark.sparkContext.applicationId
-        if (self.app, folder) not in _sizes:
-            _sizes[self.app, folder] = folder_state(spark, folder)[1]
-        self.bytes = _sizes[self.app, folder]
-        configure(spark, self.bytes)
+        self.named: dict[str, int] = {}
+        configure(spark, 0)
+
+    @property
+    def bytes(self) -> int:
+        """Size of the tables named so far; other tables of the folder play no part."""
+        return sum(self.named.values())
 
     def __getitem__(self, name: str) -> DataFrame:
-        """A table by name. Its schema is read from the file footers once per session."""
+        """A table by name. Size and schema are read once per session."""
         path = f"{self.folder}/{name}.parquet"
         if (self.app, path) not in _schemas:
             _schemas[self.app, path] = self.spark.read.parquet(path).schema
+            _sizes[self.app, path] = folder_state(self.spark, path)[1]
+        if name not in self.named:
+            self.named[name] = _sizes[self.app, path]
+            configure(self.spark, self.bytes)
         return self.spark.read.schema(_schemas[self.app, path]).parquet(path)
 
     @property

@@ -271,13 +271,6 @@ FROM counts JOIN totals USING (table_name)
 """
 
 
-def hash_segments(data: Inputs) -> DataFrame:
-    """Rows per hash partition as Spark itself would place them."""
-    return segments.segment_counts(
-        data["orders"], "encounters", segments.hash_segment("o_orderkey", 8), 8
-    )
-
-
 QUERIES = {
     "layout_load": query(layout_load),
     "star_q1": query(star_q1),
@@ -288,7 +281,6 @@ QUERIES = {
     "star_q3_alt": query(lambda data: star_q3(data, _alternative_rows)),
     "segment_counts": query(segment_counts),
     "skew_report": query(skew_report),
-    "hash_segments": query(hash_segments),
 }
 
 ORACLES = {

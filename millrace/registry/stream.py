@@ -13,16 +13,16 @@ from millrace.functions import row_json
 from millrace.operators.manifest import normalize_fields
 from millrace.registry.common import Inputs, query, sql_round
 from millrace.sinks.messages import to_messages
+from millrace.sources.external import read_message_stream
 from millrace.sources.schemas import WINE_FIELDS, WINE_MESSAGE
-from millrace.streaming.messages import Rules, classify_quality, register_classifier
+from millrace.streaming.messages import Rules, classify_quality, register_classifier, replay
 from millrace.streaming.pipeline import FileSinks, merged_stats, start_stream
 
 RULES = Rules(sulphates=150.0, low=40, medium=60, min_quality=60)
 
-EVENT_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
-    "props string"
-)
+MESSAGE_SCHEMA = "key string, value binary, timestamp timestamp"
+# Micro-batches that the stored messages are read in.
+BATCHES = 4
 
 
 def _grade():
@@ -86,20 +86,24 @@ MEASURES_SQL = """fixed_acidity, volatile_acidity, citric_acid, residual_sugar,
 
 
 def run_stream(data: Inputs) -> FileSinks:
-    """Run the job over the events files until all of them are read."""
+    """Store the events as message files, then run the job over these until all are read.
+
+    The messages come from the events table itself, whatever else lies in its folder.
+    """
+    events = data["events"]
 
     def build(path: str) -> FileSinks:
-        events = (
-            data.spark.readStream.schema(EVENT_SCHEMA)
-            .option("maxFilesPerTrigger", 1000)
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", True)
-            .parquet(f"{data.folder}/events.parquet*")
+        files = max(BATCHES, data.width)
+        wine_messages(events).repartition(files, "key").write.parquet(f"{path}/in")
+        messages = read_message_stream(
+            data.spark,
+            "parquet",
+            schema=MESSAGE_SCHEMA,
+            path=f"{path}/in",
+            maxFilesPerTrigger=str(-(-files // BATCHES)),
         )
         sinks = FileSinks(f"{path}/out")
-        started = start_stream(
-            wine_messages(events), sinks, f"{path}/progress", RULES, available_now=True
-        )
+        started = start_stream(messages, sinks, f"{path}/progress", RULES, available_now=True)
         started.awaitTermination()
         return sinks
 
@@ -213,7 +217,20 @@ SELECT event_id, quality, {GROUP_SQL} AS quality_group, {GROUP_SQL} AS quality_g
 FROM ({FIELDS_SQL}) AS fields
 """
 
+def replayed_messages(data: Inputs) -> DataFrame:
+    """The messages of all events sent twice: how often each key and value was sent."""
+    sent = replay(wine_messages(data["events"]), 2)
+    return sent.groupBy("key").agg(
+        F.count("*").alias("times"), F.countDistinct("value").alias("bodies")
+    )
+
+
+REPLAYED_MESSAGES_SQL = """
+SELECT CAST(event_id AS VARCHAR) AS key, 2 AS times, 1 AS bodies FROM events
+"""
+
 QUERIES = {
+    "replayed_messages": query(replayed_messages),
     "stream_events": query(stream_events),
     "stream_rejects": query(stream_rejects),
     "stream_stats": query(stream_stats),
@@ -223,6 +240,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "replayed_messages": REPLAYED_MESSAGES_SQL,
     "stream_events": STREAM_EVENTS_SQL,
     "stream_rejects": STREAM_REJECTS_SQL,
     "stream_stats": STREAM_STATS_SQL,

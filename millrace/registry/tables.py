@@ -13,7 +13,7 @@ from millrace.plans import measurements
 from millrace.registry.common import Inputs, query, sql_round
 from millrace.sinks.files import write_csv
 from millrace.sinks.measurements import append_measurements, with_speedup
-from millrace.sources.files import list_files, read_csv
+from millrace.sources.files import read_csv
 from millrace.sources.generators import HEX_DIGITS, uniform_value
 from millrace.sources.measurements import read_log, sorted_records
 
@@ -168,23 +168,29 @@ CHECK_TYPES_SQL = """
 SELECT p_partkey, p_name, p_retailprice, 'p_name' AS violated FROM part WHERE length(p_name) > 10
 UNION ALL
 SELECT p_partkey, p_name, p_retailprice, 'p_retailprice' FROM part
-WHERE abs(p_retailprice) >= 1000
+WHERE abs(round(p_retailprice, 2)) >= 1000
 """
 
 
 def csv_roundtrip(data: Inputs) -> DataFrame:
-    """Customers through a semicolon file whose delimiter is found from its header line."""
+    """Documents through a semicolon file whose delimiter is found from its header line.
+
+    Texts hold quotes, blanks and line breaks; one column has empty strings and nulls.
+    """
+    marked = F.when(F.col("doc_id") % 3 == 0, F.lit("")).when(F.col("doc_id") % 3 == 1, F.lit(" x "))
+    documents = data["documents"].withColumn("marked", marked)
 
     def build(path: str) -> str:
-        write_csv(data["customer"], path, delimiter=";")
+        write_csv(documents, path, delimiter=";", multi_line=True)
         return path
 
-    path = data.stored("customer-csv", build)
-    return read_csv(data.spark, path, data["customer"].schema)
+    path = data.stored("documents-csv", build)
+    return read_csv(data.spark, path, documents.schema, multi_line=True)
 
 
-def file_inventory(data: Inputs) -> DataFrame:
-    return list_files(data.spark, data.folder).select("path", "length")
+def event_samples(data: Inputs) -> DataFrame:
+    """The first rows of the events in a total order."""
+    return counts.sample_rows(data["events"].select("event_id", "event_type", "value"), 5, ["event_id"])
 
 
 def event_uniform(data: Inputs) -> DataFrame:
@@ -321,7 +327,7 @@ QUERIES = {
     "check_expr": query(check_expr),
     "check_types": query(check_types),
     "csv_roundtrip": query(csv_roundtrip),
-    "file_inventory": query(file_inventory),
+    "event_samples": query(event_samples),
     "uniform_source": query(event_uniform),
     "experiment_rows": query(experiment_rows),
     "experiment_rollup": query(experiment_rollup),
@@ -346,7 +352,10 @@ ORACLES = {
     "check_fk_documents": CHECK_FK_DOCUMENTS_SQL,
     "check_expr": CHECK_EXPR_SQL,
     "check_types": CHECK_TYPES_SQL,
-    "csv_roundtrip": "SELECT * FROM customer",
+    "csv_roundtrip": """
+SELECT *, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN ' x ' END AS marked FROM documents
+""",
+    "event_samples": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 5",
     "uniform_source": UNIFORM_SQL,
     "experiment_rows": EXPERIMENT_ROWS_SQL,
     "experiment_rollup": EXPERIMENT_ROLLUP_SQL,

@@ -32,7 +32,6 @@ RUNTIME_SETTINGS = {
 STARTUP_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 32_768
 
 MIN_SPLIT_BYTES = 128 * 1024 * 1024
 MAX_SPLIT_BYTES = 1024 * 1024 * 1024
@@ -54,14 +53,13 @@ def build_session(
 
 def partitions_for(input_bytes: int, cores: int) -> int:
     """Initial shuffle width for an input: one partition per 128 MB, never fewer than the cores."""
-    wanted = max(cores, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION))
-    return min(wanted, max(cores, MAX_SHUFFLE_PARTITIONS))
+    return max(cores, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION))
 
 
-def split_bytes_for(input_bytes: int, cores: int) -> int:
-    """Bytes per scan task: 128 MB, and up to 1 GB where a core would get too many tasks."""
+def split_bytes_for(input_bytes: int, cores: int, largest: int = MAX_SPLIT_BYTES) -> int:
+    """Bytes per scan task: 128 MB, and up to ``largest`` where a core would get too many tasks."""
     wanted = math.ceil(input_bytes / (cores * SCAN_TASKS_PER_CORE))
-    return min(MAX_SPLIT_BYTES, max(MIN_SPLIT_BYTES, wanted))
+    return min(largest, max(MIN_SPLIT_BYTES, wanted))
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:

@@ -4,37 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-
-def write_csv(df: DataFrame, path: str, delimiter: str = ",", mode: str = "errorifexists") -> None:
-    """CSV with a header line; quotes inside a field are doubled."""
+from pyspark.sql import types as T
+
+from millrace.sources.files import CSV_TEXT
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    delimiter: str = ",",
+    mode: str = "errorifexists",
+    multi_line: bool = False,
+) -> None:
+    """CSV with a header line; quotes inside a field are doubled.
+
+    Blanks around a value and empty strings are kept, a null is written as NULL_MARK. A line
+    break inside a value fails unless ``multi_line`` allows it; such files are read with the same
+    switch, and then each by one task.
+    """
+    if not multi_line:
+        texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+        message = F.lit("a value with a line break needs multi_line")
+        df = df.select(
+            *[
+                F.when(F.regexp_like(F.col(f"`{name}`"), F.lit("[\\r\\n]")), F.raise_error(message))
+                .otherwise(F.col(f"`{name}`"))
+                .alias(name)
+                if name in texts
+                else F.col(f"`{name}`")
+                for name in df.columns
+            ]
+        )
     (
         df.write.mode(mode)
         .option("header", True)
         .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**CSV_TEXT)
         .csv(path)
     )
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Parquet rows of one batch. A repeated batch replaces its own rows and no others."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """Parquet rows of one batch, in a folder of its own.
 
+    A repeated batch replaces its own rows and no others, also when it has none this time.
+    """
+    df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-def write_batch_lines(df: DataFrame, column: str, path: str, batch_id: int) -> None:
-    """One text line per row of one batch, with the same rule for repeated batches."""
-    (
-        df.select(F.col(column).alias("value"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .text(path)
-    )

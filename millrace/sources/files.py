@@ -12,6 +12,18 @@ from pyspark.sql import types as T
 from millrace.session import setting
 
 
+# What a null is in CSV text, so that it differs from an empty string.
+NULL_MARK = "\\N"
+# Text comes back as it was written: with its blanks, empty strings and quotes.
+CSV_TEXT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": NULL_MARK,
+}
+
+
 def detect_delimiter(spark: SparkSession, path: str, candidates: str = ";,") -> str:
     """The candidate that is most frequent in the header line; the first one when none occurs."""
     header = spark.read.text(path).first()
@@ -25,38 +37,47 @@ def read_csv(
     schema: T.StructType | str,
     delimiter: str | None = None,
     strict: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Typed CSV with a header line. A strict read stops on the first malformed row."""
+    """Typed CSV with a header line. A strict read stops on the first malformed row.
+
+    Values with line breaks need ``multi_line``; each file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", delimiter or detect_delimiter(spark, path))
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**CSV_TEXT)
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .csv(path)
     )
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, columns: list[str] | None = None, delimiter: str = ","
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    delimiter: str = ",",
+    strict: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header line and every column as text, without type inference.
 
-    A quote inside a quoted field is doubled in the files this reads (JSON arrays in a field).
+    ``columns`` picks columns by the name in the header, in any order. A quote inside a quoted
+    field is doubled in the files this reads (JSON arrays in a field). A strict read stops on a
+    row that has more or fewer values than the header.
     """
-    reader = (
+    rows = (
         spark.read.option("header", True)
         .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", False)
+        .options(**CSV_TEXT)
+        .option("multiLine", multi_line)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .csv(path)
     )
-    if columns:
-        reader = reader.schema(
-            T.StructType([T.StructField(name, T.StringType()) for name in columns])
-        )
-    return reader.csv(path)
+    return rows.select(*[F.col(f"`{name}`") for name in columns]) if columns else rows
 
 
 INPUT_ORDER = ["_file", "_start", "_row"]
@@ -95,6 +116,11 @@ def or_empty(
         return spark.createDataFrame([], schema)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and change time of every file below a folder; file contents are not read.
 

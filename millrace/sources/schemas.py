@@ -62,7 +62,6 @@ FEEDBACK_CSV = [
 RUBRIC_JSON = "array<struct<criterion: string, points: double, comment: string>>"
 
 # File manifest: every column is text and is typed later.
-MANIFEST_CSV = ["assignment_id", "student_id", "submission_id", "file_path", "size_kb"]
 
 # One recorded measurement of a sequential and a parallel run.
 MEASUREMENT = (

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.constraints import has_no_nulls, null_violations
 from millrace.sinks.files import write_batch
 from millrace.sinks.tables import write_jdbc
-from millrace.sources.files import or_empty
+from millrace.sources.files import or_empty, path_exists
 from millrace.streaming.messages import (
     EVENT_COLUMNS,
     REQUIRED_COLUMNS,
@@ -55,7 +55,12 @@ class FileSinks:
         write_batch(rows, f"{self.root}/{name}", batch_id)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        """All stored rows of one output; none when no batch has written any yet."""
+        """All stored rows of one output; none when no batch has written any yet.
+
+        A root that does not exist is an error, not an empty output.
+        """
+        if not path_exists(spark, self.root):
+            raise FileNotFoundError(f"no stream outputs below {self.root}")
         schema = SCHEMAS[name]
         return or_empty(
             spark, schema, lambda: spark.read.schema(schema).parquet(f"{self.root}/{name}")
@@ -88,17 +93,16 @@ def write_micro_batch(
 
     The rows are kept before they are filtered: a filter in front of the parse would make Spark
     parse every message twice. Rows that lack a required value go to the rejects with the column
-    named, so that one such row does not fail the whole batch.
+    named, so that one such row does not fail the whole batch. A batch with rows writes all its
+    outputs, empty ones too, so that a repeated batch leaves nothing of its earlier attempt.
     """
     rows = rows.persist()
     try:
-        graded = grade_rows(rows, rules)
-        if graded.isEmpty():
+        if rows.isEmpty():
             return
+        graded = grade_rows(rows, rules)
         sinks.write("anomalies", anomaly_lines(graded, batch_id), batch_id)
         kept = graded.where(~F.col("is_anomaly") & (F.col("quality") >= rules.min_quality))
-        if kept.isEmpty():
-            return
         plain = kept.drop("is_anomaly", "anomaly_reason")
         sinks.write("rejects", null_violations(plain, REQUIRED_COLUMNS), batch_id)
         complete = plain.where(has_no_nulls(REQUIRED_COLUMNS))

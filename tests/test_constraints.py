@@ -72,3 +72,9 @@ def test_counts_profiles_and_previews(spark):
     assert [r["id"] for r in counts.latest_rows(spark.range(20), "id", 2).collect()] == [19, 18]
     assert [r["id"] for r in counts.sample_rows(spark.range(20), 2, ["id"]).collect()] == [0, 1]
     assert counts.sample_rows(spark.range(3)).count() == 3
+
+
+def test_range_applies_to_the_rounded_value(spark):
+    df = spark.createDataFrame([(999.996,), (999.994,), (-1000.0,), (None,)], "x double")
+    broken = constraints.type_limit_violations(df, numerics={"x": T.DecimalType(5, 2)})
+    assert sorted(r["x"] for r in broken.collect()) == [-1000.0, 999.996]

@@ -61,7 +61,7 @@ def test_messages_are_numbered_in_input_order(spark):
 
 @pytest.mark.parametrize(
     "size, cores, expected",
-    [(0, 8, 8), (10 * 2**30, 8, 80), (100 * 2**40, 8000, 32768), (100 * 2**40, 50000, 50000)],
+    [(0, 8, 8), (10 * 2**30, 8, 80), (100 * 2**40, 8000, 819_200), (100 * 2**40, 900_000, 900_000)],
 )
 def test_shuffle_width_follows_the_input(size, cores, expected):
     assert partitions_for(size, cores) == expected

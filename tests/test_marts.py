@@ -218,7 +218,9 @@ def test_nested_rubric_from_csv_text(spark, tmp_path):
     write_csv(raw, path)
     from millrace.sources.files import read_text_csv
 
-    documents = feedback_documents(read_text_csv(spark, path, raw.columns))
+    with pytest.raises(PySparkException):
+        feedback_documents(read_text_csv(spark, path, raw.columns)).collect()
+    documents = feedback_documents(read_text_csv(spark, path, raw.columns), strict=False)
     assert [r["submission_id"] for r in documents.orderBy("submission_id").collect()] == [1, 2, 3, 4]
     assert rows(unnest_rubric(documents, "submission_id")) == [(1, "style", 3.0, 5.0)]
     item = documents.where("submission_id = 1").first()["rubric"][0]
@@ -227,6 +229,47 @@ def test_nested_rubric_from_csv_text(spark, tmp_path):
     assert limited["max_points"] == 8.0
 
 
+def test_rubric_reads_no_comments(spark, tmp_path):
+    text = '[{"criterion":"style","points":3,"comment":"long"},{"criterion":"tests","points":null}]'
+    raw = spark.createDataFrame([(1, text)], "submission_id bigint, text string")
+    path = f"file:{tmp_path}/documents"
+    raw.select("submission_id", nested_rubric("text").alias("rubric")).write.parquet(path)
+    items = unnest_rubric(spark.read.parquet(path), "submission_id")
+    assert "comment" not in plan_text(items).split("ReadSchema")[1]
+    assert rows(items) == [(1, "style", 3.0, 5.0), (1, "tests", None, 5.0)]
+
+
+def test_busy_assignment_moves_days_times_grades(spark, with_conf):
+    """One assignment has every submission: what meets the assignments is counted before."""
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    submissions = spark.range(20_000).selectExpr(
+        "id % 1 + 1 AS assignment_id",
+        "date_add(DATE'2024-01-01', CAST(id % 4 AS INT)) AS submitted_ts",
+        "CAST(id % 5 AS DOUBLE) AS grade",
+    )
+    assignments = spark.createDataFrame(
+        [(1, 7, "t", 10.0, "2024-01-02")],
+        "assignment_id bigint, course_id bigint, title string, max_score double, due_dt string",
+    )
+    found = marts.grade_distribution(submissions, assignments).first()
+    assert (found["submission_count"], found["avg_grade"], found["median_grade"]) == (20_000, 2.0, 2.0)
+    assert (found["zero_rate"], found["late_rate"]) == (0.2, 0.5)
+    text = plan_text(marts.grade_distribution(submissions, assignments))
+    joined = text[text.index("Join") :]
+    assert "HashAggregate" in joined[: joined.index("Range")]
+
+
+def test_null_keys_come_last(spark):
+    manifest = spark.createDataFrame(
+        [(None, 1.0), (2, 1.0), (1, 1.0)], "assignment_id bigint, size_kb double"
+    )
+    assert [r["assignment_id"] for r in marts.file_sizes(manifest).collect()] == [1, 2, None]
+    files = spark.createDataFrame(
+        [(None, 5.0), (3, 5.0), (2, 5.0)], "submission_id bigint, size_kb double"
+    ).selectExpr("*", "1 AS assignment_id", "'f' AS file_name", "1 AS size_bytes", "'o' AS object_path")
+    assert [r["submission_id"] for r in marts.largest_files(files, 2).collect()] == [2, 3]
+
+
 def test_replace_documents_refuses_duplicates(spark, tmp_path):
     path = f"file:{tmp_path}/docs"
     replace_documents(spark.range(3), path, ["id"])
@@ -237,6 +280,12 @@ def test_replace_documents_refuses_duplicates(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_lenient_whole_numbers_outside_the_range_are_null(spark):
+    raw = spark.createDataFrame([("1e20",), ("nan",), ("5.9",)], "quality string")
+    found = normalize_fields(raw, {"quality": "quality"}, strict=False).collect()
+    assert [r["quality"] for r in found] == [None, None, 5]
+
+
 def test_file_manifest_types(spark):
     raw = spark.createDataFrame(
         [("1", "2", "3", "x/y/report.pdf", "12"), ("4", "5", "6", "x/y/", "7")],

@@ -1,10 +1,11 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from millrace.plans import measurements
 from millrace.sinks.measurements import append_measurements, next_record_id, with_speedup
-from millrace.sources.measurements import read_log, sorted_records
+from millrace.sources.measurements import parse_log, read_log, sorted_records
 
 RUNS = [
     # len_values, k, workers, sequential_time, parallel_time
@@ -72,3 +73,12 @@ def test_rollups(spark, log):
     assert [(r["k"], r["len_values"], r["workers"]) for r in series] == sorted(
         (k, n, w) for n, k, w, _, _ in RUNS
     )
+
+
+def test_malformed_log_fails_unless_lenient(spark):
+    good = '{"1": {"len_values": 5, "k": 0.2, "workers": 2}}'
+    df = spark.createDataFrame([(good,), (good[:-4],), ("",)], "value string")
+    with pytest.raises(PySparkException):
+        parse_log(df).collect()
+    assert [r["record_id"] for r in parse_log(df, strict=False).collect()] == [1]
+    assert parse_log(df.where("value = ''")).collect() == []

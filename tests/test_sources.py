@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from millrace.sinks import tables
@@ -52,6 +53,31 @@ def test_text_csv_has_no_inference(spark, tmp_path):
     assert [row["size_kb"] for row in df.collect()] == ["007", 'x "y", z']
 
 
+def test_csv_keeps_blanks_empty_strings_nulls_and_line_breaks(spark, tmp_path):
+    values = [(1, " x "), (2, ""), (3, None), (4, "a\nb"), (5, 'q "d" ;'), (6, "\t"), (7, "NULL")]
+    df = spark.createDataFrame(values, "id int, t string")
+    with pytest.raises(PySparkException, match="multi_line"):
+        write_csv(df, f"file:{tmp_path}/strict")
+    path = f"file:{tmp_path}/all"
+    write_csv(df, path, delimiter=";", multi_line=True)
+    back = read_csv(spark, path, "id int, t string", multi_line=True)
+    assert sorted(map(tuple, back.collect())) == values
+    plain = f"file:{tmp_path}/plain"
+    write_csv(df.where("id <> 4"), plain)
+    assert sorted(tuple(r) for r in read_text_csv(spark, plain).collect()) == [
+        (str(k), v) for k, v in values if k != 4
+    ]
+
+
+def test_text_csv_columns_go_by_name_and_rows_must_fit(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("b,a\n1,2\n")
+    assert read_text_csv(spark, f"file:{tmp_path}/f.csv", ["a", "b"]).first().asDict() == {"a": "2", "b": "1"}
+    (tmp_path / "g.csv").write_text("a,b\n1,2,3\n4\n")
+    with pytest.raises(Exception, match="Malformed"):
+        read_text_csv(spark, f"file:{tmp_path}/g.csv").collect()
+    assert len(read_text_csv(spark, f"file:{tmp_path}/g.csv", strict=False).collect()) == 2
+
+
 def test_hospital_files(spark, tmp_path):
     (tmp_path / "payers.csv").write_text(
         "ID,NAME,ADDRESS,CITY,STATE_HEADQUARTERED,ZIP,PHONE\np1,Plan,,Town,MA,01,555\n"

