@@ -59,6 +59,11 @@ class Inputs:
         return _stored[key]
 
 
+def forget_stored() -> None:
+    """Make the next run of every query store its intermediates anew."""
+    _stored.clear()
+
+
 def query(body: Callable[[Inputs], DataFrame]) -> Query:
     return lambda spark, folder: body(Inputs(spark, folder))
 
