@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
@@ -23,7 +24,7 @@ from millrace.sources.files import (
 )
 from millrace.sources.schemas import WINE_FIELDS
 from millrace.streaming.messages import replay
-from millrace.streaming.pipeline import FileSinks, start_stream
+from millrace.streaming.pipeline import DatabaseSinks, FileSinks, start_stream
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -50,8 +51,14 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         path=args.path,
         schema=None if args.format == "kafka" else "key string, value string, timestamp timestamp",
     )
+    sinks = FileSinks(args.output)
+    if args.jdbc_url:
+        tables = {"events": args.events_table, "stats": args.stats_table}
+        login = {"user": args.jdbc_user, "password": os.environ.get("JDBC_PASSWORD")}
+        properties = {name: value for name, value in login.items() if value}
+        sinks = DatabaseSinks(args.jdbc_url, tables, properties, sinks)
     start_stream(
-        messages, FileSinks(args.output), args.checkpoint, available_now=args.available_now
+        messages, sinks, args.checkpoint, available_now=args.available_now
     ).awaitTermination()
 
 
@@ -66,6 +73,10 @@ def parser() -> argparse.ArgumentParser:
     reader.add_argument("--output", required=True)
     reader.add_argument("--checkpoint", required=True)
     reader.add_argument("--available-now", action="store_true")
+    reader.add_argument("--jdbc-url", help="send events and statistics to a database")
+    reader.add_argument("--jdbc-user", help="its password comes from JDBC_PASSWORD")
+    reader.add_argument("--events-table", default="events")
+    reader.add_argument("--stats-table", default="quality_stats")
     reader.set_defaults(run=stream)
     for job in (sender, reader):
         job.add_argument("--format", default="kafka")

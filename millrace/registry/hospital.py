@@ -136,6 +136,44 @@ JOIN (SELECT 'l' AS source, count(*) AS n FROM lineitem
 """
 
 
+# Source rows, and the key of the copy.
+CLONED = {
+    "procedures": (_procedures, "code"),
+    "encounters": (_encounters, "patient"),
+    "patients": (_patients, "state"),
+    "payers": (_payers, "name"),
+    "organizations": (_organizations, "name"),
+}
+
+
+def clone_load(data: Inputs) -> DataFrame:
+    """Store all five tables, copy each under another key, and compare the row counts."""
+
+    def build(path: str) -> dict[str, Placed]:
+        tag = path.rsplit("-", 1)[-1]
+        placed = {}
+        for name, (rows, key) in CLONED.items():
+            source, target = f"{name}_from_{tag}", f"{name}_to_{tag}"
+            rows(data).write.saveAsTable(source)
+            placed[name] = layout.redistribute(data.spark, source, target, key, data.width, path)
+            layout.collect_statistics(data.spark, target, [key])
+        return placed
+
+    copies = data.stored("clones", build)
+    stored = row_counts({name: copy.rows() for name, copy in copies.items()})
+    return reconcile_counts(stored, row_counts({name: rows(data) for name, (rows, _) in CLONED.items()}))
+
+
+CLONE_LOAD_SQL = """
+SELECT table_name, n AS expected_rows, n AS actual_rows, TRUE AS matches
+FROM (SELECT 'procedures' AS table_name, count(*) AS n FROM lineitem
+      UNION ALL SELECT 'encounters', count(*) FROM orders
+      UNION ALL SELECT 'patients', count(*) FROM customer
+      UNION ALL SELECT 'payers', count(*) FROM nation
+      UNION ALL SELECT 'organizations', count(*) FROM region) AS counts
+"""
+
+
 def star_q1(data: Inputs, place=_place) -> DataFrame:
     procedures, encounters = place(data)
     return star.procedures_by_class(encounters, procedures, _patients(data), _payers(data))
@@ -272,6 +310,7 @@ FROM counts JOIN totals USING (table_name)
 
 
 QUERIES = {
+    "clone_load": query(clone_load),
     "layout_load": query(layout_load),
     "star_q1": query(star_q1),
     "star_q1_alt": query(lambda data: star_q1(data, _alternative_rows)),
@@ -284,6 +323,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "clone_load": CLONE_LOAD_SQL,
     "layout_load": LAYOUT_LOAD_SQL,
     "star_q1": STAR_Q1_SQL,
     "star_q1_alt": STAR_Q1_SQL,

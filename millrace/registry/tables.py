@@ -13,6 +13,7 @@ from millrace.plans import measurements
 from millrace.registry.common import Inputs, query, sql_round
 from millrace.sinks.files import write_csv
 from millrace.sinks.measurements import append_measurements, with_speedup
+from millrace.sinks.tables import replace_documents
 from millrace.sources.files import read_csv
 from millrace.sources.generators import HEX_DIGITS, uniform_value
 from millrace.sources.measurements import read_log, sorted_records
@@ -193,6 +194,17 @@ def event_samples(data: Inputs) -> DataFrame:
     return counts.sample_rows(data["events"].select("event_id", "event_type", "value"), 5, ["event_id"])
 
 
+def replaced_documents(data: Inputs) -> DataFrame:
+    """A collection of labels, replaced by another one with a unique key."""
+
+    def build(path: str) -> str:
+        replace_documents(data["labels"].select("doc_id"), path, ["doc_id"])
+        replace_documents(data["labels"], path, ["doc_id"])
+        return path
+
+    return data.spark.read.parquet(data.stored("labels", build))
+
+
 def event_uniform(data: Inputs) -> DataFrame:
     """A repeatable uniform value in [-1000, 1000) for every event."""
     return data["events"].select("event_id", uniform_value("event_id").alias("value"))
@@ -328,6 +340,7 @@ QUERIES = {
     "check_types": query(check_types),
     "csv_roundtrip": query(csv_roundtrip),
     "event_samples": query(event_samples),
+    "replaced_documents": query(replaced_documents),
     "uniform_source": query(event_uniform),
     "experiment_rows": query(experiment_rows),
     "experiment_rollup": query(experiment_rollup),
@@ -355,6 +368,7 @@ ORACLES = {
     "csv_roundtrip": """
 SELECT *, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN ' x ' END AS marked FROM documents
 """,
+    "replaced_documents": "SELECT * FROM labels",
     "event_samples": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 5",
     "uniform_source": UNIFORM_SQL,
     "experiment_rows": EXPERIMENT_ROWS_SQL,

@@ -18,6 +18,22 @@ def write_jdbc(
     df.write.mode(mode).jdbc(url, table, properties=properties or {})
 
 
+def delete_batch(
+    spark: SparkSession, url: str, table: str, batch_id: int, properties: dict[str, str] | None = None
+) -> None:
+    """Delete a batch's rows from a database table, by its batch_id column, in the driver."""
+    settings = spark._jvm.java.util.Properties()
+    for name, value in (properties or {}).items():
+        settings.setProperty(name, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        statement = connection.prepareStatement(f"DELETE FROM {table} WHERE batch_id = ?")
+        statement.setLong(1, batch_id)
+        statement.executeUpdate()
+    finally:
+        connection.close()
+
+
 def fill_table(df: DataFrame, table: str) -> None:
     """Append every row to an existing catalog table, columns matched by name."""
     target = df.sparkSession.table(table).columns

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.constraints import has_no_nulls, null_violations
 from millrace.sinks.files import write_batch
-from millrace.sinks.tables import write_jdbc
+from millrace.sinks.tables import delete_batch, write_jdbc
 from millrace.sources.files import or_empty, path_exists
 from millrace.streaming.messages import (
     EVENT_COLUMNS,
@@ -69,9 +69,11 @@ class FileSinks:
 
 @dataclass(frozen=True)
 class DatabaseSinks:
-    """Database tables named in ``tables``, appended at least once; other outputs are files.
+    """Database tables named in ``tables``; other outputs are files.
 
-    Event and statistics rows go to the database; anomalies and rejects stay in files.
+    Event and statistics rows go to the database; anomalies and rejects stay in files. The tables
+    have a batch_id column: a batch's rows are deleted before they are appended, so a repeated
+    batch replaces its own.
     """
 
     url: str
@@ -81,7 +83,10 @@ class DatabaseSinks:
 
     def write(self, name: str, rows: DataFrame, batch_id: int) -> None:
         if name in self.tables:
-            write_jdbc(rows, self.url, self.tables[name], properties=self.properties)
+            table = self.tables[name]
+            delete_batch(rows.sparkSession, self.url, table, batch_id, self.properties)
+            numbered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            write_jdbc(numbered, self.url, table, properties=self.properties)
         else:
             self.files.write(name, rows, batch_id)
 

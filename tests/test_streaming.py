@@ -228,11 +228,15 @@ def test_replay_repeats_every_message(spark):
 
 
 def test_database_sinks_send_only_their_tables(spark, tmp_path, monkeypatch):
-    sent = []
+    sent, deleted = [], []
     monkeypatch.setattr(
         "millrace.streaming.pipeline.write_jdbc",
         lambda rows, url, table, properties: sent.append((url, table, rows.count(), properties)),
     )
+    monkeypatch.setattr(
+        "millrace.streaming.pipeline.delete_batch",
+        lambda spark, url, table, batch_id, properties: deleted.append((table, batch_id, len(sent))),
+    )
     files = sinks(tmp_path)
     target = DatabaseSinks(
         "jdbc:x", {"events": "wine_events", "stats": "wine_quality_stats"}, {"user": "u"}, files
@@ -241,6 +245,7 @@ def test_database_sinks_send_only_their_tables(spark, tmp_path, monkeypatch):
     assert [item[:3] for item in sent] == [
         ("jdbc:x", "wine_events", 1), ("jdbc:x", "wine_quality_stats", 1),
     ]
+    assert deleted == [("wine_events", 0, 0), ("wine_quality_stats", 0, 1)]
     assert not (tmp_path / "out" / "events").exists()
 
 
