@@ -3,13 +3,16 @@
 1. Every text becomes the set of its distinct word shingles (64-bit hashes), the minima of many
    universal hash functions over the set, and one key per band of minima.
 2. Texts with equal sets form a class; only one row per class goes on, so copies cost nothing.
-3. Classes that share a band key are candidates if their set sizes and the low bits of their
-   minima allow a link. First each class meets the smallest such class that leads one of its
-   buckets. Components of the links found so far are then computed, and the remaining
-   candidates are all pairs of one bucket whose components differ. Within a component no pair is
-   needed any more, so a bucket of thousands of near copies gives thousands of candidates, not
-   millions, and yet no link between components is left out. Texts that merely share a line or a
-   passage fall to the test of sizes and bits, inside the join, and are never written.
+3. Classes that share a band key are candidates if their sizes and the low bits of their minima
+   allow a link. In buckets of more than CROWD classes it is also counted how many shingles of a
+   class are in no other crowded class: these cannot be shared, which bounds the similarity of
+   two such classes. So the strongly changed copies of a text, which resemble each other but are
+   not linked, fall to a test of two numbers inside the join and are never written as pairs.
+   First each class meets one leader, the one with the fewest shingles of its own that leads a
+   bucket of the class and may be linked. Components of the links found so far are then computed,
+   and the remaining candidates are all pairs of one bucket whose components differ. Within a
+   component no pair is needed any more, so a bucket of thousands of near copies gives thousands
+   of candidates, not millions, and yet no link between components is left out.
 4. A candidate is dropped if its minima differ far more than the threshold allows, and is
    confirmed on the full sets.
 5. Components come from large-star and small-star rounds.
@@ -47,6 +50,8 @@ SLACK = 5
 # Minima whose lowest bits are compared within the join, and the deviations allowed there.
 BITS = 128
 BIT_SLACK = 7
+# Buckets of more classes are crowded; the pairs of all others are at most CROWD times their rows.
+CROWD = 16
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -168,19 +173,36 @@ def _both(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
 
 
 def _may_link(percent: int) -> Column:
-    """Whether sizes and bits of two classes, with and without the suffix _b, allow a link."""
+    """Whether the traits of two classes, with and without the suffix _b, allow a link."""
     differing = (1 - percent / 100) / 2
     most = BITS * differing + BIT_SLACK * (BITS * differing * (1 - differing)) ** 0.5
     apart = sum(
         F.bit_count(F.col(name).bitwiseXOR(F.col(f"{name}_b"))) for name in ("low_bits", "high_bits")
     )
     sizes = F.col("n_shingles"), F.col("n_shingles_b")
-    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (apart <= most)
+    # ``own`` counts what no other crowded class has, so it says nothing about the others.
+    shared = F.least(sizes[0] - F.col("own"), sizes[1] - F.col("own_b"))
+    bounded = F.col("crowded") & F.col("crowded_b")
+    return (
+        (100 * F.least(*sizes) >= percent * F.greatest(*sizes))
+        & (apart <= most)
+        & (~bounded | (100 * shared >= percent * (sizes[0] + sizes[1] - shared)))
+    )
 
 
-def confirmed(
-    pairs: DataFrame, classes: DataFrame, documents: DataFrame, size: int, percent: int
-) -> DataFrame:
+def _sets(needed: DataFrame, documents: DataFrame, size: int) -> DataFrame:
+    """(cid, shingles) of the classes in ``needed`` (cid, first_id, set_key)."""
+    read = _set_reader(size)
+    return (
+        needed.join(documents, F.col("first_id").eqNullSafe(F.col("doc_id")))
+        .select("cid", "set_key", read(F.col("text")).alias("found"))
+        .where("found.set_key = set_key")
+        .groupBy("cid")
+        .agg(F.any_value("found.shingles").alias("shingles"))
+    )
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of class ids whose full shingle sets are similar enough."""
     similarity = percent / 100
     least = similarity - SLACK * (similarity * (1 - similarity) / MINIMA) ** 0.5
@@ -191,26 +213,39 @@ def confirmed(
         .select("a", "b"),
         "likely",
     )
-    needed = (
-        likely.select(F.explode(F.array("a", "b")).alias("cid"))
-        .distinct()
-        .join(classes.select("cid", "first_id", "set_key"), "cid")
-    )
-    read = _set_reader(size)
-    sets = stored(
-        needed.join(documents, F.col("first_id").eqNullSafe(F.col("doc_id")))
-        .select("cid", "set_key", read(F.col("text")).alias("found"))
-        .where("found.set_key = set_key")
-        .groupBy("cid")
-        .agg(F.any_value("found.shingles").alias("shingles")),
-        "sets",
-    )
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     union = F.size("shingles_a") + F.size("shingles_b") - common
     return _both(likely, sets, "shingles").where(100 * common >= percent * union).select("a", "b")
 
 
-_TRAITS = ["n_shingles", "low_bits", "high_bits"]
+_SKETCHED = ["n_shingles", "low_bits", "high_bits"]
+_TRAITS = [*_SKETCHED, "own", "crowded"]
+
+
+def _suffixed(names: list[str]) -> list[Column]:
+    return [F.col(name).alias(f"{name}_b") for name in names]
+
+
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """(cid, band, in_crowd) of all buckets with several classes."""
+    members = classes.select("cid", F.explode("bands").alias("band"))
+    buckets = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    return members.join(buckets, "band").select("cid", "band", (F.col("n") > CROWD).alias("in_crowd"))
+
+
+def _traits(active: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """What is tested within a join, for every class in ``active`` (cid, crowded)."""
+    own = (
+        sets.join(active.where("crowded"), "cid", "left_semi")
+        .select("cid", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("cid").alias("cid"))
+        .where("n = 1")
+        .groupBy("cid")
+        .agg(F.count("*").alias("own"))
+    )
+    known = active.join(classes.select("cid", *_SKETCHED), "cid").join(own, "cid", "left")
+    return known.select("cid", *_SKETCHED, F.coalesce("own", F.lit(0)).alias("own"), "crowded")
 
 
 def near_duplicates(
@@ -235,29 +270,40 @@ def near_duplicates(
             F.min("doc_id").alias("first_id"),
             F.any_value("minima").alias("minima"),
             F.any_value("bands").alias("bands"),
-            *(F.any_value(name).alias(name) for name in _TRAITS),
+            *(F.any_value(name).alias(name) for name in _SKETCHED),
         )
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
 
-    members = classes.select("cid", F.explode("bands").alias("band"))
-    leaders = members.groupBy("band").agg(F.min("cid").alias("b"))
-    met = members.join(leaders, "band").where("cid <> b").select("cid", "b").distinct()
-    traits = classes.select("cid", *_TRAITS)
-    led = classes.select(F.col("cid").alias("b"), *(F.col(x).alias(f"{x}_b") for x in _TRAITS))
+    shared = stored(_shared_buckets(classes), "shared")
+    active = shared.groupBy("cid").agg(F.max("in_crowd").alias("crowded"))
+    needed = classes.select("cid", "first_id", "set_key").join(active, "cid", "left_semi")
+    sets = stored(_sets(needed, documents, shingle_words), "sets")
+    traits = stored(_traits(active, classes, sets), "traits")
+    candidates = stored(shared.select("cid", "band").join(traits, "cid"), "candidates")
+
+    leaders = candidates.groupBy("band").agg(F.min(F.struct("own", "cid")).alias("first"))
+    met = (
+        candidates.select("cid", "band")
+        .join(leaders.select("band", F.col("first.cid").alias("b")), "band")
+        .where("cid <> b")
+        .select("cid", "b")
+        .distinct()
+    )
     stars = (
         met.join(traits, "cid")
-        .join(led, "b")
+        .join(traits.select(F.col("cid").alias("b"), *_suffixed(_TRAITS)), "b")
         .where(_may_link(percent))
         .groupBy(F.col("cid").alias("a"))
-        .agg(F.min("b").alias("b"))
+        .agg(F.min(F.struct("own_b", "b")).alias("first"))
+        .select("a", "first.b")
     )
-    links = stored(confirmed(stars, classes, documents, shingle_words, percent), "links")
+    links = stored(confirmed(stars, classes, sets, percent), "links")
     roots = stored(components(links), "roots")
 
-    placed = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "cid", F.coalesce("root", "cid").alias("root"), *_TRAITS, F.explode("bands").alias("band")
+    placed = candidates.join(roots, F.col("cid") == F.col("node"), "left").select(
+        "cid", "band", F.coalesce("root", "cid").alias("root"), *_TRAITS
     )
     open_buckets = (
         placed.groupBy("band")
@@ -270,7 +316,7 @@ def near_duplicates(
         "band",
         F.col("cid").alias("other"),
         F.col("root").alias("other_root"),
-        *(F.col(x).alias(f"{x}_b") for x in _TRAITS),
+        *_suffixed(_TRAITS),
     )
     across = (
         left.join(right, "band")
@@ -278,7 +324,7 @@ def near_duplicates(
         .select(F.col("cid").alias("a"), F.col("other").alias("b"))
         .distinct()
     )
-    more = confirmed(across, classes, documents, shingle_words, percent)
+    more = confirmed(across, classes, sets, percent)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     grouped = stored(components(stars.unionByName(more)), "groups")
 

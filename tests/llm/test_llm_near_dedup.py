@@ -58,6 +58,19 @@ def test_groups_equal_brute_force(spark, size, percent):
     assert all(kept == (d == component) for d, (_, component, kept) in found.items())
 
 
+def test_crowded_buckets_equal_brute_force(spark):
+    """Copies of one text, from barely to strongly changed: about half of them are linked."""
+    rng = random.Random(12)
+    base = [rng.choice(PROSE) + str(rng.randrange(40)) for _ in range(140)]
+    rows = [(k, " ".join(changed(base, rng, rng.randrange(0, 22)))) for k in range(150)]
+    line = " ".join(PROSE[:9])
+    rows += [(500 + k, line + " " + " ".join(rng.choice(PROSE) + str(rng.randrange(99)) for _ in range(12))) for k in range(60)]
+    found = near_duplicates(documents(spark, rows), 3, 85).collect()
+    expected = brute(rows, 3, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == expected
+    assert 20 < len({c for _, c in expected.values()}) < 190
+
+
 def test_chain_of_copies_is_one_group(spark):
     """Each text resembles the next one only; the group's ends have nothing in common."""
     words = [f"w{i}" for i in range(400)]
