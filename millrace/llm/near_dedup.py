@@ -9,10 +9,12 @@
    two such classes. So the strongly changed copies of a text, which resemble each other but are
    not linked, fall to a test of two numbers inside the join and are never written as pairs.
    First each class meets one leader, the one with the fewest shingles of its own that leads a
-   bucket of the class and may be linked. Components of the links found so far are then computed,
-   and the remaining candidates are all pairs of one bucket whose components differ. Within a
-   component no pair is needed any more, so a bucket of thousands of near copies gives thousands
-   of candidates, not millions, and yet no link between components is left out.
+   bucket of the class and may be linked. What the class lacks of its leader's shingles is kept as
+   a mask, so that for two classes of one leader it is known how much of the leader both have.
+   Components of the links found so far are then computed, and the remaining candidates are all
+   pairs of one bucket whose components differ and whose masks allow a link. Within a component no
+   pair is needed any more, so a bucket of thousands of near copies gives thousands of candidates,
+   not millions, and yet no link between components is left out.
 4. A candidate is dropped if its minima differ far more than the threshold allows, and is
    confirmed on the full sets.
 5. Components come from large-star and small-star rounds.
@@ -52,6 +54,8 @@ BITS = 128
 BIT_SLACK = 7
 # Buckets of more classes are crowded; the pairs of all others are at most CROWD times their rows.
 CROWD = 16
+# Words of 64 bits of the mask of shingles that a class lacks of its leader's; a power of two.
+LACK_WORDS = 4
 
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -183,10 +187,18 @@ def _may_link(percent: int) -> Column:
     # ``own`` counts what no other crowded class has, so it says nothing about the others.
     shared = F.least(sizes[0] - F.col("own"), sizes[1] - F.col("own_b"))
     bounded = F.col("crowded") & F.col("crowded_b")
+    # Of one leader's shingles both have at most what no mask denies; beside these they share at
+    # most what either has outside the leader and not alone.
+    denied = sum(
+        F.bit_count(F.col(name).bitwiseOR(F.col(f"{name}_b"))) for name in _LACKS
+    )
+    both = F.col("n_lead") - denied + F.least("beside", "beside_b")
+    led_alike = bounded & F.col("lead").isNotNull() & F.col("lead").eqNullSafe(F.col("lead_b"))
     return (
         (100 * F.least(*sizes) >= percent * F.greatest(*sizes))
         & (apart <= most)
         & (~bounded | (100 * shared >= percent * (sizes[0] + sizes[1] - shared)))
+        & (~led_alike | (100 * both >= percent * (sizes[0] + sizes[1] - both)))
     )
 
 
@@ -202,24 +214,44 @@ def _sets(needed: DataFrame, documents: DataFrame, size: int) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of class ids whose full shingle sets are similar enough."""
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class ids whose minima do not speak against a link."""
     similarity = percent / 100
     least = similarity - SLACK * (similarity * (1 - similarity) / MINIMA) ** 0.5
     estimate = _estimator()
-    likely = stored(
-        _both(pairs, classes, "minima")
-        .where(estimate(F.col("minima_a"), F.col("minima_b")) >= least)
-        .select("a", "b"),
-        "likely",
-    )
+    shown = _both(pairs, classes, "minima")
+    return shown.where(estimate(F.col("minima_a"), F.col("minima_b")) >= least).select("a", "b")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, *more: Column) -> DataFrame:
+    """The pairs with the sizes of their sets and intersection, and further columns of the sets."""
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    union = F.size("shingles_a") + F.size("shingles_b") - common
-    return _both(likely, sets, "shingles").where(100 * common >= percent * union).select("a", "b")
+    sizes = F.size("shingles_a").alias("n_a"), F.size("shingles_b").alias("n_b")
+    return _both(pairs, sets, "shingles").select("a", "b", *sizes, common.alias("common"), *more)
+
+
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose intersection is at least ``percent`` hundredths of the union."""
+    union = F.col("n_a") + F.col("n_b") - F.col("common")
+    return compared.where(100 * F.col("common") >= percent * union).select("a", "b")
+
+
+def _lacking() -> list[Column]:
+    """What a lacks of b, as a mask over hash values: every set bit stands for at least one."""
+
+    def mask(word: int) -> Column:
+        own = f"filter(array_except(shingles_b, shingles_a), x -> ((x >> 6) & {LACK_WORDS - 1}) = {word})"
+        bits = f"aggregate({own}, 0L, (mask, x) -> mask | shiftleft(1L, CAST(x & 63 AS INT)))"
+        return F.expr(bits).alias(f"lacks_{word}")
+
+    return [mask(word) for word in range(LACK_WORDS)]
 
 
 _SKETCHED = ["n_shingles", "low_bits", "high_bits"]
-_TRAITS = [*_SKETCHED, "own", "crowded"]
+_LACKS = [f"lacks_{word}" for word in range(LACK_WORDS)]
+_LED = ["lead", "n_lead", "beside", *_LACKS]
+_OWN = [*_SKETCHED, "own", "crowded"]
+_TRAITS = [*_OWN, *_LED]
 
 
 def _suffixed(names: list[str]) -> list[Column]:
@@ -245,7 +277,7 @@ def _traits(active: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
         .agg(F.count("*").alias("own"))
     )
     known = active.join(classes.select("cid", *_SKETCHED), "cid").join(own, "cid", "left")
-    return known.select("cid", *_SKETCHED, F.coalesce("own", F.lit(0)).alias("own"), "crowded")
+    return known.withColumn("own", F.coalesce("own", F.lit(0))).select("cid", *_OWN)
 
 
 def near_duplicates(
@@ -281,29 +313,49 @@ def near_duplicates(
     needed = classes.select("cid", "first_id", "set_key").join(active, "cid", "left_semi")
     sets = stored(_sets(needed, documents, shingle_words), "sets")
     traits = stored(_traits(active, classes, sets), "traits")
-    candidates = stored(shared.select("cid", "band").join(traits, "cid"), "candidates")
 
-    leaders = candidates.groupBy("band").agg(F.min(F.struct("own", "cid")).alias("first"))
+    leaders = (
+        shared.join(traits.select("cid", (~F.col("crowded")).alias("alone"), "own"), "cid")
+        .groupBy("band")
+        .agg(F.min(F.struct("alone", "own", "cid")).alias("first"))
+    )
     met = (
-        candidates.select("cid", "band")
+        shared.select("cid", "band")
         .join(leaders.select("band", F.col("first.cid").alias("b")), "band")
         .where("cid <> b")
         .select("cid", "b")
         .distinct()
     )
+    unled = traits.select("*", *(F.lit(None).cast("long").alias(name) for name in _LED))
     stars = (
-        met.join(traits, "cid")
-        .join(traits.select(F.col("cid").alias("b"), *_suffixed(_TRAITS)), "b")
+        met.join(unled, "cid")
+        .join(unled.select(F.col("cid").alias("b"), *_suffixed(_TRAITS)), "b")
         .where(_may_link(percent))
         .groupBy(F.col("cid").alias("a"))
-        .agg(F.min(F.struct("own_b", "b")).alias("first"))
+        .agg(F.min(F.struct(~F.col("crowded_b"), "own_b", "b")).alias("first"))
         .select("a", "first.b")
     )
-    links = stored(confirmed(stars, classes, sets, percent), "links")
-    roots = stored(components(links), "roots")
-
-    placed = candidates.join(roots, F.col("cid") == F.col("node"), "left").select(
-        "cid", "band", F.coalesce("root", "cid").alias("root"), *_TRAITS
+    likely = stored(_likely(stars, classes, percent), "likely")
+    compared = stored(_compared(likely, sets, *_lacking()), "stars")
+    roots = stored(components(_linked(compared, percent)), "roots")
+
+    outside = F.col("n_a") - F.col("common")
+    led = compared.select(
+        F.col("a").alias("cid"),
+        F.col("b").alias("lead"),
+        F.col("n_b").alias("n_lead"),
+        outside.alias("outside"),
+        *_LACKS,
+    )
+    placed = stored(
+        traits.join(led, "cid", "left")
+        .join(traits.select(F.col("cid").alias("lead"), F.col("crowded").alias("lead_crowded")), "lead", "left")
+        # Shingles that no other crowded class has are outside a leader that is crowded itself.
+        .withColumn("beside", F.col("outside") - F.when(F.col("lead_crowded"), F.col("own")).otherwise(0))
+        .join(roots, F.col("cid") == F.col("node"), "left")
+        .select("cid", F.coalesce("root", "cid").alias("root"), *_TRAITS)
+        .join(shared.select("cid", "band"), "cid"),
+        "placed",
     )
     open_buckets = (
         placed.groupBy("band")
@@ -324,7 +376,8 @@ def near_duplicates(
         .select(F.col("cid").alias("a"), F.col("other").alias("b"))
         .distinct()
     )
-    more = confirmed(across, classes, sets, percent)
+    likely = stored(_likely(across, classes, percent), "likely")
+    more = _linked(_compared(likely, sets), percent)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     grouped = stored(components(stars.unionByName(more)), "groups")
 
