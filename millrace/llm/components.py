@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,17 +40,19 @@ def _fingerprint(edges: DataFrame) -> tuple:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(
+    edges: DataFrame, store: Callable[[DataFrame, str], DataFrame] = stored
+) -> DataFrame:
     """(node, root) of every node that has an edge; root is the smallest node of its component.
 
-    ``edges`` has the long columns a and b. Each round is written to the shared folder; the
+    ``edges`` has the long columns a and b. Each round is written by ``store``; the
     rounds end when the edges, by then a star around every root, no longer change. Neighbours
     are never collected: a node with many edges is joined with one row, its minimum.
     """
-    now = stored(_downward(edges), "edges")
+    now = store(_downward(edges), "edges")
     state = _fingerprint(now)
     while state[0]:
-        now = stored(_downward(_small_star(_downward(_large_star(now)))), "edges")
+        now = store(_downward(_small_star(_downward(_large_star(now)))), "edges")
         before, state = state, _fingerprint(now)
         if state == before:
             break

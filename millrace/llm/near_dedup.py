@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.blocks import hashed_words, mixed
 from millrace.llm.components import components
-from millrace.llm.storage import stored
+from millrace.llm.storage import Scratch, stored
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -280,39 +280,15 @@ def _traits(active: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
     return known.withColumn("own", F.coalesce("own", F.lit(0))).select("cid", *_OWN)
 
 
-def near_duplicates(
-    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT
+def _groups(
+    classes: DataFrame, documents: DataFrame, shingle_words: int, percent: int, scratch: Scratch
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
-
-    Texts are linked if the intersection of their shingle sets is at least ``percent`` hundredths
-    of the union. component_id is the smallest doc_id that can be reached, kept says that it is
-    the row's own.
-    """
-    rows = rows_per_band(percent)
-    documents = docs.select("doc_id", "text")
-    sketch = sketcher(shingle_words, rows)
-    sketches = stored(
-        documents.select("doc_id", sketch(F.col("text")).alias("s")).select("doc_id", "s.*"), "sketches"
-    )
-    classes = stored(
-        sketches.where("set_key IS NOT NULL")
-        .groupBy("set_key")
-        .agg(
-            F.min("doc_id").alias("first_id"),
-            F.any_value("minima").alias("minima"),
-            F.any_value("bands").alias("bands"),
-            *(F.any_value(name).alias(name) for name in _SKETCHED),
-        )
-        .withColumn("cid", F.monotonically_increasing_id()),
-        "classes",
-    )
-
-    shared = stored(_shared_buckets(classes), "shared")
+    """(node, root) of every class that is linked with another one."""
+    shared = scratch.stored(_shared_buckets(classes), "shared")
     active = shared.groupBy("cid").agg(F.max("in_crowd").alias("crowded"))
     needed = classes.select("cid", "first_id", "set_key").join(active, "cid", "left_semi")
-    sets = stored(_sets(needed, documents, shingle_words), "sets")
-    traits = stored(_traits(active, classes, sets), "traits")
+    sets = scratch.stored(_sets(needed, documents, shingle_words), "sets")
+    traits = scratch.stored(_traits(active, classes, sets), "traits")
 
     leaders = (
         shared.join(traits.select("cid", (~F.col("crowded")).alias("alone"), "own"), "cid")
@@ -335,9 +311,9 @@ def near_duplicates(
         .agg(F.min(F.struct(~F.col("crowded_b"), "own_b", "b")).alias("first"))
         .select("a", "first.b")
     )
-    likely = stored(_likely(stars, classes, percent), "likely")
-    compared = stored(_compared(likely, sets, *_lacking()), "stars")
-    roots = stored(components(_linked(compared, percent)), "roots")
+    likely = scratch.stored(_likely(stars, classes, percent), "likely")
+    compared = scratch.stored(_compared(likely, sets, *_lacking()), "stars")
+    roots = scratch.stored(components(_linked(compared, percent), scratch.stored), "roots")
 
     outside = F.col("n_a") - F.col("common")
     led = compared.select(
@@ -347,7 +323,7 @@ def near_duplicates(
         outside.alias("outside"),
         *_LACKS,
     )
-    placed = stored(
+    placed = scratch.stored(
         traits.join(led, "cid", "left")
         .join(traits.select(F.col("cid").alias("lead"), F.col("crowded").alias("lead_crowded")), "lead", "left")
         # Shingles that no other crowded class has are outside a leader that is crowded itself.
@@ -376,11 +352,42 @@ def near_duplicates(
         .select(F.col("cid").alias("a"), F.col("other").alias("b"))
         .distinct()
     )
-    likely = stored(_likely(across, classes, percent), "likely")
+    likely = scratch.stored(_likely(across, classes, percent), "likely")
     more = _linked(_compared(likely, sets), percent)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    grouped = stored(components(stars.unionByName(more)), "groups")
+    return stored(components(stars.unionByName(more), scratch.stored), "groups")
+
+
+def near_duplicates(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text).
+
+    Texts are linked if the intersection of their shingle sets is at least ``percent`` hundredths
+    of the union. component_id is the smallest doc_id that can be reached, kept says that it is
+    the row's own.
+    """
+    rows = rows_per_band(percent)
+    documents = docs.select("doc_id", "text")
+    sketch = sketcher(shingle_words, rows)
+    sketches = stored(
+        documents.select("doc_id", sketch(F.col("text")).alias("s")).select("doc_id", "s.*"), "sketches"
+    )
+    classes = stored(
+        sketches.where("set_key IS NOT NULL")
+        .groupBy("set_key")
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.any_value("minima").alias("minima"),
+            F.any_value("bands").alias("bands"),
+            *(F.any_value(name).alias(name) for name in _SKETCHED),
+        )
+        .withColumn("cid", F.monotonically_increasing_id()),
+        "classes",
+    )
 
+    with Scratch(docs.sparkSession, "near-dedup") as scratch:
+        grouped = _groups(classes, documents, shingle_words, percent, scratch)
     named = classes.join(grouped, F.col("cid") == F.col("node"), "left").select(
         "set_key", "first_id", F.coalesce("root", "cid").alias("root")
     )

@@ -1,3 +1,4 @@
+import glob
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ from corpus import PROSE, documents
 
 from millrace.llm.components import components
 from millrace.llm.near_dedup import MINIMA, minima_of, near_duplicates, rows_per_band, shingle_sets
+from millrace.session import working_root
 
 
 def brute(rows, size, percent):
@@ -138,3 +140,10 @@ def test_components_equal_union_find(spark):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_scratch_tables_are_deleted(spark, awkward):
+    near_duplicates(awkward).collect()
+    root = working_root(spark).removeprefix("file:")
+    assert glob.glob(f"{root}/millrace/llm-near-dedup-*") == []
+    assert glob.glob(f"{root}/millrace/llm-sketches-*") != []
