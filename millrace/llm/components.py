@@ -52,7 +52,8 @@ def components(
     now = store(_downward(edges), "edges")
     state = _fingerprint(now)
     while state[0]:
-        now = store(_downward(_small_star(_downward(_large_star(now)))), "edges")
+        # Both stars give edges to smaller nodes; repeated ones go once, at the end.
+        now = store(_small_star(_large_star(now)).distinct(), "edges")
         before, state = state, _fingerprint(now)
         if state == before:
             break

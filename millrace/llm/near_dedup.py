@@ -168,14 +168,6 @@ def _estimator() -> Callable[[Column, Column], Column]:
     return estimate
 
 
-def _both(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
-    """The pairs with a column of either side."""
-    for side in ("a", "b"):
-        own = classes.select(F.col("cid").alias(side), F.col(column).alias(f"{column}_{side}"))
-        pairs = pairs.join(own, side)
-    return pairs
-
-
 def _may_link(percent: int) -> Column:
     """Whether the traits of two classes, with and without the suffix _b, allow a link."""
     differing = (1 - percent / 100) / 2
@@ -202,32 +194,40 @@ def _may_link(percent: int) -> Column:
     )
 
 
-def _sets(needed: DataFrame, documents: DataFrame, size: int) -> DataFrame:
-    """(cid, shingles) of the classes in ``needed`` (cid, first_id, set_key)."""
+def _sets(active: DataFrame, classes: DataFrame, documents: DataFrame, size: int) -> DataFrame:
+    """(cid, minima, shingles) of the classes in ``active``."""
     read = _set_reader(size)
+    needed = classes.select("cid", "first_id", "set_key", "minima").join(active, "cid", "left_semi")
     return (
         needed.join(documents, F.col("first_id").eqNullSafe(F.col("doc_id")))
-        .select("cid", "set_key", read(F.col("text")).alias("found"))
+        .select("cid", "set_key", "minima", read(F.col("text")).alias("found"))
         .where("found.set_key = set_key")
         .groupBy("cid")
-        .agg(F.any_value("found.shingles").alias("shingles"))
+        .agg(F.any_value("minima").alias("minima"), F.any_value("found.shingles").alias("shingles"))
     )
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of class ids whose minima do not speak against a link."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, *more: Column) -> DataFrame:
+    """The pairs (a, b) that their minima do not speak against, with the sizes of their sets.
+
+    ``n_a`` and ``n_b`` are the sizes, ``common`` is that of the intersection; other columns of
+    the pairs stay, further ones of the sets may be added.
+    """
     similarity = percent / 100
     least = similarity - SLACK * (similarity * (1 - similarity) / MINIMA) ** 0.5
     estimate = _estimator()
-    shown = _both(pairs, classes, "minima")
-    return shown.where(estimate(F.col("minima_a"), F.col("minima_b")) >= least).select("a", "b")
-
-
-def _compared(pairs: DataFrame, sets: DataFrame, *more: Column) -> DataFrame:
-    """The pairs with the sizes of their sets and intersection, and further columns of the sets."""
+    kept = [F.col(name) for name in pairs.columns]
+    for side in ("a", "b"):
+        own = sets.select(
+            F.col("cid").alias(side),
+            F.col("minima").alias(f"minima_{side}"),
+            F.col("shingles").alias(f"shingles_{side}"),
+        )
+        pairs = pairs.join(own, side)
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     sizes = F.size("shingles_a").alias("n_a"), F.size("shingles_b").alias("n_b")
-    return _both(pairs, sets, "shingles").select("a", "b", *sizes, common.alias("common"), *more)
+    likely = pairs.where(estimate(F.col("minima_a"), F.col("minima_b")) >= least)
+    return likely.select(*kept, *sizes, common.alias("common"), *more)
 
 
 def _linked(compared: DataFrame, percent: int) -> DataFrame:
@@ -259,16 +259,17 @@ def _suffixed(names: list[str]) -> list[Column]:
 
 
 def _shared_buckets(classes: DataFrame) -> DataFrame:
-    """(cid, band, in_crowd) of all buckets with several classes."""
-    members = classes.select("cid", F.explode("bands").alias("band"))
+    """(cid, band, in_crowd, sketched traits) of all buckets with several classes."""
+    members = classes.select("cid", *_SKETCHED, F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    return members.join(buckets, "band").select("cid", "band", (F.col("n") > CROWD).alias("in_crowd"))
+    crowded = (F.col("n") > CROWD).alias("in_crowd")
+    return members.join(buckets, "band").select("cid", "band", *_SKETCHED, crowded)
 
 
-def _traits(active: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """What is tested within a join, for every class in ``active`` (cid, crowded)."""
-    own = (
-        sets.join(active.where("crowded"), "cid", "left_semi")
+def _own_shingles(crowd: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cid, own): how many shingles of a crowded class are in no other one."""
+    return (
+        sets.join(crowd, "cid", "left_semi")
         .select("cid", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
         .agg(F.count("*").alias("n"), F.min("cid").alias("cid"))
@@ -276,8 +277,6 @@ def _traits(active: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame
         .groupBy("cid")
         .agg(F.count("*").alias("own"))
     )
-    known = active.join(classes.select("cid", *_SKETCHED), "cid").join(own, "cid", "left")
-    return known.withColumn("own", F.coalesce("own", F.lit(0))).select("cid", *_OWN)
 
 
 def _groups(
@@ -285,52 +284,52 @@ def _groups(
 ) -> DataFrame:
     """(node, root) of every class that is linked with another one."""
     shared = scratch.stored(_shared_buckets(classes), "shared")
-    active = shared.groupBy("cid").agg(F.max("in_crowd").alias("crowded"))
-    needed = classes.select("cid", "first_id", "set_key").join(active, "cid", "left_semi")
-    sets = scratch.stored(_sets(needed, documents, shingle_words), "sets")
-    traits = scratch.stored(_traits(active, classes, sets), "traits")
-
-    leaders = (
-        shared.join(traits.select("cid", (~F.col("crowded")).alias("alone"), "own"), "cid")
-        .groupBy("band")
-        .agg(F.min(F.struct("alone", "own", "cid")).alias("first"))
+    active = scratch.stored(shared.groupBy("cid").agg(F.max("in_crowd").alias("crowded")), "active")
+    sets = scratch.stored(_sets(active, classes, documents, shingle_words), "sets")
+    own = _own_shingles(active.where("crowded"), sets)
+    candidates = scratch.stored(
+        shared.join(active.join(own, "cid", "left"), "cid").select(
+            "cid", "band", *_SKETCHED, F.coalesce("own", F.lit(0)).alias("own"), "crowded"
+        ),
+        "candidates",
     )
-    met = (
-        shared.select("cid", "band")
-        .join(leaders.select("band", F.col("first.cid").alias("b")), "band")
-        .where("cid <> b")
-        .select("cid", "b")
-        .distinct()
+
+    # Crowded classes lead, those with the fewest shingles of their own first.
+    unled = candidates.select("*", *(F.lit(None).cast("long").alias(name) for name in _LED))
+    rank = F.struct((~F.col("crowded")).alias("alone"), "own", "cid", *_SKETCHED, "crowded")
+    leaders = candidates.groupBy("band").agg(F.min(rank).alias("first"))
+    led_by = leaders.select(
+        "band",
+        F.col("first.cid").alias("b"),
+        *(F.col(f"first.{name}").alias(f"{name}_b") for name in _OWN),
+        *(F.lit(None).cast("long").alias(f"{name}_b") for name in _LED),
     )
-    unled = traits.select("*", *(F.lit(None).cast("long").alias(name) for name in _LED))
     stars = (
-        met.join(unled, "cid")
-        .join(unled.select(F.col("cid").alias("b"), *_suffixed(_TRAITS)), "b")
-        .where(_may_link(percent))
+        unled.join(led_by, "band")
+        .where((F.col("cid") != F.col("b")) & _may_link(percent))
         .groupBy(F.col("cid").alias("a"))
-        .agg(F.min(F.struct(~F.col("crowded_b"), "own_b", "b")).alias("first"))
-        .select("a", "first.b")
+        .agg(F.min(F.struct((~F.col("crowded_b")).alias("alone"), "own_b", "b")).alias("first"))
+        .select("a", "first.b", (~F.col("first.alone")).alias("lead_crowded"))
     )
-    likely = scratch.stored(_likely(stars, classes, percent), "likely")
-    compared = scratch.stored(_compared(likely, sets, *_lacking()), "stars")
+    compared = scratch.stored(_compared(stars, sets, percent, *_lacking()), "stars")
     roots = scratch.stored(components(_linked(compared, percent), scratch.stored), "roots")
 
-    outside = F.col("n_a") - F.col("common")
-    led = compared.select(
-        F.col("a").alias("cid"),
+    known = compared.join(roots, F.col("a") == F.col("node"), "full").select(
+        F.coalesce("a", "node").alias("cid"),
+        "root",
         F.col("b").alias("lead"),
         F.col("n_b").alias("n_lead"),
-        outside.alias("outside"),
+        (F.col("n_a") - F.col("common")).alias("outside"),
+        "lead_crowded",
         *_LACKS,
     )
+    # Shingles that no other crowded class has are outside a leader that is crowded itself.
+    beside = F.col("outside") - F.when(F.col("lead_crowded"), F.col("own")).otherwise(0)
     placed = scratch.stored(
-        traits.join(led, "cid", "left")
-        .join(traits.select(F.col("cid").alias("lead"), F.col("crowded").alias("lead_crowded")), "lead", "left")
-        # Shingles that no other crowded class has are outside a leader that is crowded itself.
-        .withColumn("beside", F.col("outside") - F.when(F.col("lead_crowded"), F.col("own")).otherwise(0))
-        .join(roots, F.col("cid") == F.col("node"), "left")
-        .select("cid", F.coalesce("root", "cid").alias("root"), *_TRAITS)
-        .join(shared.select("cid", "band"), "cid"),
+        candidates.join(known, "cid", "left")
+        .withColumn("root", F.coalesce("root", "cid"))
+        .withColumn("beside", beside)
+        .select("cid", "band", "root", *_TRAITS),
         "placed",
     )
     open_buckets = (
@@ -352,8 +351,7 @@ def _groups(
         .select(F.col("cid").alias("a"), F.col("other").alias("b"))
         .distinct()
     )
-    likely = scratch.stored(_likely(across, classes, percent), "likely")
-    more = _linked(_compared(likely, sets), percent)
+    more = _linked(_compared(across, sets, percent), percent)
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return stored(components(stars.unionByName(more), scratch.stored), "groups")
 
