@@ -73,10 +73,13 @@ class _Model:
         self.start = np.zeros(len(self.counts) + 1, np.uint64)
         np.cumsum(self.counts, out=self.start[1:], dtype=np.uint64)
         self.total = self.start[-1]
+        # Half as wide, for the search in decoding.
+        self.search = self.start.astype(np.uint32)
 
     def expect(self) -> np.ndarray:
         """The mixing context of each lane; the guesses are kept for the step."""
-        self.slot = ((self.last * 0x9E3779B1 + self.before * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _CONTEXT_BITS)
+        mixed = self.last * 0x9E3779B1 + self.before * 0x85EBCA6B
+        self.slot = (mixed & 0xFFFFFFFF) >> (32 - _CONTEXT_BITS)
         self.one, self.two = self.guess_1[self.last], self.guess_2[self.slot]
         self.c1, self.c2 = self.trust_1[self.last], self.trust_2[self.slot]
         return (self.c2.astype(np.int64) * (_CONFIDENT + 1) + self.c1) * 2 + (self.one == self.two)
@@ -203,7 +206,7 @@ def decode(n: int, vocabulary: int, lengths: np.ndarray, words: np.ndarray) -> n
         if len(rest):
             part = width[rest] // model.total
             value = np.minimum((code[rest] - low[rest]) // part, model.total - _ONE)
-            wanted = np.searchsorted(model.start, value, side="right") - 1
+            wanted = np.searchsorted(model.search, value.astype(np.uint32), side="right") - 1
             start = model.start[wanted]
             low[rest] += part * start
             width[rest] = part * (model.start[wanted + 1] - start)
