@@ -146,10 +146,13 @@ class Estimate:
 
 
 def estimates(rules: list[Rule], docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Cost and share of rejections of each rule on a sample of ``docs`` with measures."""
+    """Cost and share of rejections of each rule on a sample of ``docs`` (text).
+
+    The sample is taken before it is measured, so the other texts are not looked at.
+    """
     total = docs.count()
     share = min(1.0, sample_rows / total) if total else 1.0
-    sample = stored(docs.select("text", "measures").sample(share, seed=7), "sample")
+    sample = stored(measured(docs.select("text").sample(share, seed=7)), "sample")
     found = []
     for rule in rules:
         rejected = rule.rejects(F.coalesce("text", F.lit("")), F.col("measures"))

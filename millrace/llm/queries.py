@@ -86,8 +86,9 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base measures and the verdict of base checks and rule cascade for every document."""
-    documents = quality_rules.measured(_table(spark, folder, "documents").select("doc_id", "text"))
-    rules = quality_rules.ordered(quality_rules.estimates(quality_rules.RULES, documents))
+    texts = _table(spark, folder, "documents").select("doc_id", "text")
+    rules = quality_rules.ordered(quality_rules.estimates(quality_rules.RULES, texts))
+    documents = quality_rules.measured(texts)
     measures = F.col("measures")
     failed = quality_rules.base_failed(measures)
     rejected_by = quality_rules.first_failed(rules, F.col("text"), measures)

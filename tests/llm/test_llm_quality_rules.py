@@ -33,8 +33,9 @@ def test_measures_equal_brute_force(spark):
 
 
 def test_verdict_does_not_depend_on_the_order(spark, small):
-    docs = Q.measured(spark.read.parquet(f"{small}/documents.parquet"))
-    found = Q.estimates(Q.RULES, docs)
+    texts = spark.read.parquet(f"{small}/documents.parquet")
+    found = Q.estimates(Q.RULES, texts)
+    docs = Q.measured(texts)
     assert len(found) == len(Q.RULES) and all(0 <= e.share <= 1 and e.seconds > 0 for e in found)
     rules = Q.ordered(found)
     ways = [rules, rules[::-1], Q.RULES]
@@ -66,5 +67,5 @@ def test_awkward_and_empty(awkward, empty):
         assert row["f"] == (row["doc_id"] != 8)
     measured = Q.measured(empty)
     assert measured.collect() == []
-    assert [e.share for e in Q.estimates(Q.RULES, measured)] == [0.0] * len(Q.RULES)
+    assert [e.share for e in Q.estimates(Q.RULES, empty)] == [0.0] * len(Q.RULES)
     assert awkward.select(Q.first_failed([], F.col("text"), F.lit(None))).count() == 14
