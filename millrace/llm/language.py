@@ -3,8 +3,15 @@
 A text's features are the runs of two, three and four bytes that start at each letter and stay
 in its word, hashed into buckets. Every bucket has an embedding; their average goes through a
 linear softmax. Both are trained by stochastic gradient descent in numpy on a bounded sample.
-A held-out part of the sample calibrates the probabilities (one temperature) and the score
-under which a prediction is rejected.
+A held-out part of the sample calibrates the probabilities (one temperature).
+
+The softmax only chooses among the learned languages. Whether a text is in any of them is told by
+the mean log likelihood of its buckets in the likeliest one. A logistic curve over it, fitted on
+the held-out texts against texts that are in no learned language (the same ones without the
+counts of their own language, with shuffled letters, and runs of random letters), gives the chance
+that the language is known. The score is the product of both chances. It is rejected under even
+odds, or under the lowest scores of held-out texts with a right prediction if these are lower. Without
+held-out texts (fewer than five of every language) nothing with a letter is rejected.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and is rejected. A
 repeated row gets the same result every time. Texts of any length are read whole, in blocks of
@@ -29,10 +36,13 @@ BUCKET_BITS = 16
 DIMENSIONS = 12
 # Upper bound of the rows that the model is fitted on, over all languages together.
 SAMPLE_ROWS = 3000
-# Share of right predictions of the calibration texts that may be rejected, and the highest
-# score that is ever asked for, in multiples of a blind guess.
+# Share of right predictions of the calibration texts that may be rejected.
 REJECTED_SHARE = 0.001
-HIGHEST_THRESHOLD = 1.4
+EVEN_ODDS = 0.5
+# What is added to every bucket's count, and the letters from which on more of them hardly add
+# to what the mean likelihood of a text tells.
+SMOOTHING = 0.01
+TELLING_LETTERS = 64
 
 _ORDERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 _LETTERS = np.zeros(256, np.uint8)
@@ -47,6 +57,8 @@ class LanguageModel:
     logits: np.ndarray  # one row per bucket: embedding times output weights
     bias: np.ndarray
     temperature: float
+    likelihood: np.ndarray  # one row per bucket: its log probability in each language
+    known: np.ndarray  # of the logistic curve over ``_evidence``
     threshold: float
 
 
@@ -67,11 +79,11 @@ def _buckets(part: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return at, result
 
 
-def _features(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of one text and the weight of each in the average."""
-    _, grams = _buckets(np.frombuffer(data + b" " * PAD, np.uint8))
+def _features(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct buckets of one text, the weight of each in the average, and the letters."""
+    at, grams = _buckets(np.frombuffer(data + b" " * PAD, np.uint8))
     ids, counts = np.unique(np.concatenate(grams), return_counts=True)
-    return ids, counts / max(1, counts.sum())
+    return ids, counts / max(1, counts.sum()), len(at)
 
 
 def _excerpts(data: bytes, rng: np.random.Generator) -> list[bytes]:
@@ -89,18 +101,78 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def _unlearned(span: bytes, rng: np.random.Generator) -> list[bytes]:
+    """A text with its letters shuffled, and one of as many random letters: in no language."""
+    signs = list(span.decode(errors="ignore"))
+    at = [i for i, sign in enumerate(signs) if sign.isalpha()]
+    for i, sign in zip(at, [signs[at[j]] for j in rng.permutation(len(at))]):
+        signs[i] = sign
+    runs = rng.integers(ord("a"), ord("z") + 1, len(span)).astype(np.uint8)
+    runs[rng.random(len(span)) < 1 / 6] = ord(" ")
+    return ["".join(signs).encode(), runs.tobytes()]
+
+
+def _evidence(likelihood: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """What the logistic curve reads of mean log likelihoods: more letters tell more."""
+    weight = letters / (1 + letters / TELLING_LETTERS)
+    return np.stack([weight * likelihood, weight, np.ones(len(weight))], axis=1)
+
+
+def _chance_known(curve: np.ndarray, evidence: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(evidence @ curve, -50, 50)))
+
+
+def _curve(inside: np.ndarray, outside: np.ndarray) -> np.ndarray:
+    """The logistic curve between two sets of evidence that count the same, by Newton's method."""
+    x = np.concatenate([inside, outside])
+    scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
+    x = x / scale
+    y = np.repeat([1.0, 0.0], [len(inside), len(outside)])
+    weight = np.repeat([0.5 / len(inside), 0.5 / len(outside)], [len(inside), len(outside)])
+    curve = np.zeros(x.shape[1])
+
+    def loss(c: np.ndarray) -> float:
+        z = x @ c
+        return float(weight @ (np.logaddexp(0, z) - y * z) + 5e-6 * c @ c)
+
+    for _ in range(100):
+        p = _chance_known(curve, x)
+        slope = x.T @ (weight * (p - y)) + 1e-5 * curve
+        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-5 * np.eye(len(curve))
+        step = np.linalg.solve(bend, slope)
+        while loss(curve - step) > loss(curve) and np.abs(step).max() > 1e-6:
+            step = step / 2
+        curve = curve - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return curve / scale
+
+
 def train(rows: list[tuple[str, str]], seed: int = 1, epochs: int = 4) -> LanguageModel:
-    """Fit on (text, language) rows; every fifth row calibrates and takes no part in the fit."""
+    """Fit on (text, language) rows; of each language every fifth calibrates and is not fitted on."""
     rng = np.random.default_rng(seed)
     labels = sorted({lang for _, lang in rows})
     index = {lang: k for k, lang in enumerate(labels)}
-    fit, calibrate = [], []
-    for i, (text, lang) in enumerate(rows):
-        for span in _excerpts(text.encode(), rng):
-            ids, weights = _features(span)
-            if len(ids):
-                (calibrate if i % 5 == 4 else fit).append((ids, weights, index[lang]))
+    fit, calibrate, unlearned = [], [], []
     k = max(1, len(labels))
+    seen = [0] * k
+    counts = np.full((1 << BUCKET_BITS, k), SMOOTHING)
+    for text, lang in rows:
+        y = index[lang]
+        seen[y] += 1
+        held_out = seen[y] % 5 == 0
+        for j, span in enumerate(_excerpts(text.encode(), rng)):
+            ids, weights, letters = _features(span)
+            if not len(ids):
+                continue
+            if held_out:
+                calibrate.append((ids, weights, letters, y, j == 0))
+                unlearned += [f for f in map(_features, _unlearned(span, rng)) if f[2]]
+            else:
+                fit.append((ids, weights, y))
+                if j == 0:
+                    counts[ids, y] += 3 * letters * weights
+    likelihood = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     embedding = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIMENSIONS))
     output = rng.normal(0, 0.05, (DIMENSIONS, k))
     bias = np.zeros(k)
@@ -121,19 +193,32 @@ def train(rows: list[tuple[str, str]], seed: int = 1, epochs: int = 4) -> Langua
             embedding[ids] -= 20 * rate * np.outer(weights, back)
     logits = embedding @ output
     if not calibrate:
-        return LanguageModel(labels, logits.astype(np.float32), bias, 1.0, 0.0)
-    raw = np.array([weights @ logits[ids] + bias for ids, weights, _ in calibrate])
-    truth = np.array([y for *_, y in calibrate])
+        always = np.array([0.0, 0.0, 50.0])
+        return LanguageModel(labels, logits.astype(np.float32), bias, 1.0, likelihood, always, 0.0)
+    raw = np.array([weights @ logits[ids] + bias for ids, weights, *_ in calibrate])
+    truth = np.array([y for *_, y, _ in calibrate])
     at = np.arange(len(truth))
     loss = {
         t: -np.log(np.maximum(_softmax(raw / t)[at, truth], 1e-12)).mean()
         for t in np.geomspace(0.05, 20, 121)
     }
     temperature = float(min(loss, key=loss.get))
+    means = np.array([weights @ likelihood[ids] for ids, weights, *_ in calibrate])
+    letters = np.array([n for _, _, n, *_ in calibrate])
+    whole = np.array([first for *_, first in calibrate])
+    inside = _evidence(means.max(axis=1), letters)
+    outside = [_evidence(np.array([(w @ likelihood[ids]).max()]), np.array([n])) for ids, w, n in unlearned]
+    if k > 1:
+        means[at, truth] = -np.inf
+        outside.append(_evidence(means.max(axis=1), letters))
+    known = _curve(inside, np.concatenate(outside))
     scores = _softmax(raw / temperature)
-    right = scores.max(axis=1)[scores.argmax(axis=1) == truth]
-    threshold = min([HIGHEST_THRESHOLD / k, *np.quantile(right, [REJECTED_SHARE] * bool(len(right)))])
-    return LanguageModel(labels, logits.astype(np.float32), bias, temperature, float(threshold))
+    # Excerpts can be cut out of a mail address or a secret, so the whole texts set the bound.
+    right = (scores.max(axis=1) * _chance_known(known, inside))[whole & (scores.argmax(axis=1) == truth)]
+    threshold = min([EVEN_ODDS, *np.quantile(right, [REJECTED_SHARE] * bool(len(right)))])
+    return LanguageModel(
+        labels, logits.astype(np.float32), bias, temperature, likelihood, known, float(threshold)
+    )
 
 
 def _sums(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,11 +254,12 @@ def predict(model: LanguageModel, texts: pa.Array) -> pa.StructArray:
     names = np.full(n, UNKNOWN, object)
     scores, accepted = np.zeros(n), np.zeros(n, bool)
     if n and model.labels:
-        sums, letters = _sums(data, bounds, model.logits)
-        chance = _softmax(
-            (sums / np.maximum(1, 3 * letters)[:, None] + model.bias) / model.temperature
-        )
+        k = len(model.labels)
+        sums, letters = _sums(data, bounds, np.hstack([model.logits, model.likelihood]))
+        means = sums / np.maximum(1, 3 * letters)[:, None]
+        chance = _softmax((means[:, :k] + model.bias) / model.temperature)
         best = chance.argmax(axis=1)
+        inside = _chance_known(model.known, _evidence(means[:, k:].max(axis=1), letters))
         known = letters > 0
         # Bytes above ASCII may be signs instead of letters; those few texts are looked at.
         low = np.zeros(len(data) + 1, np.int64)
@@ -181,8 +267,9 @@ def predict(model: LanguageModel, texts: pa.Array) -> pa.StructArray:
         for i in np.flatnonzero(known & (low[bounds[1:]] == low[bounds[:-1]])):
             known[i] = _has_letter(texts[int(i)].as_py())
         names[known] = np.array(model.labels, object)[best[known]]
-        scores[known] = np.round(chance.max(axis=1)[known], 6)
-        accepted = known & (scores >= model.threshold)
+        exact = chance.max(axis=1) * inside
+        scores[known] = np.round(exact[known], 6)
+        accepted = known & (exact >= model.threshold)
     return pa.StructArray.from_arrays(
         [pa.array(names, pa.string()), pa.array(scores), pa.array(accepted)],
         ["lang", "score", "accepted"],

@@ -59,3 +59,36 @@ def test_sample_is_bounded_and_balanced(spark, small):
     rows = language.labelled_sample(spark.read.parquet(f"{small}/documents.parquet"), limit=40)
     assert 20 <= len(rows) <= 40
     assert len({lang for _, lang in rows}) == 4
+
+
+# Articles of a declaration in languages that no table holds, source code and junk words.
+UNLEARNED = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+    "def main(args): for i in range(10): x = foo.bar(i); print(json.dumps(x, indent=4)); import numpy as np",
+    "xqzk vbwpf jjkq zzxw qqpl mnbv wxyz kjhg fdsq plok wqzx vvbn",
+]
+
+
+def labelled(spark, folder):
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: r["doc_id"]) if r["text"] and r["lang"]]
+
+
+def test_latin_texts_of_no_learned_language_are_rejected(spark, model):
+    assert not any(r["accepted"] for r in language.predict(model, pa.array(UNLEARNED)).to_pylist())
+    texts = [t for t, _ in labelled(spark, "/root/testdata/sf0.01") if any(map(str.isalpha, t))]
+    clean = language.predict(model, pa.array(texts)).to_pylist()
+    assert sum(r["accepted"] for r in clean) >= 0.98 * len(clean)
+
+
+@pytest.mark.parametrize("left_out", [["de"], ["en"], ["es"], ["fr"], ["de", "es", "fr"]])
+def test_left_out_languages_are_rejected(spark, left_out):
+    rows = labelled(spark, "/root/testdata/sf0.01")
+    model = language.train([r for r in rows[:500] if r[1] not in left_out])
+    for out, share in ((True, 0.03), (False, 0.98)):
+        texts = [t for t, lang in rows[500:] if (lang in left_out) == out and len(t) >= 50]
+        found = [r["accepted"] for r in language.predict(model, pa.array(texts)).to_pylist()]
+        assert sum(found) <= share * len(found) if out else sum(found) >= share * len(found)
+    assert not any(r["accepted"] for r in language.predict(model, pa.array(UNLEARNED)).to_pylist())
