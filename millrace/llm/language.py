@@ -14,7 +14,7 @@ odds, or under the lowest scores of held-out texts with a right prediction if th
 held-out texts (fewer than five of every language) nothing with a letter is rejected.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and is rejected. A
-repeated row gets the same result every time. Texts of any length are read whole, in blocks of
+repeated row gets the same result every time and is learned from once. Texts of any length are read whole, in blocks of
 bounded size. An empty table gives an empty result; without any labelled text every prediction
 is ``und``. Other columns are not touched, whatever their names.
 """
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import BLOCK_BYTES, PAD, joined
@@ -34,7 +34,7 @@ from millrace.llm.blocks import BLOCK_BYTES, PAD, joined
 UNKNOWN = "und"
 BUCKET_BITS = 16
 DIMENSIONS = 12
-# Upper bound of the rows that the model is fitted on, over all languages together.
+# Upper bound of the distinct rows that the model is fitted on, over all languages together.
 SAMPLE_ROWS = 3000
 # Share of right predictions of the calibration texts that may be rejected.
 REJECTED_SHARE = 0.001
@@ -277,26 +277,27 @@ def predict(model: LanguageModel, texts: pa.Array) -> pa.StructArray:
 
 
 def labelled_sample(rows: DataFrame, limit: int = SAMPLE_ROWS) -> list[tuple[str, str]]:
-    """At most ``limit`` (text, lang) rows in hash order, about as many of each language.
+    """Distinct (text, lang) rows in hash order, at most an equal part of ``limit`` per language.
 
-    Languages are counted first; each row then stays with the chance that gives its language an
-    equal part. Only ``limit`` rows reach the driver.
+    Copies of a text count once, before anything is counted or chosen. Every language has at least
+    one row, so only more languages than ``limit`` give more rows. Hashes alone are compared; texts
+    are read for the chosen ones, and only these reach the driver.
     """
     labelled = rows.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
-        return []
-    each = limit / len(counts)
-    share = F.create_map(
-        *(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, 1.2 * each / n)))
+    hashed = labelled.select(
+        "lang", F.xxhash64("text").alias("place"), F.xxhash64("text", F.lit("order")).alias("turn")
     )
-    place = F.xxhash64("text")
-    chosen = (
-        labelled.where((F.pmod(place, F.lit(1 << 20)) / (1 << 20)) < share[F.col("lang")])
-        .orderBy(F.xxhash64("text", F.lit("order")), "text", "lang")
-        .limit(limit)
+    languages = hashed.select("lang").distinct().count()
+    if not languages:
+        return []
+    each = max(1, limit // languages)
+    ranked = hashed.distinct().withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "place"))
     )
-    return [(r["text"], r["lang"]) for r in chosen.collect()]
+    chosen = ranked.where(F.col("rank") <= each).select("lang", "place", "turn")
+    texts = labelled.withColumn("place", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "place"])
+    found = texts.groupBy("lang", "place", "turn").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], r["lang"]) for r in sorted(found, key=lambda r: (r["turn"], r["text"], r["lang"]))]
 
 
 def language_of(model: LanguageModel) -> Callable[[Column], Column]:

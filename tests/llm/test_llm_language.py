@@ -2,6 +2,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from corpus import documents
 
 from millrace.llm import language, queries
 
@@ -92,3 +93,16 @@ def test_left_out_languages_are_rejected(spark, left_out):
         found = [r["accepted"] for r in language.predict(model, pa.array(texts)).to_pylist()]
         assert sum(found) <= share * len(found) if out else sum(found) >= share * len(found)
     assert not any(r["accepted"] for r in language.predict(model, pa.array(UNLEARNED)).to_pylist())
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    for k in range(4):  # whatever place the hash of a copied text has
+        rows = [(i, f"copied text {k}", "en") for i in range(300)]
+        rows += [(1000 + i, f"en {k} number {i}", "en") for i in range(60)]
+        rows += [(2000 + i, f"de {k} number {i}", "de") for i in range(400)]
+        rows += [(3000, f"the only one {k}", "fr"), (3001, f"the only one {k}", "fr")]
+        sample = language.labelled_sample(documents(spark, rows), limit=60)
+        assert len(set(sample)) == len(sample) <= 60
+        assert [sum(lang == x for _, lang in sample) for x in ("de", "en", "fr")] == [20, 20, 1]
+    many = [(i, f"text {i}", f"x{i % 9}") for i in range(90)]
+    assert len({lang for _, lang in language.labelled_sample(documents(spark, many), limit=4)}) == 9
