@@ -16,6 +16,8 @@ from millrace.llm.decontaminate import without_contaminated
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.storage import stored
 
+_KEY = "key of the row"
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the identifier accepts; it learns from the labelled ones."""
@@ -24,16 +26,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; equal ids count once.
+    """The row with the smallest id of each group of near duplicates, those without an id last.
 
-    Documents without an id cannot be told from each other; those that are in no group with an id
-    all stay.
+    Rows are told apart by their id and 128 bits of their text, so different texts of one id, or
+    without one, are each decided on their own. Rows with equal id and text count once; texts
+    without a word are in no group, and all of them without an id stay.
     """
-    groups = near_duplicates(docs)
-    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    named = chosen.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(chosen.where(docs["doc_id"].isNull()))
+    key = F.struct(
+        docs["doc_id"].isNull().alias("unnamed"),
+        docs["doc_id"].alias("id"),
+        F.unhex(F.md5(docs["text"].cast("binary"))).alias("digest"),
+    )
+    keyed = docs.withColumn(_KEY, key)
+    groups = near_duplicates(keyed.select(F.col(_KEY).alias("doc_id"), "text"))
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_key"), "n_shingles").distinct()
+    chosen = keyed.join(kept, F.col(_KEY) == F.col("kept_key"))
+    apart = F.col(f"{_KEY}.unnamed") & (F.col("n_shingles") == 0)
+    once = chosen.where(~apart).dropDuplicates([_KEY])
+    return once.unionByName(chosen.where(apart)).select(*(F.col(f"`{name}`") for name in docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

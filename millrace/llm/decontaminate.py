@@ -84,6 +84,13 @@ def contained_items(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that contain an item; all their columns stay as they are."""
-    found = contained_items(docs, items).select(F.col("doc_id").alias("contaminated")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["contaminated"]), "left_anti")
+    """``docs`` without the rows whose text contains an item; all their columns stay as they are.
+
+    Rows are told apart by 128 bits of their text, which alone decides, and not by doc_id: a row
+    stays whatever other rows share its id, or have none.
+    """
+    key = F.unhex(F.md5(F.col("text").cast("binary")))
+    found = contained_items(docs.select(key.alias("doc_id"), "text"), items)
+    contaminated = found.select(F.col("doc_id").alias("contaminated")).distinct()
+    of_row = F.unhex(F.md5(docs["text"].cast("binary")))
+    return docs.join(contaminated, of_row == F.col("contaminated"), "left_anti")

@@ -79,3 +79,22 @@ def test_run_keeps_what_the_stages_keep(spark, small):
     for doc_id, row in found.items():
         assert row["ids"] == library.encode_ordinary(row["decoded"])
         assert row["decoded"] == texts[doc_id] or "<" in row["decoded"]
+
+
+def test_rows_of_one_id_are_decided_apart(spark, tmp_path):
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"{rng.choice(PROSE)}{rng.randrange(50)}" for _ in range(n))
+    leak, copy = prose(40), prose(80)
+    rows = [(None, prose(30) + " " + leak), (None, prose(70)), (7, leak), (7, prose(60)), (8, prose(50))]
+    folder = fixture(spark, tmp_path, [(1, leak)])
+    clean = {r["text"] for r in stage(spark, "decontamination", documents(spark, rows), folder).collect()}
+    assert clean == {text for _, text in rows if leak not in text}
+
+    # A copy without an id goes, other texts without one stay; two texts of one id both stay.
+    rows = [(3, copy), (None, copy), (None, rows[1][1]), (None, rows[1][1]), (7, rows[3][1]), (7, rows[4][1]), (9, copy)]
+    docs = documents(spark, rows)
+    kept = stage(spark, "near_dedup", docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [rows[0], rows[2], rows[4], rows[5]], key=str
+    )
