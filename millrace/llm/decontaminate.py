@@ -13,13 +13,16 @@ a shuffle on the hash, whose frequent values adaptive execution splits.
 
 Words are runs of letters and digits, in lower case. Defined cases: a null text or one without a
 word has no shingles; such an item is found nowhere. With fewer words than a shingle, all words
-are the one shingle. Rows of one item id, or of one document id, are each searched; a pair of ids
+are the one shingle; for such items, documents are also searched by runs of as many words, for the
+lengths that occur among the items. Rows of one item id, or of one document id, are each searched; a pair of ids
 is reported once, with its largest containment. Rows without a document id are reported under
 null. Texts are read whole. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +34,22 @@ CONTAINED_PERCENT = 80
 BROADCAST_ROWS = 200_000
 
 
-def shingles(text: Column, size: int = SHINGLE_WORDS) -> Column:
-    """The word shingles of a text in order, repeated ones included."""
+def shingles(text: Column, size: int = SHINGLE_WORDS, lengths: Sequence[int] = ()) -> Column:
+    """The word shingles of a text in order, repeated ones included.
+
+    After them come the runs of as many words as each of ``lengths`` says.
+    """
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    none = F.array().cast("array<string>")
+
+    def runs(w: Column, length: int, least: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - length + 1, F.lit(1)))
+        rolled = F.transform(starts, lambda i: F.array_join(F.slice(w, i, length), " "))
+        return F.when(F.size(w) >= least, rolled).otherwise(none)
 
     def of(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1)))
-        rolled = F.transform(starts, lambda i: F.array_join(F.slice(w, i, size), " "))
-        return F.when(F.size(w) > 0, rolled).otherwise(F.array().cast("array<string>"))
+        own = runs(w, size, 1)
+        return F.concat(own, *(runs(w, n, n) for n in lengths)) if lengths else own
 
     return let(words, of)
 
@@ -51,11 +62,17 @@ def _signature(own: Column, percent: int) -> Column:
 
 
 def contained_items(
-    docs: DataFrame, items: DataFrame, percent: int = CONTAINED_PERCENT, size: int = SHINGLE_WORDS
+    docs: DataFrame,
+    items: DataFrame,
+    percent: int = CONTAINED_PERCENT,
+    size: int = SHINGLE_WORDS,
+    short_inside: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, n_item_shingles, n_shared) of every document that contains an item.
 
-    ``docs`` has doc_id and text, ``items`` item_id and text.
+    ``docs`` has doc_id and text, ``items`` item_id and text. With ``short_inside`` an item of fewer
+    words than a shingle is searched inside longer documents too; without, it is found only in a
+    document of exactly its words.
     """
     catalog = stored(
         items.select("item_id", F.array_distinct(shingles(items["text"], size)).alias("own"))
@@ -63,16 +80,22 @@ def contained_items(
         .withColumn("row", F.monotonically_increasing_id()),
         "items",
     )
+    lengths: list[int] = []
+    if short_inside:
+        n_words = F.size(F.split(F.col("own")[0], " "))
+        found = catalog.where(F.size("own") == 1).select(n_words.alias("n")).where(F.col("n") < size)
+        lengths = sorted(r["n"] for r in found.distinct().collect())
     signatures = catalog.select("row", F.explode(_signature(F.col("own"), percent)).alias("hash"))
     texts = docs.select("doc_id", "text")
     probes = texts.select(
-        "doc_id", F.explode(F.transform(shingles(F.col("text"), size), lambda s: F.xxhash64(s))).alias("hash")
+        "doc_id",
+        F.explode(F.transform(shingles(F.col("text"), size, lengths), lambda s: F.xxhash64(s))).alias("hash"),
     )
     if signatures.count() <= BROADCAST_ROWS:
         signatures = F.broadcast(signatures)
     candidates = stored(probes.join(signatures, "hash").select("doc_id", "row").distinct(), "candidates")
     pairs = candidates.join(catalog, "row").withColumnRenamed("doc_id", "found_in")
-    shared = F.size(F.array_intersect("own", shingles(F.col("text"), size)))
+    shared = F.size(F.array_intersect("own", shingles(F.col("text"), size, lengths)))
     return (
         pairs.join(texts, F.col("found_in").eqNullSafe(F.col("doc_id")))
         .select("doc_id", "item_id", F.size("own").alias("n_item_shingles"), shared.alias("n_shared"))
@@ -90,7 +113,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     stays whatever other rows share its id, or have none.
     """
     key = F.unhex(F.md5(F.col("text").cast("binary")))
-    found = contained_items(docs.select(key.alias("doc_id"), "text"), items)
+    found = contained_items(docs.select(key.alias("doc_id"), "text"), items, short_inside=True)
     contaminated = found.select(F.col("doc_id").alias("contaminated")).distinct()
     of_row = F.unhex(F.md5(docs["text"].cast("binary")))
     return docs.join(contaminated, of_row == F.col("contaminated"), "left_anti")

@@ -61,7 +61,8 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that contains a benchmark item, with the item and what they share."""
-    return contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    documents, benchmark = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return contained_items(documents, benchmark, short_inside=True)
 
 
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 from corpus import PROSE, documents
 
+from millrace.llm import queries
 from millrace.llm.decontaminate import contained_items, without_contaminated
 
 
@@ -74,3 +75,19 @@ def test_awkward_and_empty(spark, awkward, empty):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(
         str(r["doc_id"]) for r in awkward.collect() if r["doc_id"] not in (4, 6, 7)
     )
+
+
+def test_short_items_are_found_inside_long_texts(spark, tmp_path):
+    rows = [(1, " ".join(PROSE) + " Blue, green zebra " + " ".join(PROSE)), (2, "green zebra"), (3, "zebra blue green")]
+    rows += [(4, " ".join(PROSE[:20])), (5, "x"), (6, None), (7, "a blue green zebra")]
+    items = [(1, "blue green zebra"), (2, "Zebra!"), (3, " ".join(PROSE[4:12])), (4, "x y"), (5, None), (6, "mild potion near the")]
+    docs = documents(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items_of(spark, items).write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = queries.op4_decontamination(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == [
+        (1, 1, 1, 1), (1, 2, 1, 1), (1, 3, 4, 4), (1, 6, 1, 1), (2, 2, 1, 1), (3, 2, 1, 1),
+        (4, 3, 4, 4), (4, 6, 1, 1), (7, 1, 1, 1), (7, 2, 1, 1),
+    ]
+    left = without_contaminated(docs, items_of(spark, items[:2]))
+    assert sorted(r["doc_id"] for r in left.collect()) == [4, 5, 6]
