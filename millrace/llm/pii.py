@@ -5,7 +5,9 @@ international phone numbers; what passes their checks is always a span. Further
 social security numbers, and card and phone numbers in their usual grouping inside a longer run of
 digits that failed as a whole, are spans if their score reaches the threshold. A score starts at the
 kind's own value, which a checksum makes high, and a context word among the CONTEXT characters
-before the span, back to the previous match of the kind, raises it. A match that fails its check is dropped, not tried again.
+before the span, back to the previous match of the kind, raises it. Social security numbers alone
+depend on such a word; for them all CONTEXT characters before and after the span are read, across
+other matches. A match that fails its check is dropped, not tried again.
 
 Cost: a text is searched for a kind only if it holds the sign or digits that the kind needs. All
 repetitions are possessive and start at the beginning of a run, so that a long run of letters or
@@ -28,10 +30,12 @@ KINDS = [*BASE_KINDS, "iban", "ssn", "card_number", "phone_number"]
 # Only where no span of this base kind is.
 INSTEAD_OF = {"card_number": "card", "phone_number": "phone"}
 CONTEXT = 40
+# Matches that fill the context, by kind: a social security number has 11 characters.
+ACROSS = {"ssn": 4}
 THRESHOLD = 0.6
 SCORE_OF_WORD = 0.3
 
-# A word that stands before a span raises its score. Fixed values.
+# A word that stands near a span raises its score. Fixed values.
 WORDS = {
     "email": "e-?mail|contact|write|reach",
     "ip": "ip|address|host|server|from",
@@ -113,10 +117,16 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _word_near(kind: str, s: Column) -> Column:
+    """Whether a context word stands before a span, or after it where both sides are read."""
+    word = F.lit(rf"\b(?:{WORDS[kind]})\b")
+    before = F.regexp_like(F.lower(s["before"]), word)
+    return before | F.regexp_like(F.lower(s["after"]), word) if kind in ACROSS else before
+
+
 def _spans(text: Column, kind: str) -> Column:
     def scored(s: Column) -> Column:
-        before = F.lower(s["before"])
-        near = F.when(F.regexp_like(before, F.lit(rf"\b(?:{WORDS[kind]})\b")), SCORE_OF_WORD).otherwise(0.0)
+        near = F.when(_word_near(kind, s), SCORE_OF_WORD).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"),
             s["start"].alias("start"),
@@ -126,7 +136,11 @@ def _spans(text: Column, kind: str) -> Column:
         )
 
     found = F.transform(
-        F.filter(match_spans(text, F.lit(PATTERNS[kind]), CONTEXT), lambda s: _confirmed(kind, s["match"])), scored
+        F.filter(
+            match_spans(text, F.lit(PATTERNS[kind]), CONTEXT, ACROSS.get(kind, 0)),
+            lambda s: _confirmed(kind, s["match"]),
+        ),
+        scored,
     )
     if kind not in BASE_KINDS:
         found = F.filter(found, lambda s: s["score"] >= THRESHOLD)

@@ -39,20 +39,48 @@ def sums_before(lengths: Column) -> Column:
     )
 
 
-def match_spans(text: Column, regex: Column, context: int = 1) -> Column:
+def match_spans(text: Column, regex: Column, context: int = 1, across: int = 0) -> Column:
     """array<struct<start, end, match, before>> of all matches, leftmost and non-overlapping.
 
     ``before`` is the text between the previous match and this one, at most its last ``context``
     code points. Positions count code points from 0, the end is exclusive. The pieces between the
     matches give the positions: Spark has no function that returns all of them. The regex must not
     match the empty string and must have no group but non-capturing ones.
+
+    With ``across``, ``before`` and a further ``after`` are the ``context`` code points on either
+    side, over as many other matches as ``across`` says at most. Only the ends of pieces and
+    matches are joined, so that the work stays in proportion to the text.
     """
 
+    def sides(pieces: Column, matches: Column) -> Column:
+        def end(part: Column) -> Column:
+            return F.coalesce(F.substr(part, F.lit(-context)), F.lit(""))
+
+        def head(part: Column) -> Column:
+            return F.coalesce(F.substr(part, F.lit(1), F.lit(context)), F.lit(""))
+
+        ends = F.transform(pieces, lambda p, i: F.concat(F.when(i > 0, end(F.get(matches, i - 1))).otherwise(""), end(p)))
+        heads = F.transform(matches, lambda m, i: F.concat(head(F.get(pieces, i + 1)), head(F.get(matches, i + 1))))
+        return F.struct(ends.alias("ends"), heads.alias("heads"))
+
+    def windows(units: Column) -> Callable[[Column], list[Column]]:
+        def of(i: Column) -> list[Column]:
+            # A slice would copy the whole array for each match.
+            to, last = F.size(units["heads"]) - 1, i + across - 1
+            before = F.transform(F.sequence(F.greatest(i + 1 - across, F.lit(0)), i), lambda j: F.get(units["ends"], j))
+            after = F.transform(F.sequence(i, F.least(last, to)), lambda j: F.get(units["heads"], j))
+            return [
+                F.substr(F.array_join(before, ""), F.lit(-context)).alias("before"),
+                F.substr(F.array_join(after, ""), F.lit(1), F.lit(context)).alias("after"),
+            ]
+
+        return of
+
     def placed(x: Column) -> Column:
         pieces, matches = x["pieces"], x["matches"]
         lengths = F.transform(matches, lambda m, i: F.length(m) + F.length(F.get(pieces, i)))
 
-        def row(starts: Column) -> Callable[[Column, Column], Column]:
+        def row(starts: Column, near: Callable[[Column], list[Column]] | None) -> Callable[[Column, Column], Column]:
             def of(match: Column, i: Column) -> Column:
                 piece = F.get(pieces, i)
                 first = F.get(starts, i) + F.length(piece)
@@ -60,12 +88,15 @@ def match_spans(text: Column, regex: Column, context: int = 1) -> Column:
                     first.alias("start"),
                     (first + F.length(match)).alias("end"),
                     match.alias("match"),
-                    F.substr(piece, F.lit(-context)).alias("before"),
+                    *(near(i) if near else [F.substr(piece, F.lit(-context)).alias("before")]),
                 )
 
             return of
 
-        return let(let(lengths, sums_before), lambda starts: F.transform(matches, row(starts)))
+        def rows(near: Callable[[Column], list[Column]] | None) -> Column:
+            return let(let(lengths, sums_before), lambda starts: F.transform(matches, row(starts, near)))
+
+        return let(sides(pieces, matches), lambda units: rows(windows(units))) if across else rows(None)
 
     parts = F.struct(
         F.split(text, regex, -1).alias("pieces"), F.regexp_extract_all(text, regex, F.lit(0)).alias("matches")

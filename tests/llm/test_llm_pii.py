@@ -110,3 +110,23 @@ def test_awkward_and_empty(awkward, empty):
 def test_no_python_runs(spark, awkward):
     plan = pii.with_spans(awkward).select(F.size("pii_spans"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ("SSN: 078-05-1120, 219-09-9998", ["078-05-1120", "219-09-9998"]),
+        ("é🙂 ssn\n078-05-1120\n219-09-9998\n457-55-5462\norder", ["078-05-1120", "219-09-9998", "457-55-5462"]),
+        ("078-05-1120 is my SSN", ["078-05-1120"]),
+        ("078-05-1120, 219-09-9998 (social security)", ["078-05-1120", "219-09-9998"]),
+        ("078-05-1120 and much later, after more than forty signs, ssn", []),
+        ("ssn is named more than forty signs before it: the number 078-05-1120", []),
+        ("order 078-05-1120, 219-09-9998 shipped", []),
+    ],
+)
+def test_context_reaches_across_matches_and_after(spark, text, found):
+    row = pii.with_spans(documents(spark, [(1, text)])).first()
+    spans = [s for s in row["pii_spans"] if s["kind"] == "ssn"]
+    assert [s["match"] for s in spans] == [text[s["start"] : s["end"]] for s in spans] == found
+    masked = pii.without_pii(documents(spark, [(1, text)])).first()["text"]
+    assert masked.count("<SSN>") == len(found) and not any(x in masked for x in found)
