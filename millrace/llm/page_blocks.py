@@ -141,7 +141,7 @@ class _Reader(HTMLParser):
             mask |= _TAG_BIT.get(tag, 0)
             for name, value in attrs:
                 if value and name in ("class", "id", "role", "aria-label"):
-                    for part in _PARTS.findall(value[:200]):
+                    for part in _PARTS.findall(value):
                         mask |= _WORD_BIT.get(part.lower(), 0)
                 elif name == "data-label":
                     label = value

@@ -62,3 +62,10 @@ def test_deep_and_long_pages(model):
 
 def test_empty_table(spark, model):
     assert spark.createDataFrame([], "html string").select(extractor(model)("html")).collect() == []
+
+
+def test_long_attributes_are_read_whole():
+    long = "px-4 " * 100
+    plain, behind = (blocks_of(f'<div class="{c}"><p>Some words.</p></div>')[0] for c in (long, long + "sidebar"))
+    assert behind.features != plain.features
+    assert behind.features == blocks_of(f'<div class="sidebar {long}"><p>Some words.</p></div>')[0].features
