@@ -65,17 +65,20 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def hashed_words(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def hashed_words(
+    texts: pa.Array, between: np.ndarray = _BLANK
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, last text, word hashes, offsets of each text's words) for groups of texts.
 
-    Words are runs without the bytes 0x20 and 0x09 to 0x0D, with A-Z in lower case. A word's
-    hash is a polynomial of its bytes modulo 2**64, taken from one running sum over the block.
+    Words are runs without the bytes marked in ``between`` (by default 0x20 and 0x09 to 0x0D), with
+    A-Z in lower case. A word's hash is a polynomial of its bytes modulo 2**64, taken from one
+    running sum over the block.
     """
     data, bounds = joined(texts)
     for first, last in text_groups(bounds):
         lo, hi = int(bounds[first]), int(bounds[last])
         part = data[lo:hi]
-        inside = np.concatenate(([False], ~_BLANK[part], [False]))
+        inside = np.concatenate(([False], ~between[part], [False]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[0::2], edges[1::2]
         size = max(BLOCK_BYTES * 2, 1 << (hi - lo).bit_length())

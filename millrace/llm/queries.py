@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from millrace.llm import bpe, extraction, language, licenses, pii, quality_rules
 from millrace.llm.decontaminate import contained_items
 from millrace.llm.importance import resampled
+from millrace.llm.lexical_search import ranked
 from millrace.llm.license_rules import signatures
+from millrace.llm.line_dedup import without_shared_lines
 from millrace.llm.near_dedup import near_duplicates
 from millrace.llm.token_files import read_token_file, write_token_file
+from millrace.llm.vector_codes import vector_codes, with_label_error
 from millrace.session import working_path
 
 
@@ -134,6 +137,25 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of every document, those dropped, and the digest of the text that stays."""
+    kept = without_shared_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Code and error of every vector, the error of its label, and the digest of all codebooks."""
+    coded, books = vector_codes(_table(spark, folder, "embeddings"))
+    digest = F.lit(books.digest() if books else "").alias("codebooks_sha256")
+    return with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_near_dedup": op2_near_dedup,
@@ -145,6 +167,9 @@ QUERIES = {
     "op8_quality_selection": op8_quality_selection,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -194,6 +219,34 @@ _PII_ROWS = " UNION ALL ".join(
     for k, (kind, (regex, check)) in enumerate(_PII_SQL.items())
 )
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+# op13: assignment to the nearest entry (ties to the lower index), then floors of the means.
+_ROUNDS = 4
+
+
+def _assigned_sql(k: int) -> str:
+    return f"""a{k} AS MATERIALIZED (
+            SELECT r, p, min_by(e, d * 256 + e) AS e, min(d) AS d FROM (
+                SELECT m.r, m.p, b.e, CAST(list_sum(list_transform(range(1, len(m.v) + 1),
+                    lambda i: (m.v[i] - b.v[i]) * (m.v[i] - b.v[i]))) AS BIGINT) AS d
+                FROM parts AS m JOIN b{k} AS b USING (p))
+            GROUP BY r, p)"""
+
+
+def _updated_sql(k: int) -> str:
+    return f"""b{k + 1} AS MATERIALIZED (
+            SELECT b.p, b.e, coalesce(n.v, b.v) AS v FROM b{k} AS b LEFT JOIN (
+                SELECT p, e, list(x ORDER BY i) AS v FROM (
+                    SELECT p, e, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM (
+                        SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i
+                        FROM parts JOIN a{k} USING (r, p))
+                    GROUP BY p, e, i)
+                GROUP BY p, e) AS n USING (p, e))"""
+
+
+_LLOYD = ", ".join(f"{_assigned_sql(k)}, {_updated_sql(k)}" for k in range(_ROUNDS))
+
 _SIGNATURES = ", ".join(
     f"('{r.label}', '{r.keyword}', '{r.regex}', {r.priority}, {r.score})" for r in signatures()
 )
@@ -334,4 +387,67 @@ ORACLES = {
                CAST(greatest(coalesce(best, 0), CASE WHEN n_base > 0 THEN 0.5 ELSE 0 END) AS DOUBLE) AS score
         FROM d LEFT JOIN b USING (r) LEFT JOIN k USING (r)
     """,
+    "op11_line_dedup": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+        ), l AS (
+            SELECT r, doc_id, i, ls[i] AS line, translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                '{_UPPER}', '{_UPPER.lower()}') AS key
+            FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)
+        ), f AS (
+            SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 40
+            GROUP BY key HAVING count(DISTINCT r) >= 5
+        ), m AS (
+            SELECT r, doc_id, i, line, f.key IS NOT NULL AND l.doc_id IS DISTINCT FROM f.keeper AS gone
+            FROM l LEFT JOIN f USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY r, doc_id
+    """,
+    "op12_lexical_search": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS ws FROM documents
+        ), c AS (
+            SELECT count(*) FILTER (len(ws) > 0) AS n_all, CAST(sum(len(ws)) AS BIGINT) AS l_all FROM d
+        ), q AS (
+            SELECT item_id, term, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS term FROM benchmark)
+            GROUP BY item_id, term
+        ), t AS (
+            SELECT r, doc_id, n, term, count(*) AS tf
+            FROM (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS term FROM d)
+            WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n_all + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM t, c GROUP BY term, n_all
+        ), s AS (
+            SELECT item_id, r, doc_id, CAST(sum(times * w
+                * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_all) // l_all)))) AS BIGINT) AS score
+            FROM q JOIN t USING (term) JOIN w USING (term), c GROUP BY item_id, r, doc_id
+        )
+        SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        WHERE rank <= 10
+    """,
+    "op13_vector_codes": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding,
+                lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS MATERIALIZED (
+            SELECT r, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS v
+            FROM (SELECT r, v, unnest([0, 1, 2, 3]) AS p FROM kept)
+        ), b0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM parts WHERE r <= 256),
+        {_LLOYD}, {_assigned_sql(_ROUNDS)},
+        coded AS (
+            SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM a{_ROUNDS} GROUP BY r
+        )
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM b{_ROUNDS}) AS codebooks_sha256
+        FROM kept JOIN coded USING (r)
+    """,
 }

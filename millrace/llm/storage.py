@@ -29,9 +29,20 @@ class Scratch:
         self.tables += 1
         return _written(df, f"{self.root}/{self.tables}-{label}")
 
+    def stored_by(self, df: DataFrame, label: str, column: str) -> DataFrame:
+        """Stored with one folder per value of a column that has few values."""
+        self.tables += 1
+        path = f"{self.root}/{self.tables}-{label}"
+        df.write.partitionBy(column).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self, name: str = "") -> None:
+        """Remove one table of this computation, or all of them."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *error) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.delete()
