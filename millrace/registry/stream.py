@@ -6,6 +6,9 @@ are read as a file stream. Grade = the number in props; error events carry no su
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,9 @@ from millrace.sinks.messages import to_messages
 from millrace.sources.external import read_message_stream
 from millrace.sources.schemas import WINE_FIELDS, WINE_MESSAGE
 from millrace.streaming.messages import Rules, classify_quality, register_classifier, replay
-from millrace.streaming.pipeline import FileSinks, merged_stats, start_stream
+from millrace.streaming.pipeline import FileSinks, Sinks, merged_stats, start_stream
+from millrace.streaming.recovery import FailingSinks, Progress, SinkDown, progress, repeat_last_batch
+from millrace.streaming.rounds import Rounds, sent_times
 
 RULES = Rules(sulphates=150.0, low=40, medium=60, min_quality=60)
 
@@ -85,37 +90,75 @@ MEASURES_SQL = """fixed_acidity, volatile_acidity, citric_acid, residual_sugar,
        free_sulfur_dioxide, total_sulfur_dioxide, density, ph, sulphates, alcohol, quality"""
 
 
+def _stored_messages(data: Inputs, path: str) -> DataFrame:
+    """The events as message files below a path, read as a stream in BATCHES batches."""
+    files = max(BATCHES, data.width)
+    wine_messages(data["events"]).repartition(files, "key").write.parquet(f"{path}/in")
+    return read_message_stream(
+        data.spark,
+        "parquet",
+        schema=MESSAGE_SCHEMA,
+        path=f"{path}/in",
+        maxFilesPerTrigger=str(-(-files // BATCHES)),
+    )
+
+
+def _run(messages: DataFrame, sinks: Sinks, path: str) -> None:
+    started = start_stream(messages, sinks, f"{path}/progress", RULES, available_now=True)
+    started.awaitTermination()
+
+
 def run_stream(data: Inputs) -> FileSinks:
     """Store the events as message files, then run the job over these until all are read.
 
     The messages come from the events table itself, whatever else lies in its folder.
     """
-    events = data["events"]
+    data["events"]
 
     def build(path: str) -> FileSinks:
-        files = max(BATCHES, data.width)
-        wine_messages(events).repartition(files, "key").write.parquet(f"{path}/in")
-        messages = read_message_stream(
-            data.spark,
-            "parquet",
-            schema=MESSAGE_SCHEMA,
-            path=f"{path}/in",
-            maxFilesPerTrigger=str(-(-files // BATCHES)),
-        )
         sinks = FileSinks(f"{path}/out")
-        started = start_stream(messages, sinks, f"{path}/progress", RULES, available_now=True)
-        started.awaitTermination()
+        _run(_stored_messages(data, path), sinks, path)
         return sinks
 
     return data.stored("stream", build)
 
 
+def run_stopped_stream(data: Inputs) -> FileSinks:
+    """The same job, broken off between two outputs of its second batch, started again from its
+    logs, and with its last batch repeated after the end."""
+    data["events"]
+
+    def build(path: str) -> FileSinks:
+        messages = _stored_messages(data, path)
+        sinks = FileSinks(f"{path}/out")
+        failing = FailingSinks(sinks, batch_id=1, output="events")
+        try:
+            _run(messages, failing, path)
+        except StreamingQueryException as error:
+            if SinkDown.__name__ not in str(error):
+                raise
+        state = progress(data.spark, f"{path}/progress")
+        if state != Progress(planned=1, committed=0) or sinks.finished(data.spark) != 0:
+            raise RuntimeError(f"the job should have stopped inside its second batch: {state}")
+        _run(messages, sinks, path)
+        last = repeat_last_batch(data.spark, f"{path}/progress")
+        _run(messages, sinks, path)
+        if progress(data.spark, f"{path}/progress") != Progress(last, last):
+            raise RuntimeError(f"batch {last} was not repeated")
+        return sinks
+
+    return data.stored("stopped-stream", build)
+
+
+Run = Callable[[Inputs], FileSinks]
+
+
 def _without_zone(df: DataFrame) -> DataFrame:
     return df.withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
 
 
-def stream_events(data: Inputs) -> DataFrame:
-    rows = run_stream(data).read(data.spark, "events").drop("processed_at", "batch_id")
+def stream_events(data: Inputs, run: Run = run_stream) -> DataFrame:
+    rows = run(data).read(data.spark, "events", whole_batches=True).drop("processed_at", "batch_id")
     return _without_zone(rows)
 
 
@@ -126,8 +169,8 @@ WHERE sulphates IS NOT NULL
 """
 
 
-def stream_rejects(data: Inputs) -> DataFrame:
-    rows = run_stream(data).read(data.spark, "rejects").drop("batch_id")
+def stream_rejects(data: Inputs, run: Run = run_stream) -> DataFrame:
+    rows = run(data).read(data.spark, "rejects", whole_batches=True).drop("batch_id")
     return _without_zone(rows)
 
 
@@ -139,9 +182,9 @@ WHERE sulphates IS NULL
 """
 
 
-def stream_stats(data: Inputs) -> DataFrame:
+def stream_stats(data: Inputs, run: Run = run_stream) -> DataFrame:
     """Per-batch statistics merged over all batches, as batch bounds depend on the trigger."""
-    merged = merged_stats(run_stream(data).read(data.spark, "stats"))
+    merged = merged_stats(run(data).read(data.spark, "stats", whole_batches=True))
     return merged.select(
         "quality_group",
         "row_count",
@@ -165,8 +208,8 @@ GROUP BY {GROUP_SQL}
 """
 
 
-def stream_anomalies(data: Inputs) -> DataFrame:
-    rows = run_stream(data).read(data.spark, "anomalies")
+def stream_anomalies(data: Inputs, run: Run = run_stream) -> DataFrame:
+    rows = run(data).read(data.spark, "anomalies", whole_batches=True)
     line_ok = F.col("log_line").startswith("[ANOMALY] batch_id=")
     return _without_zone(
         rows.withColumn("has_log_line", line_ok).drop("log_line", "batch_id")
@@ -229,8 +272,34 @@ REPLAYED_MESSAGES_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS key, 2 AS times, 1 AS bodies FROM events
 """
 
+
+
+ROUNDS = 3
+
+
+def replayed_stream(data: Inputs) -> DataFrame:
+    """All events sent in rounds to a running stream, one round after the other."""
+    messages = wine_messages(data["events"])
+
+    def build(path: str) -> Rounds:
+        rounds = Rounds(data.spark, path, MESSAGE_SCHEMA, files=max(BATCHES, data.width), per_batch=2)
+        rounds.run(messages, ROUNDS)
+        return rounds
+
+    return sent_times(data.stored("rounds", build).counts())
+
+
+REPLAYED_STREAM_SQL = f"""
+SELECT CAST(event_id AS VARCHAR) AS key, {ROUNDS} AS times, 1 AS bodies, {ROUNDS} AS batches FROM events
+"""
+
 QUERIES = {
     "replayed_messages": query(replayed_messages),
+    "replayed_stream": query(replayed_stream),
+    "recovered_events": query(lambda data: stream_events(data, run_stopped_stream)),
+    "recovered_rejects": query(lambda data: stream_rejects(data, run_stopped_stream)),
+    "recovered_stats": query(lambda data: stream_stats(data, run_stopped_stream)),
+    "recovered_anomalies": query(lambda data: stream_anomalies(data, run_stopped_stream)),
     "stream_events": query(stream_events),
     "stream_rejects": query(stream_rejects),
     "stream_stats": query(stream_stats),
@@ -241,6 +310,11 @@ QUERIES = {
 
 ORACLES = {
     "replayed_messages": REPLAYED_MESSAGES_SQL,
+    "replayed_stream": REPLAYED_STREAM_SQL,
+    "recovered_events": STREAM_EVENTS_SQL,
+    "recovered_rejects": STREAM_REJECTS_SQL,
+    "recovered_stats": STREAM_STATS_SQL,
+    "recovered_anomalies": STREAM_ANOMALIES_SQL,
     "stream_events": STREAM_EVENTS_SQL,
     "stream_rejects": STREAM_REJECTS_SQL,
     "stream_stats": STREAM_STATS_SQL,

@@ -116,11 +116,6 @@ def or_empty(
         return spark.createDataFrame([], schema)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and change time of every file below a folder; file contents are not read.
 

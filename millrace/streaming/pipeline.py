@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.constraints import has_no_nulls, null_violations
 from millrace.sinks.files import write_batch
 from millrace.sinks.tables import delete_batch, write_jdbc
-from millrace.sources.files import or_empty, path_exists
+from millrace.sources.files import or_empty
+from millrace.sources.folders import path_exists, read_small, write_small
 from millrace.streaming.messages import (
     EVENT_COLUMNS,
     REQUIRED_COLUMNS,
@@ -54,17 +56,33 @@ class FileSinks:
     def write(self, name: str, rows: DataFrame, batch_id: int) -> None:
         write_batch(rows, f"{self.root}/{name}", batch_id)
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def finish(self, spark: SparkSession, batch_id: int) -> None:
+        """Note that all outputs of a batch, and so of all before it, are written."""
+        write_small(spark, f"{self.root}/_finished", str(batch_id))
+
+    def finished(self, spark: SparkSession) -> int | None:
+        """The last batch of which all outputs are written; None before the first."""
+        text = read_small(spark, f"{self.root}/_finished")
+        return None if text is None else int(text)
+
+    def read(self, spark: SparkSession, name: str, whole_batches: bool = False) -> DataFrame:
         """All stored rows of one output; none when no batch has written any yet.
 
-        A root that does not exist is an error, not an empty output.
+        With ``whole_batches``, rows of a batch count only when all its outputs are written, so that
+        outputs read together agree while a job runs or after it broke off. A root that does not
+        exist is an error, not an empty output.
         """
         if not path_exists(spark, self.root):
             raise FileNotFoundError(f"no stream outputs below {self.root}")
         schema = SCHEMAS[name]
-        return or_empty(
+        rows = or_empty(
             spark, schema, lambda: spark.read.schema(schema).parquet(f"{self.root}/{name}")
         )
+        if not whole_batches:
+            return rows
+        last = self.finished(spark)
+        # Batches run one after the other, so all before a finished one are finished.
+        return rows.where(F.col("batch_id") <= (-1 if last is None else last))
 
 
 @dataclass(frozen=True)
@@ -90,16 +108,28 @@ class DatabaseSinks:
         else:
             self.files.write(name, rows, batch_id)
 
+    def finish(self, spark: SparkSession, batch_id: int) -> None:
+        self.files.finish(spark, batch_id)
+
+
+class Sinks(Protocol):
+    """Where the outputs of a batch go, by name."""
+
+    def write(self, name: str, rows: DataFrame, batch_id: int) -> None: ...
+
+    def finish(self, spark: SparkSession, batch_id: int) -> None: ...
+
 
 def write_micro_batch(
-    rows: DataFrame, batch_id: int, sinks: FileSinks | DatabaseSinks, rules: Rules = Rules()
+    rows: DataFrame, batch_id: int, sinks: Sinks, rules: Rules = Rules()
 ) -> None:
     """Write one batch of flattened messages, kept in memory while its outputs are written.
 
     The rows are kept before they are filtered: a filter in front of the parse would make Spark
     parse every message twice. Rows that lack a required value go to the rejects with the column
     named, so that one such row does not fail the whole batch. A batch with rows writes all its
-    outputs, empty ones too, so that a repeated batch leaves nothing of its earlier attempt.
+    outputs, empty ones too, so that a repeated batch leaves nothing of its earlier attempt, and is
+    marked as finished after the last one.
     """
     rows = rows.persist()
     try:
@@ -114,13 +144,14 @@ def write_micro_batch(
         events = complete.withColumn("processed_at", F.current_timestamp())
         sinks.write("events", events.select(*EVENT_COLUMNS), batch_id)
         sinks.write("stats", batch_stats(complete, batch_id), batch_id)
+        sinks.finish(rows.sparkSession, batch_id)
     finally:
         rows.unpersist()
 
 
 def start_stream(
     messages: DataFrame,
-    sinks: FileSinks | DatabaseSinks,
+    sinks: Sinks,
     checkpoint: str,
     rules: Rules = Rules(),
     available_now: bool = False,
