@@ -36,7 +36,7 @@ class Rounds:
     per_batch: int = 4
 
     def send(self, messages: DataFrame) -> None:
-        """One round. The files appear when all are written, so no round is seen in part."""
+        """One round. A file appears as a whole, but the files of a round one after the other."""
         messages.repartition(self.files, "key").write.mode("append").parquet(f"{self.path}/in")
 
     def start(self) -> StreamingQuery:

@@ -120,8 +120,8 @@ def test_rounds_reach_a_running_query_one_after_the_other(spark, tmp_path):
     found = sent_times(rounds.counts()).collect()
     assert len(found) == 50
     assert {(r["times"], r["bodies"], r["batches"]) for r in found} == {(3, 1, 3)}
-    # No micro-batch takes more files than admitted: four files make two batches a round.
-    assert rounds.batches() == 6
+    # No micro-batch takes more files than admitted: four files make two batches a round or more.
+    assert rounds.batches() >= 6
     # A later sender goes on with the same folder, and the query with its log.
     rounds.run(rows, 1)
     assert {r["times"] for r in sent_times(rounds.counts()).collect()} == {4}
