@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from corpus import documents
@@ -15,9 +16,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 127, 128, 129, 1000, 70_000])
@@ -50,8 +49,10 @@ def test_words_equal_the_library(library):
     pool = "abc  \n\t\r\x0b\x0c\x1c\x85\xa0'stvlldmeéßñÀΣσς0129²½٣!?.,—中文日本한국🙂́ µªº×÷İI"
     words = token_files._WordIds(PATH)
     texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(40))) for _ in range(2000)]
-    texts += ["<|endoftext|> a", "", None]
-    for text, ids in zip(texts, words.ids(texts)):
+    special = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>"]
+    texts += ["".join(rng.choice([*special, "a", " ", "é ", "\n"]) for _ in range(rng.randrange(9))) for _ in range(300)]
+    texts += ["a <|endoftext|> b", "", None, " ", "\n\t"]
+    for text, ids in zip(texts, words.ids(pa.array(texts, pa.string()))):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
@@ -98,8 +99,25 @@ def test_memory_of_words_stays_bounded(monkeypatch, library):
     words = token_files._WordIds(PATH)
     for i in range(60):
         text = f"word{i % 9} other{i % 4}"
-        assert words.ids([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
-        assert len(words.now) <= 10
+        assert words.ids(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert words.now.words <= 10 and words.last.words <= 10
+
+
+def test_words_without_keys_of_their_own(monkeypatch, library):
+    """Long words, and words whose keys are equal or zero, are encoded every time."""
+    texts = [" ".join([f"x{i}" * (1 + i * 9 % 40) for i in range(30)] + ["same", "", "éé"])] * 3
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in token_files._WordIds(PATH).ids(pa.array(texts))] == expected
+    plain = token_files._word_keys
+
+    def few(words):
+        first, second = plain(words)
+        return first % np.uint64(3), second
+
+    monkeypatch.setattr(token_files, "_word_keys", few)
+    words = token_files._WordIds(PATH)
+    for _ in range(3):
+        assert [x.tolist() for x in words.ids(pa.array(texts))] == expected
 
 
 def test_rows_of_blocks(spark):
