@@ -22,7 +22,7 @@ from millrace.sources.schemas import FEEDBACK_CSV
 MAX_POINTS = 50.0
 
 
-def _courses(data: Inputs) -> DataFrame:
+def courses(data: Inputs) -> DataFrame:
     return data["nation"].select(
         F.col("n_nationkey").alias("course_id"), F.col("n_name").alias("course_name")
     )
@@ -33,7 +33,7 @@ def course_load(data: Inputs) -> DataFrame:
         F.col("c_nationkey").alias("course_id"), F.col("c_custkey").alias("student_id")
     )
     assignments = data["supplier"].select(F.col("s_nationkey").alias("course_id"))
-    return marts.course_load(_courses(data), enrollments, assignments)
+    return marts.course_load(courses(data), enrollments, assignments)
 
 
 COURSE_LOAD_SQL = """
@@ -115,7 +115,7 @@ SELECT *, avg_grade / {MAX_POINTS} < 0.6 AND late_rate >= 0.4 AS is_too_hard FRO
 """
 
 
-def _submissions_by_customer(data: Inputs) -> DataFrame:
+def submissions_by_customer(data: Inputs) -> DataFrame:
     return data["orders"].select(
         F.col("o_orderkey").alias("submission_id"),
         F.col("o_custkey").alias("assignment_id"),
@@ -124,7 +124,7 @@ def _submissions_by_customer(data: Inputs) -> DataFrame:
     )
 
 
-def _assignments_by_customer(data: Inputs) -> DataFrame:
+def assignments_by_customer(data: Inputs) -> DataFrame:
     return data["customer"].select(
         F.col("c_custkey").alias("assignment_id"),
         F.col("c_nationkey").alias("course_id"),
@@ -151,7 +151,7 @@ def _rubric_array(*extra: Column) -> Column:
     )
 
 
-def _feedback(data: Inputs) -> DataFrame:
+def feedback(data: Inputs) -> DataFrame:
     """Feedback as a document store returns it: one nested document per line."""
     limit = F.when(F.col("l_linestatus") == "F", 0.0).otherwise(MAX_POINTS)
     return data["lineitem"].select(
@@ -185,7 +185,7 @@ LIMIT_SQL = f"CASE WHEN l_linestatus = 'F' THEN 0.0 ELSE {MAX_POINTS} END"
 
 def rubric_items(data: Inputs) -> DataFrame:
     return marts.rubric_items(
-        _submissions_by_customer(data), _assignments_by_customer(data), _feedback(data)
+        submissions_by_customer(data), assignments_by_customer(data), feedback(data)
     )
 
 
@@ -316,11 +316,11 @@ def quality_mart(data: Inputs) -> DataFrame:
         F.col("l_quantity").cast("int").cast("string").alias("size_kb"),
     )
     return marts.course_quality(
-        _courses(data),
-        _assignments_by_customer(data),
-        _submissions_by_customer(data),
+        courses(data),
+        assignments_by_customer(data),
+        submissions_by_customer(data),
         manifest,
-        _feedback(data),
+        feedback(data),
     )
 
 
