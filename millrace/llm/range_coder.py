@@ -22,14 +22,16 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"MTB1"
-MAX_LANES = 4096
+MAGIC = b"MTB2"
+MAX_LANES = 8192
 MIN_STEPS = 128
 _HEADER = struct.Struct("<4sIIIIII")
 
 _CONTEXT_BITS = 18
 _MIX_BITS = 12
 _CONFIDENT = 3
+# Confidence after a miss, then after a hit, by the one before.
+_NEXT_TRUST = np.array([0, 0, 1, 2, 1, 2, 3, 3], np.int8)
 _REFRESH = 8  # steps between two rebuilds of the order-0 distribution
 _GAIN = 24
 _ORDER_0_LIMIT = 1 << 24
@@ -60,8 +62,11 @@ class _Model:
         self.mix[total[:, 0] > _MIX_LIMIT] >>= 1
         share = (self.mix * ((1 << _MIX_BITS) - 3)) // np.maximum(1, self.mix.sum(axis=1, keepdims=True)) + 1
         share[:, 2] += (1 << _MIX_BITS) - share.sum(axis=1)
-        self.mix_width = share.astype(np.uint64)
-        self.mix_start = (np.cumsum(share, axis=1) - share).astype(np.uint64)
+        # By context times 3 plus symbol; and the two inner bounds by context.
+        self.mix_width = share.astype(np.uint64).ravel()
+        starts = (np.cumsum(share, axis=1) - share).astype(np.uint64)
+        self.mix_start = starts.ravel()
+        self.mix_bounds = np.ascontiguousarray(starts[:, 1]), np.ascontiguousarray(starts[:, 2])
 
     def _refresh_order_0(self) -> None:
         if self.recent:
@@ -73,6 +78,7 @@ class _Model:
         self.start = np.zeros(len(self.counts) + 1, np.uint64)
         np.cumsum(self.counts, out=self.start[1:], dtype=np.uint64)
         self.total = self.start[-1]
+        self.width = self.counts.astype(np.uint64)
         # Half as wide, for the search in decoding.
         self.search = self.start.astype(np.uint32)
 
@@ -80,20 +86,21 @@ class _Model:
         """The mixing context of each lane; the guesses are kept for the step."""
         mixed = self.last * 0x9E3779B1 + self.before * 0x85EBCA6B
         self.slot = (mixed & 0xFFFFFFFF) >> (32 - _CONTEXT_BITS)
-        self.one, self.two = self.guess_1[self.last], self.guess_2[self.slot]
-        self.c1, self.c2 = self.trust_1[self.last], self.trust_2[self.slot]
+        self.one, self.two = self.guess_1.take(self.last), self.guess_2.take(self.slot)
+        self.c1, self.c2 = self.trust_1.take(self.last), self.trust_2.take(self.slot)
         return (self.c2.astype(np.int64) * (_CONFIDENT + 1) + self.c1) * 2 + (self.one == self.two)
 
-    def learn(self, ids: np.ndarray, context: np.ndarray, symbol: np.ndarray) -> None:
+    def learn(self, ids: np.ndarray, mixed: np.ndarray) -> None:
+        """Take in what a step coded; ``mixed`` is context times 3 plus symbol."""
         for key, guess, trust, said, was in (
             (self.last, self.guess_1, self.trust_1, self.one, self.c1),
             (self.slot, self.guess_2, self.trust_2, self.two, self.c2),
         ):
-            hit = said == ids
-            trust[key] = np.where(hit, np.minimum(was + 1, _CONFIDENT), np.maximum(was - 1, 0))
-            wrong = ~hit & (was == 0)
-            guess[key[wrong]] = ids[wrong]
-        self.mix += np.bincount(context * 3 + symbol, minlength=self.mix.size).reshape(self.mix.shape)
+            state = was + (said == ids) * np.int8(_CONFIDENT + 1)
+            trust[key] = _NEXT_TRUST.take(state)
+            wrong = np.flatnonzero(state == 0)
+            guess[key.take(wrong)] = ids.take(wrong)
+        self.mix += np.bincount(mixed, minlength=self.mix.size).reshape(self.mix.shape)
         self._refresh_mix()
         self.recent.append(ids)
         if len(self.recent) == _REFRESH:
@@ -142,19 +149,20 @@ def encode(ids: np.ndarray, vocabulary: int) -> tuple[int, np.ndarray, np.ndarra
     for now in table:
         context = model.expect()
         symbol = np.where(now == model.two, 0, np.where(now == model.one, 1, 2))
+        mixed = context * 3 + symbol
         part = width >> np.uint64(_MIX_BITS)
-        low += part * model.mix_start[context, symbol]
-        np.multiply(part, model.mix_width[context, symbol], out=width)
+        low += part * model.mix_start.take(mixed)
+        np.multiply(part, model.mix_width.take(mixed), out=width)
         emit()
         rest = np.flatnonzero(symbol == 2)
         if len(rest):
-            wanted = now[rest]
-            start = model.start[wanted]
-            part = width[rest] // model.total
+            wanted = now.take(rest)
+            start = model.start.take(wanted)
+            part = width.take(rest) // model.total
             low[rest] += part * start
-            width[rest] = part * (model.start[wanted + 1] - start)
+            width[rest] = part * model.width.take(wanted)
             emit()
-        model.learn(now, context, symbol)
+        model.learn(now, mixed)
     # Any number inside the interval ends a lane; the next multiple of a word needs one word.
     owners.append(np.arange(lanes))
     words.append(((low + _LOW_WORD) >> _WORD).astype(np.uint32))
@@ -196,23 +204,26 @@ def decode(n: int, vocabulary: int, lengths: np.ndarray, words: np.ndarray) -> n
         context = model.expect()
         part = width >> np.uint64(_MIX_BITS)
         value = (code - low) // part
-        starts = model.mix_start[context]
-        symbol = (value >= starts[:, 1]).astype(np.int64) + (value >= starts[:, 2])
-        low += part * starts[every, symbol]
-        np.multiply(part, model.mix_width[context, symbol], out=width)
+        symbol = (value >= model.mix_bounds[0].take(context)).astype(np.int64)
+        symbol += value >= model.mix_bounds[1].take(context)
+        mixed = context * 3 + symbol
+        low += part * model.mix_start.take(mixed)
+        np.multiply(part, model.mix_width.take(mixed), out=width)
         fill()
         now[:] = np.where(symbol == 0, model.two, model.one)
         rest = np.flatnonzero(symbol == 2)
         if len(rest):
-            part = width[rest] // model.total
-            value = np.minimum((code[rest] - low[rest]) // part, model.total - _ONE)
-            wanted = np.searchsorted(model.search, value.astype(np.uint32), side="right") - 1
-            start = model.start[wanted]
-            low[rest] += part * start
-            width[rest] = part * (model.start[wanted + 1] - start)
+            part = width.take(rest) // model.total
+            value = np.minimum((code.take(rest) - low.take(rest)) // part, model.total - _ONE).astype(np.uint32)
+            # Sorted values are searched three times as fast.
+            order = np.argsort(value)
+            rest, part = rest.take(order), part.take(order)
+            wanted = np.searchsorted(model.search, value.take(order), side="right") - 1
+            low[rest] += part * model.start.take(wanted)
+            width[rest] = part * model.width.take(wanted)
             now[rest] = wanted
             fill()
-        model.learn(now, context, symbol)
+        model.learn(now, mixed)
     return np.ascontiguousarray(table.T).reshape(-1)[:n]
 
 
