@@ -13,7 +13,7 @@ from millrace.plans import measurements
 from millrace.registry.common import Inputs, query, sql_round
 from millrace.sinks.files import write_csv
 from millrace.sinks.measurements import append_measurements, with_speedup
-from millrace.sinks.tables import replace_documents
+from millrace.sinks.versions import LoadRejected, read_collection, replace_collection
 from millrace.sources.files import read_csv
 from millrace.sources.generators import HEX_DIGITS, uniform_value
 from millrace.sources.measurements import read_log, sorted_records
@@ -195,14 +195,19 @@ def event_samples(data: Inputs) -> DataFrame:
 
 
 def replaced_documents(data: Inputs) -> DataFrame:
-    """A collection of labels, replaced by another one with a unique key."""
+    """A collection of labels that replaced another one, after a version with a key twice failed."""
 
     def build(path: str) -> str:
-        replace_documents(data["labels"].select("doc_id"), path, ["doc_id"])
-        replace_documents(data["labels"], path, ["doc_id"])
-        return path
-
-    return data.spark.read.parquet(data.stored("labels", build))
+        labels = data["labels"]
+        replace_collection(labels.select("doc_id"), path, ["doc_id"])
+        replace_collection(labels, path, ["doc_id"])
+        try:
+            replace_collection(labels.unionByName(labels.limit(1)), path, ["doc_id"])
+        except LoadRejected:
+            return path
+        raise RuntimeError("a collection with a key twice must be refused")
+
+    return read_collection(data.spark, data.stored("labels", build))
 
 
 def event_uniform(data: Inputs) -> DataFrame:

@@ -7,15 +7,24 @@ submissions = lineitem or orders, files = pages or lineitem, feedback = lineitem
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.documents import feedback_documents
+from millrace.operators.keys import assign_dense_ids
 from millrace.operators.manifest import file_manifest
 from millrace.plans import marts
-from millrace.plans.university_load import load_assignments, load_enrollments, load_students
+from millrace.plans.university_load import (
+    load_assignments,
+    load_enrollments,
+    load_students,
+    replace_university,
+)
 from millrace.registry.common import Inputs, query, sql_round
 from millrace.sinks.files import write_csv
+from millrace.sinks.versions import Collection, LoadRejected
 from millrace.sources.files import read_text_csv
 from millrace.sources.schemas import FEEDBACK_CSV
 
@@ -404,7 +413,96 @@ FROM (
 ) AS pairs
 """
 
+
+def university_files(data: Inputs) -> dict[str, DataFrame]:
+    """The six files of a university, whose keys and references hold."""
+    col = F.col
+    lines = data["lineitem"].join(data["orders"], col("l_orderkey") == col("o_orderkey"))
+    taken = lines.groupBy(col("l_suppkey").alias("course_id"), col("o_custkey").alias("student_id")).agg(
+        F.min(col("l_shipdate").cast("date")).alias("enrolled_dt")
+    )
+    handed_in = lines.groupBy(col("l_partkey").alias("assignment_id"), col("o_custkey").alias("student_id")).agg(
+        F.max("l_shipdate").alias("submitted_ts"), F.max("l_quantity").cast("decimal(5,2)").alias("score")
+    )
+    set_by = lines.groupBy(col("l_partkey").alias("assignment_id")).agg(
+        F.min("l_suppkey").alias("course_id"), F.max(col("l_shipdate").cast("date")).alias("due_dt")
+    )
+    return {
+        "students": data["customer"].selectExpr(
+            "c_custkey AS student_id", "c_name AS name", "c_mktsegment AS group_name", "c_nationkey AS enrollment_year"
+        ),
+        "teachers": data["nation"].selectExpr("n_nationkey AS teacher_id", "n_name AS name", "'science' AS department"),
+        "courses": data["supplier"].selectExpr(
+            "s_suppkey AS course_id", "s_name AS title", "s_nationkey AS teacher_id", "'2025-Fall' AS semester"
+        ),
+        "enrollments": taken.select("student_id", "course_id", "enrolled_dt"),
+        "assignments": set_by.select("assignment_id", "course_id", "due_dt", F.lit(50).cast("decimal(5,2)").alias("max_score")),
+        "submissions": assign_dense_ids(handed_in, ["assignment_id", "student_id"], "submission_id").select(
+            "submission_id", "assignment_id", "student_id", "submitted_ts", "score"
+        ),
+    }
+
+
+# Key and text of each table in the summary.
+_SUMMARY = {
+    "students": ("student_id", "email"),
+    "teachers": ("teacher_id", "full_name"),
+    "courses": ("course_id", "course_name"),
+    "enrollments": ("enrollment_id", "enrolled_dt"),
+    "assignments": ("assignment_id", "title"),
+    "submissions": ("submission_id", "grade"),
+}
+
+
+def university_load(data: Inputs) -> DataFrame:
+    """Summary of six tables loaded as one, after a later load with one bad row was refused."""
+
+    def build(path: str) -> str:
+        good, bad, root = f"{path}/good", f"{path}/bad", f"{path}/tables"
+        for name, rows in university_files(data).items():
+            write_csv(rows, f"{good}/{name}.csv")
+            write_csv(rows.limit(0) if name == "submissions" else rows, f"{bad}/{name}.csv")
+        version = replace_university(data.spark, good, root)
+        # The last file of the second delivery holds a student that no file knows.
+        stray = data.spark.sql("SELECT 1 AS i, 1 AS a, -1 AS s, timestamp_ntz'2025-01-01' AS t, 1.00 AS g")
+        write_csv(stray.toDF("submission_id", "assignment_id", "student_id", "submitted_ts", "score"), f"{bad}/submissions.csv", mode="overwrite")
+        try:
+            replace_university(data.spark, bad, root)
+        except LoadRejected:
+            if Collection(data.spark, root).current() == version:
+                return root
+        raise RuntimeError("a load with a stray student must be refused")
+
+    tables = Collection(data.spark, data.stored("university", build))
+    parts = [
+        tables.table(name).agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("row_count"),
+            F.sum(F.col(key).cast("long")).alias("key_sum"),
+            F.max(F.col(text).cast("string")).alias("last_text"),
+        )
+        for name, (key, text) in _SUMMARY.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+UNIVERSITY_LOAD_SQL = """
+WITH lines AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+taken AS (SELECT l_suppkey, o_custkey, min(CAST(l_shipdate AS DATE)) AS d FROM lines GROUP BY ALL),
+handed AS (SELECT l_partkey, o_custkey, max(l_quantity) AS q FROM lines GROUP BY ALL),
+counted(table_name, row_count, key_sum, last_text) AS (
+    SELECT 'students', count(*), sum(c_custkey), max('student' || c_custkey || '@example.edu') FROM customer
+    UNION ALL SELECT 'teachers', count(*), sum(n_nationkey), max(n_name) FROM nation
+    UNION ALL SELECT 'courses', count(*), sum(s_suppkey), max(s_name) FROM supplier
+    UNION ALL SELECT 'enrollments', count(*), count(*) * (count(*) + 1) // 2, CAST(max(d) AS VARCHAR) FROM taken
+    UNION ALL SELECT 'assignments', count(DISTINCT l_partkey), sum(DISTINCT l_partkey), max('Assignment_' || l_partkey) FROM lines
+    UNION ALL SELECT 'submissions', count(*), count(*) * (count(*) + 1) // 2,
+        max(CAST(CAST(q AS DECIMAL(5, 2)) AS VARCHAR)) FROM handed)
+SELECT table_name, row_count, CAST(key_sum AS BIGINT) AS key_sum, last_text FROM counted
+"""
+
 QUERIES = {
+    "university_load": query(university_load),
     "course_load": query(course_load),
     "punctuality": query(punctuality),
     "grade_distribution": query(grade_distribution),
@@ -422,6 +520,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "university_load": UNIVERSITY_LOAD_SQL,
     "course_load": COURSE_LOAD_SQL,
     "punctuality": PUNCTUALITY_SQL,
     "grade_distribution": GRADE_DISTRIBUTION_SQL,

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.operators.constraints import duplicate_keys
-
 
 def write_jdbc(
     df: DataFrame,
@@ -46,19 +44,3 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-
-
-def replace_documents(
-    df: DataFrame,
-    path: str,
-    unique_key: list[str],
-    sink_format: str = "parquet",
-) -> None:
-    """Replace a collection after checking that the key is unique.
-
-    The check runs first, so a duplicate leaves the old collection in place.
-    """
-    duplicate = duplicate_keys(df, unique_key).first()
-    if duplicate is not None:
-        raise ValueError(f"duplicate key {duplicate.asDict()}")
-    df.write.mode("overwrite").format(sink_format).save(path)

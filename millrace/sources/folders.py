@@ -38,30 +38,43 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return system.delete(place, True)
 
 
+def _plain(spark: SparkSession, path: str) -> tuple[Any, Any, bool]:
+    """A file's system without checksum files, the place, and whether it is a local disk.
+
+    Local disks keep a checksum beside each file, which no step could replace together with it.
+    """
+    system, place = _place(spark, path)
+    local = spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.LocalFileSystem").isInstance(system)
+    return (system.getRawFileSystem() if local else system), place, local
+
+
 def write_small(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file so that a reader sees the old text or the new one, never a part.
 
     The text goes to a file of another name first, which then takes the place of the old one. The
     name starts with a dot, so that no reader takes it for data.
     """
-    system, place = _place(spark, path)
-    draft = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}-{uuid.uuid4().hex}")
+    system, place, local = _plain(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(place.getParent(), f".{place.getName()}-{uuid.uuid4().hex}")
     stream = system.create(draft, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        place.toUri() if place.toUri().getScheme() else system.getUri(), spark._jsc.hadoopConfiguration()
-    )
-    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    if local:
+        if not system.rename(draft, place):
+            raise OSError(f"could not replace {path}")
+        return
+    context = hadoop.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
     context.rename(draft, place, options)
 
 
 def read_small(spark: SparkSession, path: str) -> str | None:
     """Text of a small file; None if there is no such file."""
-    system, place = _place(spark, path)
+    system, place, _ = _plain(spark, path)
     if not system.exists(place):
         return None
     stream = system.open(place)

@@ -11,7 +11,6 @@ from millrace.operators.manifest import cast_columns, file_manifest, normalize_f
 from millrace.plans import marts
 from millrace.plans.university_load import LOADERS, load_enrollments, load_university
 from millrace.sinks.files import write_csv
-from millrace.sinks.tables import replace_documents
 from millrace.sources.catalog import Catalog
 
 DUE = datetime.date(2025, 3, 10)
@@ -270,16 +269,6 @@ def test_null_keys_come_last(spark):
     assert [r["submission_id"] for r in marts.largest_files(files, 2).collect()] == [2, 3]
 
 
-def test_replace_documents_refuses_duplicates(spark, tmp_path):
-    path = f"file:{tmp_path}/docs"
-    replace_documents(spark.range(3), path, ["id"])
-    replace_documents(spark.range(2), path, ["id"])
-    assert spark.read.parquet(path).count() == 2
-    with pytest.raises(ValueError, match="duplicate key"):
-        replace_documents(spark.range(3).union(spark.range(1)), path, ["id"])
-    assert spark.read.parquet(path).count() == 2
-
-
 def test_lenient_whole_numbers_outside_the_range_are_null(spark):
     raw = spark.createDataFrame([("1e20",), ("nan",), ("5.9",)], "quality string")
     found = normalize_fields(raw, {"quality": "quality"}, strict=False).collect()
