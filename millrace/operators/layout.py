@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import setting
+
 
 @dataclass(frozen=True)
 class Placed:
@@ -118,12 +120,27 @@ def redistribute(
     return write_placed(rows, target, key, buckets, path, hot)
 
 
+def create_bucketed(
+    spark: SparkSession, table: str, schema: str, key: str, buckets: int, path: str
+) -> None:
+    """An empty catalog table hashed by the key, to be filled by inserts. ``schema`` is DDL."""
+    spark.sql(
+        f"CREATE TABLE {table} ({schema}) USING parquet "
+        f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+
+
 def collect_statistics(
-    spark: SparkSession, table: str, columns: list[str] | None = None
+    spark: SparkSession, table: str, columns: list[str] | None = None, histograms: bool = False
 ) -> None:
-    """Refresh table statistics; for all columns unless some are named."""
+    """Refresh table statistics; for all columns unless some are named.
+
+    With ``histograms``, columns of numbers and times get their distribution too, from one more
+    pass, so that the share of rows that a range keeps is known and not taken as even.
+    """
     chosen = f"FOR COLUMNS {', '.join(columns)}" if columns else "FOR ALL COLUMNS"
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {chosen}")
+    with setting(spark, "spark.sql.statistics.histogram.enabled", str(histograms).lower()):
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {chosen}")
 
 
 def join_placed(

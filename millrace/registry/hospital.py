@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import rounded_sum
 from millrace.operators import layout, segments
 from millrace.operators.constraints import reconcile_counts
 from millrace.operators.counts import row_counts
@@ -16,6 +17,7 @@ from millrace.operators.layout import Placed
 from millrace.plans import star
 from millrace.registry.common import Inputs, query, sql_round
 from millrace.sinks.files import write_csv
+from millrace.sinks.tables import fill_table
 from millrace.sources.files import read_csv
 from millrace.sources.schemas import SEGMENT_COUNTS
 
@@ -309,7 +311,158 @@ FROM counts JOIN totals USING (table_name)
 """
 
 
+
+def insert_placed(data: Inputs) -> DataFrame:
+    """Both facts filled by several inserts into empty bucketed tables, then joined in place."""
+
+    def build(path: str) -> tuple[str, str]:
+        tag = path.rsplit("-", 1)[-1]
+        names = f"procedures_filled_{tag}", f"encounters_filled_{tag}"
+        facts = (_procedures(data), "encounter"), (_encounters(data), "id")
+        for name, (rows, key) in zip(names, facts):
+            schema = ", ".join(f"{column} {kind}" for column, kind in rows.dtypes)
+            layout.create_bucketed(data.spark, name, schema, key, data.width, f"{path}/{name}")
+            # Columns are matched by name, whatever order a batch has them in.
+            fill_table(rows.where(F.pmod(F.col(key), F.lit(3)) == 0), name)
+            fill_table(rows.where(F.pmod(F.col(key), F.lit(3)) != 0).select(*reversed(rows.columns)), name)
+        return names
+
+    procedures, encounters = map(data.spark.table, data.stored("filled", build))
+    joined = procedures.join(encounters, F.col("encounter") == F.col("id"))
+    return joined.groupBy("encounterclass", "description").agg(
+        F.count("*").alias("procedure_cnt"), rounded_sum("base_cost", 2).alias("proc_cost")
+    )
+
+
+INSERT_PLACED_SQL = f"""
+SELECT o_orderpriority AS encounterclass, l_returnflag AS description, count(*) AS procedure_cnt,
+       {sql_round("sum(l_extendedprice)", 2)} AS proc_cost
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+GROUP BY o_orderpriority, l_returnflag
+"""
+
+# The tables in an order that joins the largest first; statistics must find a better one.
+BY_STATISTICS = """
+SELECT y.name AS payer_name, t.state, count(*) AS procedure_cnt
+FROM IDENTIFIER(:procedures) AS p
+JOIN IDENTIFIER(:encounters) AS e ON p.encounter = e.id
+JOIN IDENTIFIER(:patients) AS t ON e.patient = t.id
+JOIN IDENTIFIER(:payers) AS y ON e.payer = y.id
+WHERE y.name IN ('NATION_1', 'NATION_2', 'NATION_3') AND t.city = 'BUILDING' AND e.total_claim_cost > 250000
+GROUP BY y.name, t.state
+"""
+
+
+def analyzed_tables(data: Inputs) -> dict[str, str]:
+    """The star as catalog tables with statistics and histograms of all columns, by role."""
+
+    def build(path: str) -> dict[str, str]:
+        tag = path.rsplit("-", 1)[-1]
+        names = {}
+        for role, rows in (
+            ("procedures", _procedures(data)),
+            ("encounters", _encounters(data)),
+            ("patients", _patients(data)),
+            ("payers", _payers(data)),
+        ):
+            names[role] = f"{role}_analyzed_{tag}"
+            rows.write.option("path", f"{path}/{role}").saveAsTable(names[role])
+            layout.collect_statistics(data.spark, names[role], histograms=True)
+        return names
+
+    return data.stored("analyzed", build)
+
+
+def join_by_statistics(data: Inputs) -> DataFrame:
+    """A star join whose order follows the statistics of its tables, not the text."""
+    return data.spark.sql(BY_STATISTICS, args=analyzed_tables(data))
+
+
+JOIN_BY_STATISTICS_SQL = """
+SELECT n_name AS payer_name, c_nationkey AS state, count(*) AS procedure_cnt
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON n_nationkey = o_custkey % 25
+WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_3') AND c_mktsegment = 'BUILDING' AND o_totalprice > 250000
+GROUP BY n_name, c_nationkey
+"""
+
+STORED_SEGMENTS = 4
+
+
+def placed_segments(data: Inputs) -> DataFrame:
+    """Rows per segment of stored tables: facts in their bucket files, dimensions in their copies."""
+
+    def build(path: str) -> dict[str, str]:
+        tag = path.rsplit("-", 1)[-1]
+        names = {}
+        for role, rows, key in (
+            ("encounters", _encounters(data), "id"), ("procedures", _procedures(data), "encounter"),
+            ("encounters_alt", _encounters(data), "patient"),
+        ):
+            names[role] = f"{role}_segments_{tag}"
+            layout.write_bucketed(rows, names[role], key, STORED_SEGMENTS, f"{path}/{role}")
+        for role, rows in (("patients", _patients(data)), ("payers", _payers(data))):
+            names[role] = f"{path}/{role}"
+            segments.write_replicated(rows, names[role], STORED_SEGMENTS)
+        return names
+
+    names = data.stored("segment-files", build)
+    keys = {"encounters": "id", "procedures": "encounter", "encounters_alt": "patient"}
+    return segments.union_counts(
+        [
+            *(
+                segments.stored_segments(data.spark.table(names[role]), role, STORED_SEGMENTS, key)
+                for role, key in keys.items()
+            ),
+            *(
+                segments.replicated_segments(data.spark, names[role], role, STORED_SEGMENTS)
+                for role in ("patients", "payers")
+            ),
+        ]
+    )
+
+
+def _murmur_sql(source: str) -> str:
+    """Murmur3 (32 bits, seed 42) of the bigint column k of a relation, as its pmod in column s."""
+    word = 4294967295
+
+    def mixed(name: str, value: str, state: str) -> str:
+        return f"""
+            ({value} * 3432918353::UBIGINT) & {word} AS {name}a,
+            ((({name}a * 32768) | ({name}a >> 17)) & {word}) * 461845907::UBIGINT & {word} AS {name}b,
+            xor({state}, {name}b) AS {name}c,
+            ((({name}c * 8192) | ({name}c >> 19)) & {word}) * 5 + 3864292196 & {word} AS {name}"""
+
+    return f"""
+        SELECT table_name, CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE CAST(h AS BIGINT) END AS signed,
+               ((signed % {STORED_SEGMENTS}) + {STORED_SEGMENTS}) % {STORED_SEGMENTS} AS s
+        FROM (SELECT table_name, CAST(k & {word} AS UBIGINT) AS low, CAST((k >> 32) & {word} AS UBIGINT) AS high,
+            {mixed("x", "low", "42::UBIGINT")}, {mixed("y", "high", "x")},
+            xor(y, 8::UBIGINT) AS f, xor(f, f >> 16) * 2246822507::UBIGINT & {word} AS g,
+            xor(g, g >> 13) * 3266489909::UBIGINT & {word} AS i, xor(i, i >> 16) AS h
+            FROM ({source}))"""
+
+
+PLACED_SEGMENTS_SQL = f"""
+WITH keys AS (
+    SELECT 'encounters' AS table_name, o_orderkey AS k FROM orders
+    UNION ALL SELECT 'procedures', l_orderkey FROM lineitem
+    UNION ALL SELECT 'encounters_alt', o_custkey FROM orders
+), held AS (
+    SELECT table_name, s FROM ({_murmur_sql("SELECT table_name, k FROM keys")})
+    UNION ALL SELECT 'patients', i FROM customer, range({STORED_SEGMENTS}) AS r(i)
+    UNION ALL SELECT 'payers', i FROM nation, range({STORED_SEGMENTS}) AS r(i)
+), names AS (SELECT DISTINCT table_name FROM held)
+SELECT names.table_name, CAST(r.i AS INT) AS segment_id, count(held.s) AS row_count, TRUE AS placed
+FROM names CROSS JOIN range({STORED_SEGMENTS}) AS r(i)
+LEFT JOIN held ON held.table_name = names.table_name AND held.s = r.i
+GROUP BY names.table_name, r.i
+"""
+
 QUERIES = {
+    "insert_placed": query(insert_placed),
+    "join_by_statistics": query(join_by_statistics),
+    "placed_segments": query(placed_segments),
     "clone_load": query(clone_load),
     "layout_load": query(layout_load),
     "star_q1": query(star_q1),
@@ -323,6 +476,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "insert_placed": INSERT_PLACED_SQL,
+    "join_by_statistics": JOIN_BY_STATISTICS_SQL,
+    "placed_segments": PLACED_SEGMENTS_SQL,
     "clone_load": CLONE_LOAD_SQL,
     "layout_load": LAYOUT_LOAD_SQL,
     "star_q1": STAR_Q1_SQL,

@@ -23,6 +23,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Bucket files are written sorted, one file per bucket: joins need not sort them again.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+    # Joins of tables whose statistics are collected are ordered by them.
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.cbo.joinReorder.enabled": "true",
     # Files are compressed; the broadcast threshold must be compared with the size in memory.
     "spark.sql.sources.fileCompressionFactor": "4.0",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_jdbc(
@@ -32,10 +33,29 @@ def delete_batch(
         connection.close()
 
 
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """Number of buckets and bucket columns of a catalog table; None for one without buckets."""
+    columns = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
+    if not columns:
+        return None
+    row = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+    return int(row["data_type"]), columns
+
+
 def fill_table(df: DataFrame, table: str) -> None:
-    """Append every row to an existing catalog table, columns matched by name."""
-    target = df.sparkSession.table(table).columns
-    df.select(*target).write.insertInto(table)
+    """Append every row to an existing catalog table, columns matched by name.
+
+    Rows for a bucketed table are dealt out by its buckets first, so that an insert adds one file to
+    a bucket and not one per task. A bucket far larger than the others, that of a hot key, is
+    written by several tasks, where adaptive execution splits it.
+    """
+    spark = df.sparkSession
+    rows = df.select(*spark.table(table).columns)
+    spec = bucket_spec(spark, table)
+    if spec:
+        buckets, columns = spec
+        rows = rows.hint("rebalance", buckets, *(F.col(f"`{c}`") for c in columns))
+    rows.write.insertInto(table)
 
 
 def create_database(spark: SparkSession, name: str) -> None:

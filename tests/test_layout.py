@@ -1,12 +1,13 @@
 import uuid
 
 import pytest
-from plans_text import plan_text
+from plans_text import estimated_rows, join_order, plan_text
 from pyspark.sql import functions as F
 
 from millrace.operators import layout, segments
 from millrace.operators.layout import Placed
 from millrace.plans import star
+from millrace.sinks import tables
 
 BUCKETS = 8
 
@@ -251,3 +252,141 @@ def test_skew_report(spark):
         share = rows[row["segment_id"]] / sum(rows) * 100 if sum(rows) else 0
         assert row["share_pct"] == pytest.approx(share)
     assert len(report) == 2 * len(RECORDED)
+
+
+def filled(spark, folder, *batches, key="encounter", buckets=4):
+    table = f"filled_{uuid.uuid4().hex}"
+    schema = ", ".join(f"{column} {kind}" for column, kind in batches[0].dtypes)
+    layout.create_bucketed(spark, table, schema, key, buckets, f"{folder}/{table}")
+    for batch in batches:
+        tables.fill_table(batch, table)
+    return table
+
+
+def test_inserts_keep_the_buckets(spark, folder, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = skewed(spark)
+    table = filled(spark, folder, rows.where("code = 0"), rows.where("code > 0"))
+    owners = filled(spark, folder, encounters(spark), key="id")
+    assert tables.bucket_spec(spark, table) == (4, ["encounter"])
+    same_rows(spark.table(table), rows)
+    joined = spark.table(table).join(spark.table(owners), F.expr("encounter = id"))
+    assert "Exchange" not in plan_text(joined) and plan_text(joined).count("Bucketed: true") == 2
+    same_rows(joined, rows.join(encounters(spark), F.expr("encounter = id")))
+    wrong = segments.stored_segments(spark.table(table), "t", 4, "encounter").where("NOT placed")
+    assert wrong.isEmpty()
+
+
+def test_an_insert_adds_one_file_to_a_bucket(spark, folder):
+    rows = spark.range(5000).selectExpr("id AS encounter", "id * 2 AS v").repartition(16)
+    table = filled(spark, folder, rows, rows)
+    assert len(spark.table(table).inputFiles()) == 8
+    plain = f"plain_{uuid.uuid4().hex}"
+    layout.create_bucketed(spark, plain, "encounter bigint, v bigint", "encounter", 4, f"{folder}/{plain}")
+    rows.write.insertInto(plain)
+    assert len(spark.table(plain).inputFiles()) > 16  # what an insert without the step would leave
+
+
+def test_a_hot_key_is_inserted_by_several_tasks(spark, folder, with_conf):
+    with_conf(
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="8KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="8KB",
+    )
+    rows = spark.range(0, 40_000, 1, 12).selectExpr("IF(id % 2 = 0, 7L, id) AS encounter", "sha2(string(id), 256) AS v")
+    table = filled(spark, folder, rows)
+    files = spark.table(table).groupBy("_metadata.file_name").count()
+    assert files.count() > 4 and files.agg(F.max("count")).first()[0] < 15_000
+    same_rows(spark.table(table), rows)
+
+
+def test_inserts_match_columns_by_name_and_add_up(spark, folder):
+    rows = spark.createDataFrame([(1, "a"), (None, None)], "encounter bigint, v string")
+    table = filled(spark, folder, rows, rows.select("v", "encounter"), rows.limit(0))
+    assert sorted(map(str, spark.table(table).collect())) == sorted(map(str, rows.union(rows).collect()))
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN|cannot be resolved"):
+        tables.fill_table(spark.range(1), table)
+    plain = f"plain_{uuid.uuid4().hex}"
+    spark.range(1).write.saveAsTable(plain)
+    tables.fill_table(spark.range(2), plain)
+    assert tables.bucket_spec(spark, plain) is None and spark.table(plain).count() == 3
+
+
+@pytest.fixture
+def star_tables(spark, folder):
+    """A large fact, a smaller one and two dimensions, of which a filter keeps little."""
+    tag = uuid.uuid4().hex[:8]
+    frames = {
+        "lines": spark.range(20_000).selectExpr("id % 4000 AS visit", "id AS v"),
+        "visits": spark.range(4000).selectExpr("id", "id % 200 AS person", "id % 50 AS payer"),
+        "people": spark.range(200).selectExpr("id", "concat('c', id % 100) AS city"),
+        "payers": spark.range(50).selectExpr("id", "concat('p', id) AS name"),
+    }
+    names = {}
+    for role, rows in frames.items():
+        names[role] = f"{role}_{tag}"
+        rows.write.saveAsTable(names[role])
+    return names
+
+
+TEXT = """SELECT count(*) AS n FROM IDENTIFIER(:lines) AS l JOIN IDENTIFIER(:visits) AS e ON l.visit = e.id
+JOIN IDENTIFIER(:people) AS t ON e.person = t.id JOIN IDENTIFIER(:payers) AS y ON e.payer = y.id
+WHERE {where}"""
+
+
+def test_joins_follow_the_statistics(spark, star_tables, with_conf):
+    names = star_tables
+    text = TEXT.format(where="y.name = 'p3' AND t.city = 'c3'")
+    as_written = spark.sql(text, args=names)
+    assert join_order(as_written)[0] == names["lines"]
+    for name in names.values():
+        layout.collect_statistics(spark, name, histograms=True)
+    ordered = spark.sql(text, args=names)
+    assert names["visits"] in join_order(ordered)[:2] and join_order(ordered)[-1] == names["lines"]
+    assert ordered.first()["n"] == as_written.first()["n"] > 0
+    with_conf(spark__sql__cbo__enabled="false")
+    assert join_order(spark.sql(text, args=names))[0] == names["lines"]
+
+
+def test_which_dimension_comes_first_depends_on_what_it_keeps(spark, star_tables):
+    names = star_tables
+    for name in names.values():
+        layout.collect_statistics(spark, name)
+    few_payers = join_order(spark.sql(TEXT.format(where="y.name = 'p3'"), args=names))
+    few_people = join_order(spark.sql(TEXT.format(where="t.city = 'c3'"), args=names))
+    assert few_payers.index(names["payers"]) < few_payers.index(names["people"])
+    assert few_people.index(names["people"]) < few_people.index(names["payers"])
+
+
+def test_histograms_tell_what_a_range_keeps(spark):
+    table = f"uneven_{uuid.uuid4().hex}"
+    spark.range(10_000).selectExpr("IF(id < 9900, id % 10, id) AS v").write.saveAsTable(table)
+    above = spark.table(table).where("v > 5000")
+    layout.collect_statistics(spark, table)
+    even = estimated_rows(spark.table(table).where("v > 5000"))
+    layout.collect_statistics(spark, table, histograms=True)
+    known = estimated_rows(spark.table(table).where("v > 5000"))
+    assert above.count() == 100 and even > 4000 and known < 600
+
+
+def test_copies_are_stored_once_per_segment(spark, folder):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "id bigint, name string")
+    path = f"{folder}/copies"
+    segments.write_replicated(rows, path, 3)
+    found = segments.replicated_segments(spark, path, "r", 4)
+    assert sorted(map(tuple, found.collect())) == [("r", 0, 3, True), ("r", 1, 3, True), ("r", 2, 3, True), ("r", 3, 0, False)]
+    same_rows(segments.read_copy(spark, path, 1), rows)
+    assert all("segment_id=1" in f for f in segments.read_copy(spark, path, 1).inputFiles())
+    # A copy that differs is told, whatever its number of rows.
+    spark.createDataFrame([(1, "a"), (2, None), (3, None)], "id bigint, name string").write.parquet(f"{path}/segment_id=3")
+    assert ("r", 3, 3, False) in set(map(tuple, segments.replicated_segments(spark, path, "r", 4).collect()))
+
+
+def test_rows_lie_where_their_key_hashes_to(spark, folder):
+    table = f"placed_{uuid.uuid4().hex}"
+    rows = spark.createDataFrame([(None,), (1,), (1,), (-5,), (2**40,)], "k bigint")
+    layout.write_bucketed(rows, table, "k", 8, f"{folder}/{table}")
+    found = segments.stored_segments(spark.table(table), "t", 8, "k").collect()
+    assert sum(r["row_count"] for r in found) == 5 and len(found) == 8 and all(r["placed"] for r in found)
+    # Seen by another column, they do not.
+    shifted = spark.read.parquet(f"{folder}/{table}").withColumnRenamed("k", "old").selectExpr("*", "old + 1 AS k", "_metadata")
+    assert not all(r["placed"] for r in segments.stored_segments(shifted, "t", 8, "k").collect())
