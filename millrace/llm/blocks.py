@@ -41,6 +41,12 @@ def text_groups(bounds: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[i
         first = last
 
 
+def array_groups(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """The same ranges for an array of texts, before any of them is copied."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    yield from text_groups(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), size)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finalizer of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

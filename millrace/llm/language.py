@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import BLOCK_BYTES, PAD, joined
+from millrace.llm.blocks import PAD, array_groups, joined
+from millrace.llm.storage import stored
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -44,6 +45,9 @@ EVEN_ODDS = 0.5
 SMOOTHING = 0.01
 TELLING_LETTERS = 64
 
+# Bytes whose bucket rows are held at a time.
+SUM_BYTES = 1 << 18
+
 _ORDERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
 _LETTERS = np.zeros(256, np.uint8)
 _LETTERS[0x80:] = np.arange(0x80, 0x100)
@@ -225,8 +229,8 @@ def _sums(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[np.n
     """Summed bucket rows and number of letters of every text, over blocks of bounded size."""
     n = len(bounds) - 1
     sums, letters = np.zeros((n, table.shape[1])), np.zeros(n, np.int64)
-    for lo in range(0, max(0, len(data) - PAD + 1), BLOCK_BYTES):
-        part = data[lo : lo + BLOCK_BYTES + PAD - 1]
+    for lo in range(0, max(0, len(data) - PAD + 1), SUM_BYTES):
+        part = data[lo : lo + SUM_BYTES + PAD - 1]
         if len(part) < PAD:
             break
         at, grams = _buckets(part)
@@ -249,6 +253,15 @@ def _has_letter(text: str | None) -> bool:
 
 
 def predict(model: LanguageModel, texts: pa.Array) -> pa.StructArray:
+    """struct<lang, score, accepted> of every text, taken in groups of texts of bounded size."""
+    parts = [_predicted(model, texts.slice(first, last - first)) for first, last in array_groups(texts)]
+    return pa.concat_arrays(parts) if parts else pa.array([], _RESULT)
+
+
+_RESULT = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())])
+
+
+def _predicted(model: LanguageModel, texts: pa.Array) -> pa.StructArray:
     data, bounds = joined(texts)
     n = len(texts)
     names = np.full(n, UNKNOWN, object)
@@ -261,10 +274,10 @@ def predict(model: LanguageModel, texts: pa.Array) -> pa.StructArray:
         best = chance.argmax(axis=1)
         inside = _chance_known(model.known, _evidence(means[:, k:].max(axis=1), letters))
         known = letters > 0
-        # Bytes above ASCII may be signs instead of letters; those few texts are looked at.
-        low = np.zeros(len(data) + 1, np.int64)
-        np.cumsum((data < 0x80) & (_LETTERS[data] > 0), out=low[1:])
-        for i in np.flatnonzero(known & (low[bounds[1:]] == low[bounds[:-1]])):
+        # Bytes above ASCII may be signs instead of letters; those few texts are looked at. No text
+        # is without bytes here, as blanks follow each.
+        plain = np.logical_or.reduceat((data < 0x80) & (_LETTERS[data] > 0), bounds[:-1])
+        for i in np.flatnonzero(known & ~plain):
             known[i] = _has_letter(texts[int(i)].as_py())
         names[known] = np.array(model.labels, object)[best[known]]
         exact = chance.max(axis=1) * inside
@@ -287,11 +300,16 @@ def labelled_sample(rows: DataFrame, limit: int = SAMPLE_ROWS) -> list[tuple[str
     hashed = labelled.select(
         "lang", F.xxhash64("text").alias("place"), F.xxhash64("text", F.lit("order")).alias("turn")
     )
-    languages = hashed.select("lang").distinct().count()
+    totals = stored(hashed.groupBy("lang").agg(F.approx_count_distinct("place").alias("texts")), "languages")
+    languages = totals.count()
     if not languages:
         return []
     each = max(1, limit // languages)
-    ranked = hashed.distinct().withColumn(
+    # Turns are even, so a share of them leaves some four times what is wanted of each language, and
+    # no task ranks more than that, however many texts there are.
+    place = F.shiftrightunsigned("turn", 11) / float(1 << 53)
+    early = hashed.join(totals, "lang").where(place * F.col("texts") <= 4 * each + 64)
+    ranked = early.drop("texts").distinct().withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "place"))
     )
     chosen = ranked.where(F.col("rank") <= each).select("lang", "place", "turn")

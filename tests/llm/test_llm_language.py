@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import pyarrow as pa
@@ -40,10 +41,68 @@ def test_equal_texts_and_blocks_agree(model, monkeypatch):
     batch = pa.array([text, None, "und", text, "x"])
     whole = language.predict(model, batch).to_pylist()
     assert whole[0] == whole[3]
-    monkeypatch.setattr(language, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(language, "SUM_BYTES", 1000)
     assert language.predict(model, batch).to_pylist() == whole
 
 
+def plain_forward(model, text):
+    """Language and score of a text, bucket by bucket in plain Python."""
+    data = (text or "").encode()
+    total = [0.0] * len(model.labels)
+    known = [0.0] * len(model.labels)
+    letters = 0
+    lower = [b | 0x20 if 65 <= b <= 90 or 97 <= b <= 122 else b if b >= 0x80 else 0 for b in data] + [0] * 3
+    for i in range(len(data)):
+        if not lower[i]:
+            continue
+        letters += 1
+        run = []
+        for b in lower[i : i + 4]:
+            if not b:
+                break
+            run.append(b)
+        run += [0] * (4 - len(run))
+        for order in (2, 3, 4):
+            gram = sum(b << (8 * k) for k, b in enumerate(run[:order]))
+            if order > 2:
+                gram ^= gram >> 15
+            bucket = (gram * int(language._ORDERS[order - 2]) & 0xFFFFFFFF) >> (32 - language.BUCKET_BITS)
+            for k in range(len(model.labels)):
+                total[k] += float(model.logits[bucket][k])
+                known[k] += float(model.likelihood[bucket][k])
+    if not letters or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    z = [(t / (3 * letters) + float(b)) / model.temperature for t, b in zip(total, model.bias)]
+    e = [math.exp(x - max(z)) for x in z]
+    weight = letters / (1 + letters / language.TELLING_LETTERS)
+    line = [weight * max(known) / (3 * letters), weight, 1.0]
+    inside = 1 / (1 + math.exp(-max(-50, min(50, sum(a * float(b) for a, b in zip(line, model.known))))))
+    best = max(range(len(e)), key=e.__getitem__)
+    return model.labels[best], e[best] / sum(e) * inside
+
+
+def test_prediction_equals_a_plain_forward_pass(model, spark, small):
+    texts = [r[0] for r in spark.read.parquet(f"{small}/documents.parquet").select("text").limit(60).collect()]
+    texts += [None, "", "a", "É", "12 ½ !", "中文 text", "x" * 3000, "The\tquick\nbrown", "ab-cd_ef"]
+    for text, row in zip(texts, language.predict(model, pa.array(texts, pa.string())).to_pylist()):
+        lang, score = plain_forward(model, text)
+        assert row["lang"] == lang, text
+        assert row["score"] == pytest.approx(score, abs=2e-6)
+        assert row["accepted"] == (lang != "und" and score >= model.threshold) or abs(score - model.threshold) < 1e-9
+
+
+def test_memory_follows_a_group_and_not_the_batch(model):
+    import tracemalloc
+
+    texts = pa.array(["the thing that and with for " * 100] * 4000)  # 11 MB
+    language.predict(model, texts.slice(0, 10))
+    tracemalloc.start()
+    language.predict(model, texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6, most
+
+
 def test_other_scripts_are_rejected(model):
     found = language.predict(model, pa.array(["Привет как твои дела мой друг", "你好世界"])).to_pylist()
     assert not any(row["accepted"] for row in found)
