@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.spans import let, match_spans
+from millrace.llm.spans import between, cut, folds_before, let, match_spans
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "iban", "ssn", "card_number", "phone_number"]
@@ -147,6 +147,18 @@ def _spans(text: Column, kind: str) -> Column:
     return F.when(F.regexp_like(text, F.lit(_NEEDS[kind])), found)
 
 
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+# Behind the end of any text.
+_FAR = (1 << 31) - 1
 _EMPTY = "array<struct<kind:string,start:int,end:int,score:double,match:string>>"
 
 
@@ -155,23 +167,42 @@ def pii_spans(text: Column) -> Column:
     # Each kind's spans are in order already; sorting puts them together by start and kind.
     found = F.concat(*(F.coalesce(_spans(text, kind), F.array().cast(_EMPTY)) for kind in KINDS))
 
-    def free(spans: Column) -> Column:
-        def taken(s: Column, kind: str) -> Column:
-            return F.exists(spans, lambda b: (b["kind"] == kind) & (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    order = F.array(*map(F.lit, KINDS))
+    keyed = F.transform(
+        found, lambda s: F.struct(s["start"].alias("at"), F.array_position(order, s["kind"]).alias("k"), s.alias("s"))
+    )
+    spans = let(F.transform(F.array_sort(keyed), lambda x: x["s"]), _without_covered)
+    return F.when(F.regexp_like(text, F.lit("[@0-9]")), spans).otherwise(F.array().cast(_EMPTY))
+
 
-        def stays(s: Column) -> Column:
-            blocked = [(s["kind"] == own) & taken(s, base) for own, base in INSTEAD_OF.items()]
-            return ~(blocked[0] | blocked[1])
+def _without_covered(spans: Column) -> Column:
+    """Sorted spans without those of a kind that stands in for a base kind where that has a span.
+
+    A span meets one of the base kind if an earlier one ends after its start, or the next later one
+    starts before its end.
+    """
+
+    def bounds(base: str) -> Column:
+        ends = F.transform(spans, lambda s: F.when(s["kind"] == base, s["end"]).otherwise(0))
+        starts = F.transform(spans, lambda s: F.when(s["kind"] == base, s["start"]).otherwise(_FAR))
+        last_end = let(ends, lambda e: folds_before(e, F.lit(0), _larger))
+        next_start = let(F.reverse(starts), lambda r: F.reverse(folds_before(r, F.lit(_FAR), _smaller)))
+        return F.struct(last_end.alias("last_end"), next_start.alias("next_start"))
+
+    def stay(known: Column) -> Column:
+        def stays(s: Column, i: Column) -> Column:
+            met = [
+                (s["kind"] == own)
+                & ((F.get(known[base]["last_end"], i) > s["start"]) | (F.get(known[base]["next_start"], i) < s["end"]))
+                for own, base in INSTEAD_OF.items()
+            ]
+            return ~(met[0] | met[1])
 
         return F.filter(spans, stays)
 
-    every = let(found, free)
-    order = F.array(*map(F.lit, KINDS))
-    keyed = F.transform(
-        every, lambda s: F.struct(s["start"].alias("at"), F.array_position(order, s["kind"]).alias("k"), s.alias("s"))
-    )
-    sorted_spans = F.transform(F.array_sort(keyed), lambda x: x["s"])
-    return F.when(F.regexp_like(text, F.lit("[@0-9]")), sorted_spans).otherwise(F.array().cast(_EMPTY))
+    known = F.struct(*(bounds(base).alias(base) for base in INSTEAD_OF.values()))
+    doubtful = F.exists(spans, lambda s: s["kind"].isin(list(INSTEAD_OF)))
+    return F.when(doubtful, let(known, stay)).otherwise(spans)
 
 
 def described(spans: Column) -> Column:
@@ -184,21 +215,24 @@ def described(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with ``<KIND>`` in place of every span; overlapping spans become the first one."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        between = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        return F.struct(
-            F.greatest(s["end"], state["at"]).alias("at"),
-            F.when(s["start"] < state["at"], state["out"])
-            .otherwise(F.concat(state["out"], between, F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-            .alias("out"),
+    def put(x: Column) -> Column:
+        parts, reached = x["parts"], x["reached"]
+        rows = F.transform(
+            spans,
+            lambda s, i: F.when(
+                s["start"] >= F.get(reached, i),
+                F.concat(between(parts, F.get(reached, i), s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">")),
+            ).otherwise(""),
         )
-
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substr(text, state["at"] + 1, F.length(text)))
-
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+        last = F.greatest(F.element_at(spans, -1)["end"], F.element_at(reached, -1))
+        return F.concat(F.array_join(rows, ""), between(parts, last, F.length(text)))
+
+    ends = F.transform(spans, lambda s: s["end"])
+    # Up to where the spans before each one reach.
+    reached = let(ends, lambda e: folds_before(e, F.lit(0), _larger))
+    whole = let(F.struct(cut(text).alias("parts"), reached.alias("reached")), put)
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def with_spans(docs: DataFrame, name: str = "pii_spans", text: str = "text") -> DataFrame:

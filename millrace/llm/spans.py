@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Length of the runs in which positions are added up: a text with k matches costs k times this.
+# Length of the runs in which an array is folded: a text with k matches costs k times this.
 RUN = 128
+# Code points that a text is cut into so that any place in it is found at once.
+CUT = 1024
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -16,27 +18,66 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def sums_before(lengths: Column) -> Column:
-    """For every element of an int array, the sum of those before it.
+Fold = Callable[[Column, Column], Column]
+
+
+def folds_before(values: Column, start: Column, step: Fold, levels: int = 2) -> Column:
+    """For every element of an array, the fold of ``start`` and those before it.
 
     An array cannot be extended in place, so one pass over all elements would copy the result for
-    each of them. Runs of RUN elements are added up separately, each from the sum at its start.
+    each of them. Runs of RUN elements are folded separately, each from the fold of the runs before
+    it, and these come the same way from the folds of the runs. ``step`` must be associative, and
+    ``start`` neutral.
     """
 
-    def of_run(first: Column) -> Column:
-        base = F.aggregate(F.slice(lengths, 1, first), F.lit(0), lambda a, x: a + x)
-        start = F.struct(base.alias("at"), F.array().cast("array<int>").alias("out"))
+    def run(first: Column, base: Column) -> Column:
+        state = F.struct(base.alias("at"), F.slice(F.array(base), 1, 0).alias("out"))
         return F.aggregate(
-            F.slice(lengths, first + 1, RUN),
-            start,
-            lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+            F.slice(values, first + 1, RUN),
+            state,
+            lambda s, x: F.struct(step(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
             lambda s: s["out"],
         )
 
-    firsts = F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(RUN))
-    return F.when(F.size(lengths) > 0, F.flatten(F.transform(firsts, of_run))).otherwise(
-        F.array().cast("array<int>")
+    firsts = F.sequence(F.lit(0), F.size(values) - 1, F.lit(RUN))
+    if levels:
+        totals = F.transform(firsts, lambda first: F.aggregate(F.slice(values, first + 1, RUN), start, step))
+        bases = let(totals, lambda t: folds_before(t, start, step, levels - 1))
+        runs = F.transform(bases, lambda base, i: run(i * RUN, base))
+    else:
+        runs = F.transform(firsts, lambda first: run(first, F.aggregate(F.slice(values, 1, first), start, step)))
+    return F.when(F.size(values) > 0, F.flatten(runs)).otherwise(F.slice(F.array(start), 1, 0))
+
+
+def sums_before(lengths: Column) -> Column:
+    """For every element of an int array, the sum of those before it."""
+    return folds_before(lengths, F.lit(0), lambda a, x: a + x)
+
+
+def cut(text: Column) -> Column:
+    """The text in parts of CUT code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+
+def between(parts: Column, start: Column, end: Column) -> Column:
+    """The text from code point ``start`` to before ``end``, out of its parts.
+
+    Spark counts code points from the start of a string, so that many places of a long one would
+    cost its length each; here a place costs a part at most.
+    """
+    first, last = F.floor(start / CUT).cast("int"), F.floor(end / CUT).cast("int")
+    head, tail = start % CUT, end % CUT
+
+    def part(i: Column) -> Column:
+        return F.coalesce(F.get(parts, i), F.lit(""))
+
+    inside = F.substr(part(first), head + 1, end - start)
+    across = F.concat(
+        F.substr(part(first), head + 1, F.lit(CUT)),
+        F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substr(part(last), F.lit(1), tail),
     )
+    return F.when(first == last, inside).otherwise(across)
 
 
 def match_spans(text: Column, regex: Column, context: int = 1, across: int = 0) -> Column:

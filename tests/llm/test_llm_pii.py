@@ -130,3 +130,54 @@ def test_context_reaches_across_matches_and_after(spark, text, found):
     assert [s["match"] for s in spans] == [text[s["start"] : s["end"]] for s in spans] == found
     masked = pii.without_pii(documents(spark, [(1, text)])).first()["text"]
     assert masked.count("<SSN>") == len(found) and not any(x in masked for x in found)
+
+
+def test_many_spans_in_one_text_take_linear_time(spark):
+    """80,000 addresses, and 20,000 numbers that stand in for failed ones, in one text each."""
+    import time
+
+    texts = [
+        " ".join(f"é 10.{i % 256}.{i // 256 % 256}.7" for i in range(80_000)),
+        ", ".join(f"+1 (269) 555-{1000 + i % 9000} 4222222222222 🙂" for i in range(10_000)),
+    ]
+    docs = documents(spark, list(enumerate(texts)))
+    began = time.time()
+    found = {r["doc_id"]: r["text"] for r in pii.without_pii(docs).select("doc_id", "text").collect()}
+    assert time.time() - began < 60
+    assert found[0] == " ".join(["é <IP>"] * 80_000)
+    assert found[1] == ", ".join(["<PHONE_NUMBER> <CARD_NUMBER> 🙂"] * 10_000)
+
+
+def test_masks_across_the_cuts_of_a_text(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(60):
+        text = "".join(rng.choice(["é", "🙂", "x ", "1.2.3.4 ", "a@b.cd ", "\n"]) * rng.choice([1, 3, 1500]) for _ in range(9))
+        texts.append(text)
+    texts += ["1.2.3.4" + "é" * 1017 + "1.2.3.4", "é" * 1024, "1.2.3.4" * 3, "x" * 1023 + " 1.2.3.4"]
+    docs = pii.with_spans(documents(spark, list(enumerate(texts))))
+    rows = pii.without_pii(documents(spark, list(enumerate(texts)))).select("doc_id", "text").collect()
+    spans = {r["doc_id"]: r["pii_spans"] for r in docs.select("doc_id", "pii_spans").collect()}
+    for row in rows:
+        text, at, out = texts[row["doc_id"]], 0, ""
+        for s in spans[row["doc_id"]]:
+            if s["start"] >= at:
+                out += text[at : s["start"]] + f"<{s['kind'].upper()}>"
+            at = max(at, s["end"])
+        assert row["text"] == out + text[at:]
+
+
+def test_folds_before_each_element(spark):
+    from millrace.llm.spans import folds_before
+
+    for n in (0, 1, 127, 128, 129, 20_000):
+        row = spark.range(1).select(
+            folds_before(F.sequence(F.lit(1), F.lit(n)) if n else F.array().cast("array<int>"), F.lit(0), lambda a, x: a + x).alias("s"),
+            folds_before(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: (i * 7919) % 1009), F.lit(0), lambda a, x: F.greatest(a, x)).alias("m"),
+        ).first()
+        assert row["s"] == [i * (i + 1) // 2 for i in range(n)]
+        most, expected = 0, []
+        for i in range(n + 1):
+            expected.append(most)
+            most = max(most, i * 7919 % 1009)
+        assert row["m"] == expected
