@@ -8,8 +8,9 @@ text are joined in page order by one space.
 
 Defined cases: a null or empty page, or one without a block of main text, gives an empty text.
 Equal pages give equal texts. Character references are decoded, white space inside a block becomes
-one space. Scripts, styles and other elements without text are no blocks. Elements that are not
-closed end with their parent. Pages of any length are read whole. Other columns are not touched,
+one space. Scripts, styles, templates, frames and drawings are no text; formulas are, and so is what
+stands in for a missing script or player. Elements that are not closed end with their parent, also
+those without text; a slash closes a drawing or formula. Pages of any length are read whole. Other columns are not touched,
 whatever their names.
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from millrace.llm.labelled_pages import MAIN, labelled_pages
 from millrace.llm.page_blocks import FEATURES, Block, blocks_of
 
-TRAINING_PAGES = 300
+TRAINING_PAGES = 400
 ROUNDS = 40
 
 

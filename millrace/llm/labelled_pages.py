@@ -104,6 +104,25 @@ class _Writer:
             inner = "".join(self.element(tag, t) if tag else t + " " for t in texts)
         return self.element(f'{opening} data-label="{OTHER}"', inner)
 
+    def bare(self) -> str:
+        """A page without a frame: one part alone, a title and one part, or plain text."""
+        rng = self.rng
+        kind = rng.random()
+        furniture = rng.choice([NAVIGATION, HEADERS, FOOTERS, SIDES, ADVERTS, NOTICES, FORMS, COMMENTS, SHARES])
+        if kind < 0.3:
+            text = self.words(*rng.choice([(3, 20), (20, 90)]))
+            return f'<div data-label="{MAIN}">{text}</div>' if rng.random() < 0.5 else f'<html data-label="{MAIN}">{text}'
+        if kind < 0.5:
+            return self.other(furniture)
+        text = self.element("p", self.words(*rng.choice([(3, 20), (20, 90)])))
+        article = self.element(f'{rng.choice(ARTICLES)} data-label="{MAIN}"', text)
+        if kind < 0.7:
+            return article
+        if kind < 0.85:
+            title = f'<head><title data-label="{OTHER}">{self.words(3, 10)}</title></head>'
+            return f"<html>{title}<body>{article}</body></html>"
+        return f'<html><body data-label="{OTHER}">{self.other(furniture)}{article}</body></html>'
+
     def page(self) -> str:
         rng = self.rng
         before = [kinds for kinds, share in
@@ -119,6 +138,10 @@ class _Writer:
         return f'<!DOCTYPE html><html data-label="{OTHER}">{head}<body>{body}</body></html>'
 
 
+# Every so many pages one is without a frame.
+BARE_EVERY = 4
+
+
 def labelled_pages(n: int, seed: int = 5) -> list[str]:
     writer = _Writer(random.Random(seed))
-    return [writer.page() for _ in range(n)]
+    return [writer.bare() if i % BARE_EVERY == BARE_EVERY - 1 else writer.page() for i in range(n)]

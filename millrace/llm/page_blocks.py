@@ -9,15 +9,23 @@ parent, so that a block costs the same at any depth.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
+# Math is part of its sentence, and what stands in for a missing player or script is text too.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i ins kbd label maction math menclose "
+    "merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+    "mtable mtd mtext mtr munder munderover noscript object q rp rt ruby s samp semantics small span strike strong "
+    "sub sup time tt u var video wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math iframe object canvas audio video".split())
+# No text of theirs is part of a page.
+SILENT = frozenset("script style template svg iframe annotation annotation-xml".split())
+CDATA = frozenset({"script", "style"})
+# A slash closes these, which are not HTML themselves.
+CLOSED_BY_SLASH = frozenset("svg math annotation annotation-xml".split())
 # An opening tag ends an open element of these, up to the nearest container.
 ENDED_BY_SIBLING = {
     "p": {"p"},
@@ -51,7 +59,7 @@ WORDS = (
 ).split()
 TEXT_FEATURES = (
     "bias words_3 words_10 words_25 words_more links_none links_some links_most links_all sentence copyright "
-    "capitals digits first"
+    "capitals digits first only"
 ).split()
 
 PATH_FEATURES = [f"in:{t}" for t in TAGS] + [f"word:{w}" for w in WORDS]
@@ -86,7 +94,7 @@ def _text_features(text: str, link_chars: int, first: bool) -> int:
         bits |= _TEXT_BIT["copyright"]
     if text.isupper():
         bits |= _TEXT_BIT["capitals"]
-    if any(map(str.isdigit, text[:64])):
+    if any(map(str.isdigit, text)):
         bits |= _TEXT_BIT["digits"]
     if first:
         bits |= _TEXT_BIT["first"]
@@ -98,10 +106,11 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.open: list[tuple[str, int, str | None]] = [("", 0, None)]  # tag, inherited mask, label
+        self.counts: Counter[str] = Counter()  # open elements by tag
         self.parts: list[str] = []
         self.links = 0
         self.link_chars = 0
-        self.silent: list[str] = []
+        self.silent: list[str] = []  # the open elements from a silent one on
 
     def flush(self) -> None:
         if self.parts:
@@ -114,16 +123,24 @@ class _Reader(HTMLParser):
             self.parts = []
         self.link_chars = 0
 
+    def pop(self) -> str:
+        tag = self.open.pop()[0]
+        self.counts[tag] -= 1
+        return tag
+
+    def is_open(self, tag: str) -> bool:
+        return self.counts[tag] > 0 or (tag == "a" and self.links > 0)
+
     def close_sibling(self, tag: str) -> None:
         ended = ENDED_BY_SIBLING.get(tag, set()) | ({"p"} if tag in ENDS_PARAGRAPH else set())
         if ended and self.open[-1][0] in ended:
-            self.open.pop()
+            self.pop()
             if tag == "tr" and self.open[-1][0] == "tr":
-                self.open.pop()
+                self.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.silent:
-            if tag == self.silent[0]:
+            if tag not in VOID:
                 self.silent.append(tag)
             return
         if tag in SILENT:
@@ -146,25 +163,33 @@ class _Reader(HTMLParser):
                 elif name == "data-label":
                     label = value
             self.open.append((tag, mask, label))
+            self.counts[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # A slash does not close an element in HTML.
+        # A slash does not close an element in HTML, but those of other languages inside of it.
+        if tag in CLOSED_BY_SLASH or self.silent:
+            return
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
         if self.silent:
-            if tag == self.silent[0]:
-                self.silent.pop()
-            return
+            if tag in self.silent:
+                while self.silent.pop() != tag:
+                    pass
+                return
+            # The end of an element around a silent one ends that as well, but in a script or style.
+            if self.silent[0] in CDATA or not self.is_open(tag):
+                return
+            self.silent = []
         if tag in INLINE:
             self.links -= tag == "a" and self.links > 0
             return
         if tag in VOID:
             return
         self.flush()
-        # The open elements are searched from the innermost one; a stray end tag closes nothing.
-        if any(element[0] == tag for element in reversed(self.open)):
-            while self.open.pop()[0] != tag:
+        # A stray end tag closes nothing.
+        if self.counts[tag]:
+            while self.pop() != tag:
                 pass
 
     def handle_data(self, data: str) -> None:
@@ -180,4 +205,7 @@ def blocks_of(html: str | None) -> list[Block]:
         reader.feed(html)
         reader.close()
         reader.flush()
+    if len(reader.blocks) == 1:
+        block = reader.blocks[0]
+        return [replace(block, features=block.features | _TEXT_BIT["only"])]
     return reader.blocks
