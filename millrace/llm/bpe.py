@@ -8,26 +8,28 @@ n bytes costs O(n log n) however long it is.
 
 Defined cases: null and empty texts have no ids, and decode to nothing. Repeated rows get equal
 ids; ties of rank go to the left. Texts are read whole. Decoding joins the tokens' bytes; it gives
-the exact UTF-8 bytes of the text. Other columns are not touched, whatever their names.
+the exact UTF-8 bytes of the text. Other columns stay as they are.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Pieces remembered per worker; a full memory is replaced by an empty one, the last stays readable.
-REMEMBERED = 250_000
+from millrace.llm.blocks import array_groups
+from millrace.llm.remembered import IdMemory, joined_ids
+
+# Bytes of text that are encoded at a time.
+SLICE_BYTES = 1 << 21
 
 _POSITION_BITS = 40  # and 20 bits of rank
 _POSITION = (1 << _POSITION_BITS) - 1
@@ -91,25 +93,6 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class _Pieces(dict):
-    """Ids by piece, computed on first use; keeps between one and two times REMEMBERED pieces."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
-        self.last: dict[str, tuple[int, ...]] = {}
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.last.get(piece)
-        if ids is None:
-            ids = tuple(merged(piece.encode(), self.ranks))
-        if len(self) >= REMEMBERED:
-            self.last = dict(self)
-            self.clear()
-        self[piece] = ids
-        return ids
-
-
 # Texts of these letters alone are split by the standard library, several times as fast: in
 # them \p{L}, \p{N} and \s are the ranges written out below. All others take the full pattern.
 _PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -130,55 +113,76 @@ def _splitters(pattern: str) -> tuple[Callable, Callable]:
 
 
 @lru_cache(maxsize=2)
-def _pieces(path: str) -> _Pieces:
-    return _Pieces(ranks_of(path))
+def _memory(path: str) -> IdMemory:
+    ranks = ranks_of(path)
+    return IdMemory(lambda pieces: joined_ids([merged(piece.encode(), ranks) for piece in pieces]))
 
 
-def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
-    if not text:
-        return []
+def _encoded(texts: list[str | None], path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one after the other, and where those of each begin and the last end."""
     full, plain = _splitters(pattern)
-    split = plain if _plain.fullmatch(text) else full
-    return list(chain.from_iterable(map(_pieces(path).__getitem__, split(text))))
+    pieces: list[str] = []
+    bounds = [0]
+    for text in texts:
+        if text:
+            pieces += (plain if _plain.fullmatch(text) else full)(text)
+        bounds.append(len(pieces))
+    ids, lengths = _memory(path).ids(pa.array(pieces, pa.string()))
+    return ids, np.concatenate([[0], np.cumsum(lengths)])[bounds]
+
+
+def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
+    return _encoded([text], path, pattern)[0].tolist()
 
 
 @lru_cache(maxsize=2)
-def _tokens(path: str) -> list[bytes]:
+def _tokens(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens by id, one after the other, and where each starts."""
     ranks = ranks_of(path)
     tokens = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token
-    return tokens
-
-
-def decode_ids(ids: list[int] | None, path: str) -> bytes:
-    return b"".join(map(_tokens(path).__getitem__, ids or []))
-
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in tokens], dtype=np.int64)])
+    return np.frombuffer(b"".join(tokens), np.uint8), starts
 
-def encoder(path: str, pattern: str) -> Callable[[Column], Column]:
-    """A function of a text column that gives its ids, array<int>."""
 
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
-        parts, ends = [], [0]
-        for text in texts.to_pylist():
-            ids = encode_text(text, path, pattern)
-            parts.append(np.fromiter(ids, np.int32, len(ids)))
-            ends.append(ends[-1] + len(ids))
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+def _decoded(ids: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids, one after the other, and where those of each id end."""
+    data, starts = _tokens(path)
+    lengths = starts[ids + 1] - starts[ids]
+    ends = np.cumsum(lengths)
+    return data[np.repeat(starts[ids] - ends + lengths, lengths) + np.arange(int(lengths.sum()))], ends
 
-    # Else the planner would put the call into each expression that uses its result.
-    return encode.asNondeterministic()
 
-
-def decoder(path: str) -> Callable[[Column], Column]:
-    """A function of a column of ids that gives the text's bytes, binary."""
-
-    @F.arrow_udf("binary")
-    def decode(ids: pa.Array) -> pa.Array:
-        flat, ends = ids.flatten().to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(ids), 0))
-        texts = (decode_ids(part.tolist(), path) for part in np.split(flat, ends[:-1]))
-        return pa.array(texts if len(ids) else [], pa.binary())
-
-    return decode
+def decode_ids(ids: list[int] | None, path: str) -> bytes:
+    return _decoded(np.array(ids or [], np.int64), path)[0].tobytes()
+
+
+def with_ids(docs: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``docs`` with the ids of its text, array<int>, and the bytes that these decode to, binary.
+
+    Both columns come from one pass, in slices of texts of bounded size. Columns of the input with
+    their names are replaced.
+    """
+    kept = [name for name in docs.columns if name not in (ids, decoded)]
+    schema = T.StructType([docs.schema[name] for name in kept])
+    schema = schema.add(ids, T.ArrayType(T.IntegerType())).add(decoded, T.BinaryType())
+    at = kept.index("text")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in array_groups(batch.column(at), SLICE_BYTES):
+                part = batch.slice(first, last - first)
+                flat, bounds = _encoded(part.column(at).to_pylist(), path, pattern)
+                text, ends = _decoded(flat, path)
+                places = np.concatenate([[0], ends])[bounds].astype(np.int32)
+                columns = [
+                    *part.columns,
+                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat)),
+                    pa.Array.from_buffers(
+                        pa.binary(), part.num_rows, [None, pa.py_buffer(places), pa.py_buffer(text)]
+                    ),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [*kept, ids, decoded])
+
+    return docs.select(*(F.col(f"`{name}`") for name in kept)).mapInArrow(coded, schema)

@@ -71,13 +71,12 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, and the bytes that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encode, decode = bpe.encoder(path, public_tokenizers.PATTERN), bpe.decoder(path)
-    coded = _table(spark, folder, "documents").select("doc_id", encode(F.col("text")).alias("ids"))
-    return coded.select(
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.with_ids(documents, path, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids")), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

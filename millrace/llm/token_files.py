@@ -22,7 +22,6 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import range_coder
-from millrace.llm.blocks import text_groups
+from millrace.llm.blocks import array_groups
+from millrace.llm.remembered import IdMemory, joined_ids
 
 BLOCK_IDS = 1 << 20
 END_ID = 1
-REMEMBERED = 1_500_000
-# Longer words always go to the library.
-KEY_BYTES = 64
-# Words given to the library at a time, and bytes of text that are split at a time.
-LIBRARY_WORDS = 20_000
+# Bytes of text that are split at a time.
 SLICE_BYTES = 4_000_000
 
 BLOCK_COLUMNS = (
@@ -48,80 +44,8 @@ BLOCK_COLUMNS = (
 )
 
 
-_FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
-
-
-def _word_keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of each word, byte by byte; words over KEY_BYTES have the keys 0, 0."""
-    _, bounds, values = words.buffers()
-    offsets = np.frombuffer(bounds, np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
-    data = np.frombuffer(values or b"", np.uint8)
-    starts, lengths = offsets[:-1], np.diff(offsets)
-    keys = tuple(lengths.astype(np.uint64) * factor for factor in _FACTORS)
-    rows = np.flatnonzero(lengths <= KEY_BYTES)
-    for k in range(KEY_BYTES):
-        rows = rows[lengths[rows] > k]
-        if not len(rows):
-            break
-        byte = data[starts[rows] + k]
-        for key, factor in zip(keys, _FACTORS):
-            value = (key[rows] ^ byte) * factor
-            key[rows] = value ^ (value >> np.uint64(29))
-    for key in keys:
-        key[lengths > KEY_BYTES] = 0
-    return keys
-
-
-class _Remembered:
-    """Ids of words. Each word has a number; words with keys are found again by these."""
-
-    def __init__(self) -> None:
-        self.first = np.zeros(0, np.uint64)  # ascending
-        self.second = np.zeros(0, np.uint64)
-        self.number = np.zeros(0, np.int64)
-        # The ids of number k are flat[ends[k]:ends[k + 1]]. Both grow by doubling.
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 14, np.int64)
-        self.words = self.used = 0
-
-    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The numbers of words by their keys; -1 for a word that is not here."""
-        if not len(self.first):
-            return np.full(len(first), -1)
-        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
-        here = (self.first[at] == first) & (self.second[at] == second)
-        return np.where(here, self.number[at], -1)
-
-    def add(self, first: np.ndarray, second: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Numbers of new words, which come in the order of their first keys.
-
-        A word without keys, and the second of two words with one first key, cannot be found again.
-        """
-        n, self.words = self.words, self.words + len(first)
-        while len(self.flat) < self.used + len(flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.ends) <= self.words:
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.ends[n + 1 : self.words + 1] = self.used + np.cumsum(lengths)
-        self.used += len(flat)
-        numbers = np.arange(n, self.words)
-        keyed = np.diff(first, prepend=np.uint64(0)) != 0
-        at = np.searchsorted(self.first, first[keyed])
-        self.first, self.second = np.insert(self.first, at, first[keyed]), np.insert(self.second, at, second[keyed])
-        self.number = np.insert(self.number, at, numbers[keyed])
-        return numbers
-
-    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all numbers, joined, and how many each has."""
-        starts = self.ends[numbers]
-        lengths = self.ends[numbers + 1] - starts
-        before = np.cumsum(lengths) - lengths
-        return self.flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))], lengths
-
-
 class _WordIds:
-    """Ids of words by a tokenizer; keeps some one to two times REMEMBERED words."""
+    """Ids of words by a tokenizer, most of them remembered."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -129,42 +53,20 @@ class _WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.now, self.last = _Remembered(), _Remembered()
+        self.memory = IdMemory(self._encoded)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return joined_ids(found)
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without an end id."""
         rows = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        coded = rows.flatten().dictionary_encode()
-        numbers = self.numbers(coded.dictionary)
-        flat, lengths = self.now.ids(numbers[coded.indices.to_numpy()])
+        flat, lengths = self.memory.ids(rows.flatten())
         bounds = rows.offsets.to_numpy() - rows.offsets[0].as_py()
         ends = np.concatenate([[0], np.cumsum(lengths)])[bounds].tolist()
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
-    def numbers(self, words: pa.Array) -> np.ndarray:
-        """The numbers in ``now`` of different words; those it lacks are added first."""
-        if max(self.now.words, self.now.used // 8) > REMEMBERED:
-            self.last, self.now = self.now, _Remembered()
-        first, second = _word_keys(words)
-        order = np.argsort(first, kind="stable")
-        first, second = first[order], second[order]
-        number = self.now.find(first, second)
-        lacking = np.flatnonzero(number < 0)
-        old = self.last.find(first[lacking], second[lacking])
-        places = lacking[old >= 0]
-        number[places] = self.now.add(first[places], second[places], *self.last.ids(old[old >= 0]))
-        new = lacking[old < 0]
-        for at in range(0, len(new), LIBRARY_WORDS):
-            places = new[at : at + LIBRARY_WORDS]
-            part = words.take(pa.array(order[places])).to_pylist()
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-            number[places] = self.now.add(first[places], second[places], flat, lengths)
-        by_word = np.zeros(len(words), np.int64)
-        by_word[order] = number
-        return by_word
-
 
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> _WordIds:
@@ -173,9 +75,7 @@ def _word_ids(path: str) -> _WordIds:
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, pa.Array]]:
     """(doc_ids, texts) of a batch in runs of bounded size, or of one longer text."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-    bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    for first, last in text_groups(bounds, SLICE_BYTES):
+    for first, last in array_groups(batch.column(1), SLICE_BYTES):
         part = batch.slice(first, last - first)
         yield part.column(0).to_pylist(), part.column(1)
 

@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from millrace.llm import bpe
+from millrace.llm import bpe, remembered
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,27 +31,39 @@ def test_long_pieces(library, text):
     assert bpe.encode_text(text, PATH, public_tokenizers.PATTERN) == library.encode_ordinary(text)
 
 
-def test_documents_round_trip(spark, small, library):
+def test_documents_round_trip(spark, small, library, monkeypatch):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
-    encode, decode = bpe.encoder(PATH, public_tokenizers.PATTERN), bpe.decoder(PATH)
-    coded = docs.select("text", encode("text").alias("ids"))
-    for row in coded.select("text", "ids", decode("ids").alias("back")).collect():
+    for row in bpe.with_ids(docs, PATH, public_tokenizers.PATTERN).collect():
         assert row["ids"] == library.encode_ordinary(row["text"])
-        assert bytes(row["back"]) == row["text"].encode()
+        assert bytes(row["decoded"]) == row["text"].encode()
 
 
 def test_awkward_and_empty(awkward, empty):
-    encode, decode = bpe.encoder(PATH, public_tokenizers.PATTERN), bpe.decoder(PATH)
-    coded = awkward.select("text", encode("text").alias("e"))
-    for row in coded.select("text", "e", decode("e").alias("back")).collect():
-        assert bytes(row["back"]) == (row["text"] or "").encode()
-        assert bool(row["e"]) == bool(row["text"])
-    assert empty.select(encode("text")).collect() == []
+    coded = bpe.with_ids(awkward, PATH, public_tokenizers.PATTERN)
+    # The input has a column of the same name, which is replaced.
+    assert coded.columns == [*(c for c in awkward.columns if c != "ids"), "ids", "decoded"]
+    rows = coded.collect()
+    assert len(rows) == 14
+    for row in rows:
+        assert bytes(row["decoded"]) == (row["text"] or "").encode()
+        assert bool(row["ids"]) == bool(row["text"])
+    assert bpe.with_ids(empty, PATH, public_tokenizers.PATTERN).collect() == []
 
 
-def test_memory_stays_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 10)
-    pieces = bpe._Pieces(bpe.ranks_of(PATH))
+def test_one_python_step_for_both_directions(spark, small):
+    from plans_text import plan_text
+
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    plan = plan_text(bpe.with_ids(docs, PATH, public_tokenizers.PATTERN).select("doc_id", "ids", "decoded"))
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
+
+
+def test_memory_stays_bounded(monkeypatch, library):
+    monkeypatch.setattr(remembered, "REMEMBERED", 10)
+    bpe._memory.cache_clear()
     for i in range(100):
-        assert pieces[f"p{i % 25}"] == tuple(bpe.merged(f"p{i % 25}".encode(), bpe.ranks_of(PATH)))
-        assert len(pieces) <= 10 and len(pieces.last) <= 10
+        text = f"piece{i % 25} other{i % 7} " + "z" * 200
+        assert bpe.encode_text(text, PATH, public_tokenizers.PATTERN) == library.encode_ordinary(text)
+        memory = bpe._memory(PATH)
+        assert memory.now.words <= 20 and memory.last.words <= 20
+    bpe._memory.cache_clear()

@@ -8,7 +8,7 @@ import pytest
 from corpus import documents
 from tokenizers import Tokenizer
 
-from millrace.llm import range_coder, token_files
+from millrace.llm import range_coder, remembered, token_files
 from millrace.session import working_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -95,12 +95,12 @@ def test_awkward_and_empty(spark, awkward, empty, library):
 
 
 def test_memory_of_words_stays_bounded(monkeypatch, library):
-    monkeypatch.setattr(token_files, "REMEMBERED", 5)
+    monkeypatch.setattr(remembered, "REMEMBERED", 5)
     words = token_files._WordIds(PATH)
     for i in range(60):
         text = f"word{i % 9} other{i % 4}"
         assert words.ids(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
-        assert words.now.words <= 10 and words.last.words <= 10
+        assert words.memory.now.words <= 10 and words.memory.last.words <= 10
 
 
 def test_words_without_keys_of_their_own(monkeypatch, library):
@@ -108,13 +108,13 @@ def test_words_without_keys_of_their_own(monkeypatch, library):
     texts = [" ".join([f"x{i}" * (1 + i * 9 % 40) for i in range(30)] + ["same", "", "éé"])] * 3
     expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for x in token_files._WordIds(PATH).ids(pa.array(texts))] == expected
-    plain = token_files._word_keys
+    plain = remembered.word_keys
 
     def few(words):
         first, second = plain(words)
         return first % np.uint64(3), second
 
-    monkeypatch.setattr(token_files, "_word_keys", few)
+    monkeypatch.setattr(remembered, "word_keys", few)
     words = token_files._WordIds(PATH)
     for _ in range(3):
         assert [x.tolist() for x in words.ids(pa.array(texts))] == expected
