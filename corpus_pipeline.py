@@ -62,15 +62,14 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document and the text that they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encode, decode = bpe.encoder(path, public_tokenizers.PATTERN), bpe.decoder(path)
-    coded = docs.select("doc_id", "lang", "source", encode(docs["text"]).alias("ids"))
+    coded = bpe.with_ids(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         "lang",
         "source",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
-        decode(F.col("ids")).cast("string").alias("decoded"),
+        F.col("decoded").cast("string").alias("decoded"),
     )
 
 
