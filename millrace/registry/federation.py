@@ -28,7 +28,7 @@ from millrace.sources.external_tables import (
     federated,
     mount,
 )
-from millrace.sources.files import list_files
+from millrace.sources.files import folder_sizes, list_files
 from millrace.sources.schemas import HOSPITAL
 
 # File manifest as delivered: every column is text. Feedback: only what the marts need.
@@ -211,13 +211,35 @@ UNION ALL SELECT 'procedures', count(*), count(DISTINCT l_orderkey), {sql_round(
     CAST(min(l_shipdate) AS DATE) FROM lineitem
 """
 
+
+def file_inventory(data: Inputs) -> DataFrame:
+    """Folders of an object store with the number and bytes of their files, contents unread."""
+
+    def build(path: str) -> str:
+        lines = data["orders"].select(
+            F.col("o_orderpriority").alias("folder"), F.concat_ws("|", "o_orderkey", "o_orderstatus").alias("line")
+        )
+        lines.repartition("folder").write.partitionBy("folder").text(f"{path}/store")
+        return f"{path}/store"
+
+    return folder_sizes(list_files(data.spark, data.stored("inventory", build)).where("length > 0"), "folder")
+
+
+FILE_INVENTORY_SQL = """
+SELECT o_orderpriority AS folder, 1 AS file_count,
+       CAST(sum(length(o_orderkey || '|' || o_orderstatus) + 1) AS BIGINT) AS bytes
+FROM orders GROUP BY o_orderpriority
+"""
+
 QUERIES = {
+    "file_inventory": query(file_inventory),
     "federated_mart": query(federated_mart),
     "document_scan": query(document_scan),
     "external_tables": query(external_tables),
 }
 
 ORACLES = {
+    "file_inventory": FILE_INVENTORY_SQL,
     "federated_mart": QUALITY_MART_SQL,
     "document_scan": DOCUMENT_SCAN_SQL,
     "external_tables": EXTERNAL_TABLES_SQL,

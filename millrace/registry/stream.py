@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import row_json
 from millrace.operators.manifest import normalize_fields
 from millrace.registry.common import Inputs, query, sql_round
-from millrace.sinks.messages import to_messages
+from millrace.sinks.messages import to_messages, write_messages
 from millrace.sources.external import read_message_stream
 from millrace.sources.schemas import WINE_FIELDS, WINE_MESSAGE
 from millrace.streaming.messages import Rules, classify_quality, register_classifier, replay
@@ -274,6 +274,25 @@ SELECT CAST(event_id AS VARCHAR) AS key, 2 AS times, 1 AS bodies FROM events
 
 
 
+def published_messages(data: Inputs) -> DataFrame:
+    """Numbered messages published to a sink and read back by a stream, as its receiver sees them."""
+    rows = normalize_fields(wine_rows(data["events"], "event_id"), WINE_FIELDS, keep=("event_id",))
+
+    def build(path: str) -> str:
+        write_messages(to_messages(rows, ["event_id"], drop_order=True), "json", path=f"{path}/topic")
+        received = read_message_stream(data.spark, "json", schema="key string, value string", path=f"{path}/topic")
+        copy = received.writeStream.format("parquet").option("checkpointLocation", f"{path}/progress")
+        copy.trigger(availableNow=True).start(f"{path}/received").awaitTermination()
+        return f"{path}/received"
+
+    received = data.spark.read.parquet(data.stored("published", build))
+    parsed = received.select("key", F.from_json("value", WINE_MESSAGE).alias("body"))
+    return parsed.select(
+        "key",
+        *[F.col(f"body.{name}").alias(name.lower()) for name in WINE_MESSAGE.fieldNames()],
+    )
+
+
 ROUNDS = 3
 
 
@@ -294,6 +313,7 @@ SELECT CAST(event_id AS VARCHAR) AS key, {ROUNDS} AS times, 1 AS bodies, {ROUNDS
 """
 
 QUERIES = {
+    "published_messages": query(published_messages),
     "replayed_messages": query(replayed_messages),
     "replayed_stream": query(replayed_stream),
     "recovered_events": query(lambda data: stream_events(data, run_stopped_stream)),
@@ -309,6 +329,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "published_messages": MESSAGES_OUT_SQL,
     "replayed_messages": REPLAYED_MESSAGES_SQL,
     "replayed_stream": REPLAYED_STREAM_SQL,
     "recovered_events": STREAM_EVENTS_SQL,

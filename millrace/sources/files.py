@@ -126,6 +126,19 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, FILE_LISTING, lambda: reader.load(path).select(*columns))
 
 
+def folder_sizes(files: DataFrame, key: str) -> DataFrame:
+    """Number and bytes of listed files by the value of ``key`` in folders named ``key=value``.
+
+    The value is decoded as Spark writes it; files outside of such folders are grouped under null.
+    """
+    named = F.regexp_extract(F.col("path"), f"/{key}=([^/]*)/", 1)
+    return (
+        files.select(F.when(named != "", F.try_url_decode(named)).alias(key), "length")
+        .groupBy(key)
+        .agg(F.count("*").alias("file_count"), F.sum("length").alias("bytes"))
+    )
+
+
 def folder_state(spark: SparkSession, path: str) -> tuple[int, int, str]:
     """Number of files, bytes and last change below a folder.
 

@@ -9,6 +9,7 @@ from millrace.sources import external
 from millrace.sources.files import (
     detect_delimiter,
     folder_state,
+    folder_sizes,
     list_files,
     read_csv,
     read_hospital,
@@ -209,3 +210,13 @@ def test_table_statements(spark, tmp_path):
     assert spark.table("side.numbers").agg(F.count("*"), F.sum("id")).first() == (6, 6)
     tables.drop_table(spark, "side.numbers")
     assert not spark.catalog.tableExists("side.numbers")
+
+
+def test_folder_sizes_by_the_name_of_the_folder(spark, tmp_path):
+    rows = spark.createDataFrame([("a b/c", "xx"), ("a b/c", "y"), ("ü", "zzz"), (None, "n")], "k string, line string")
+    rows.coalesce(1).write.partitionBy("k").text(f"file:{tmp_path}/store")
+    (tmp_path / "store" / "stray.txt").write_text("12345")
+    listed = list_files(spark, f"file:{tmp_path}/store").where("length > 0")
+    found = {r["k"]: (r["file_count"], r["bytes"]) for r in folder_sizes(listed, "k").collect()}
+    assert found == {"a b/c": (1, 5), "ü": (1, 4), "__HIVE_DEFAULT_PARTITION__": (1, 2), None: (1, 5)}
+    assert folder_sizes(list_files(spark, f"file:{tmp_path}/none"), "k").isEmpty()
