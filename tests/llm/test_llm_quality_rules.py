@@ -46,8 +46,32 @@ def test_verdict_does_not_depend_on_the_order(spark, small):
 
 def test_order_is_by_rejections_per_second():
     rules = [Q.Rule(name, None) for name in "abc"]
-    found = [Q.Estimate(rules[0], 1.0, 0.5), Q.Estimate(rules[1], 0.1, 0.2), Q.Estimate(rules[2], 1.0, 0.0)]
+    together = {0b001: 50, 0b010: 20, 0: 30}
+    found = [Q.Estimate(rule, cost, i, together) for i, (rule, cost) in enumerate(zip(rules, (1.0, 0.1, 1.0)))]
+    assert [e.share for e in found] == [0.5, 0.2, 0.0]
     assert [r.name for r in Q.ordered(found)] == ["b", "a", "c"]
+    assert Q.ordered([]) == []
+
+
+def test_order_counts_what_earlier_rules_left():
+    """Of two rules that reject the same texts, the second one has little left to do."""
+    rules = [Q.Rule(name, None) for name in "abc"]
+    together = {0b011: 50, 0b001: 5, 0b100: 10, 0: 35}
+    found = [Q.Estimate(rule, 1.0, i, together) for i, rule in enumerate(rules)]
+    assert [r.name for r in Q.ordered(found)] == ["a", "c", "b"]
+
+
+def test_cost_is_told_apart_from_that_of_a_job(spark):
+    """A comparison of two stored numbers is far cheaper than many passes over the text."""
+
+    def dear(t, m):
+        passes = [F.length(F.regexp_replace(t, f"[aeiou]{{{k}}}x?", "")) for k in range(1, 9)]
+        return sum(passes) < 0
+
+    rules = [Q.Rule("cheap", lambda t, m: m["n_words"] < 0), Q.Rule("dear", dear)]
+    docs = documents(spark, [(i, f"some words of a text that goes on {i} " * 40) for i in range(1500)])
+    cheap, costly = Q.estimates(rules, docs)
+    assert costly.seconds > 3 * cheap.seconds > 0
 
 
 def test_first_failed_names_a_rule(spark):
