@@ -83,11 +83,19 @@ def _buckets(part: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return at, result
 
 
+_ID = np.min_scalar_type((1 << BUCKET_BITS) - 1)
+
+
 def _features(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
-    """Distinct buckets of one text, the weight of each in the average, and the letters."""
+    """Distinct buckets of one text, how often each occurs, in the smallest types, and the letters."""
     at, grams = _buckets(np.frombuffer(data + b" " * PAD, np.uint8))
     ids, counts = np.unique(np.concatenate(grams), return_counts=True)
-    return ids, counts / max(1, counts.sum()), len(at)
+    return ids.astype(_ID), counts.astype(np.min_scalar_type(counts.max(initial=0))), len(at)
+
+
+def _weights(counts: np.ndarray) -> np.ndarray:
+    """The weight of each bucket in the average."""
+    return counts / max(1, int(counts.sum()))
 
 
 def _excerpts(data: bytes, rng: np.random.Generator) -> list[bytes]:
@@ -166,16 +174,16 @@ def train(rows: list[tuple[str, str]], seed: int = 1, epochs: int = 4) -> Langua
         seen[y] += 1
         held_out = seen[y] % 5 == 0
         for j, span in enumerate(_excerpts(text.encode(), rng)):
-            ids, weights, letters = _features(span)
+            ids, times, letters = _features(span)
             if not len(ids):
                 continue
             if held_out:
-                calibrate.append((ids, weights, letters, y, j == 0))
+                calibrate.append((ids, times, letters, y, j == 0))
                 unlearned += [f for f in map(_features, _unlearned(span, rng)) if f[2]]
             else:
-                fit.append((ids, weights, y))
+                fit.append((ids, times, y))
                 if j == 0:
-                    counts[ids, y] += 3 * letters * weights
+                    counts[ids, y] += 3 * letters * _weights(times)
     likelihood = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     embedding = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIMENSIONS))
     output = rng.normal(0, 0.05, (DIMENSIONS, k))
@@ -185,7 +193,8 @@ def train(rows: list[tuple[str, str]], seed: int = 1, epochs: int = 4) -> Langua
     steps, step = max(1, epochs * len(fit)), 0
     for _ in range(epochs):
         for j in rng.permutation(len(fit)):
-            ids, weights, y = fit[j]
+            ids, times, y = fit[j]
+            weights = _weights(times)
             rate = 1 - step / steps
             step += 1
             hidden = weights @ embedding[ids]
@@ -199,7 +208,7 @@ def train(rows: list[tuple[str, str]], seed: int = 1, epochs: int = 4) -> Langua
     if not calibrate:
         always = np.array([0.0, 0.0, 50.0])
         return LanguageModel(labels, logits.astype(np.float32), bias, 1.0, likelihood, always, 0.0)
-    raw = np.array([weights @ logits[ids] + bias for ids, weights, *_ in calibrate])
+    raw = np.array([_weights(times) @ logits[ids] + bias for ids, times, *_ in calibrate])
     truth = np.array([y for *_, y, _ in calibrate])
     at = np.arange(len(truth))
     loss = {
@@ -207,11 +216,11 @@ def train(rows: list[tuple[str, str]], seed: int = 1, epochs: int = 4) -> Langua
         for t in np.geomspace(0.05, 20, 121)
     }
     temperature = float(min(loss, key=loss.get))
-    means = np.array([weights @ likelihood[ids] for ids, weights, *_ in calibrate])
+    means = np.array([_weights(times) @ likelihood[ids] for ids, times, *_ in calibrate])
     letters = np.array([n for _, _, n, *_ in calibrate])
     whole = np.array([first for *_, first in calibrate])
     inside = _evidence(means.max(axis=1), letters)
-    outside = [_evidence(np.array([(w @ likelihood[ids]).max()]), np.array([n])) for ids, w, n in unlearned]
+    outside = [_evidence(np.array([(_weights(times) @ likelihood[ids]).max()]), np.array([n])) for ids, times, n in unlearned]
     if k > 1:
         means[at, truth] = -np.inf
         outside.append(_evidence(means.max(axis=1), letters))
