@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from millrace.llm.blocks import hashed_words, mixed
 from millrace.llm.components import components
 from millrace.llm.storage import Scratch, stored
+from millrace.session import setting
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -57,6 +58,11 @@ CROWD = 16
 # Words of 64 bits of the mask of shingles that a class lacks of its leader's; a power of two.
 LACK_WORDS = 4
 
+# Ids that are sent to every task at most.
+BROADCAST_ROWS = 200_000
+# Texts or pairs that a Python worker holds at a time.
+BATCH_ROWS = 2_000
+
 _rng = np.random.default_rng(20)
 _FACTORS = _rng.integers(0, 1 << 63, MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
 _TERMS = _rng.integers(0, 1 << 63, MINIMA, np.uint64)
@@ -195,9 +201,15 @@ def _may_link(percent: int) -> Column:
 
 
 def _sets(active: DataFrame, classes: DataFrame, documents: DataFrame, size: int) -> DataFrame:
-    """(cid, minima, shingles) of the classes in ``active``."""
+    """(cid, minima, shingles) of the classes in ``active``.
+
+    Only texts of these classes are read and moved, where their ids are few enough to be sent out.
+    """
     read = _set_reader(size)
     needed = classes.select("cid", "first_id", "set_key", "minima").join(active, "cid", "left_semi")
+    if active.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(needed.select(F.col("first_id").alias("wanted")).distinct())
+        documents = documents.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     return (
         needed.join(documents, F.col("first_id").eqNullSafe(F.col("doc_id")))
         .select("cid", "set_key", "minima", read(F.col("text")).alias("found"))
@@ -365,6 +377,11 @@ def near_duplicates(
     of the union. component_id is the smallest doc_id that can be reached, kept says that it is
     the row's own.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):
+        return _near_duplicates(docs, shingle_words, percent)
+
+
+def _near_duplicates(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     rows = rows_per_band(percent)
     documents = docs.select("doc_id", "text")
     sketch = sketcher(shingle_words, rows)
