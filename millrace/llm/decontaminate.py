@@ -9,7 +9,9 @@ would: one of 256 minima finds a 30-shingle item in a document of 20,000 words w
 about a third.) Candidates are then verified on the shingles themselves.
 
 The signatures are broadcast only if there are at most BROADCAST_ROWS of them; more are joined by
-a shuffle on the hash, whose frequent values adaptive execution splits.
+a shuffle on the hash, whose frequent values adaptive execution splits. The same bound holds for
+the candidates, by which the texts are filtered before they move to be verified; more of them are
+joined with all texts.
 
 Words are runs of letters and digits, in lower case. Defined cases: a null text or one without a
 word has no shingles; such an item is found nowhere. With fewer words than a shingle, all words
@@ -86,18 +88,25 @@ def contained_items(
         found = catalog.where(F.size("own") == 1).select(n_words.alias("n")).where(F.col("n") < size)
         lengths = sorted(r["n"] for r in found.distinct().collect())
     signatures = catalog.select("row", F.explode(_signature(F.col("own"), percent)).alias("hash"))
-    texts = docs.select("doc_id", "text")
+    # A text is found again by its id and a hash of it: many rows may share an id, or have none.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
     probes = texts.select(
         "doc_id",
+        "digest",
         F.explode(F.transform(shingles(F.col("text"), size, lengths), lambda s: F.xxhash64(s))).alias("hash"),
     )
     if signatures.count() <= BROADCAST_ROWS:
         signatures = F.broadcast(signatures)
-    candidates = stored(probes.join(signatures, "hash").select("doc_id", "row").distinct(), "candidates")
-    pairs = candidates.join(catalog, "row").withColumnRenamed("doc_id", "found_in")
+    candidates = stored(probes.join(signatures, "hash").select("doc_id", "digest", "row").distinct(), "candidates")
+    same = F.col("found_in").eqNullSafe(F.col("doc_id")) & (F.col("found_digest") == F.col("digest"))
+    found = candidates.withColumnsRenamed({"doc_id": "found_in", "digest": "found_digest"})
+    if candidates.count() <= BROADCAST_ROWS:
+        # Only texts with a candidate are moved for the check.
+        texts = texts.join(F.broadcast(found.select("found_in", "found_digest").distinct()), same, "left_semi")
     shared = F.size(F.array_intersect("own", shingles(F.col("text"), size, lengths)))
     return (
-        pairs.join(texts, F.col("found_in").eqNullSafe(F.col("doc_id")))
+        found.join(catalog, "row")
+        .join(texts.dropDuplicates(["doc_id", "digest", "text"]), same)
         .select("doc_id", "item_id", F.size("own").alias("n_item_shingles"), shared.alias("n_shared"))
         .where(100 * F.col("n_shared") >= percent * F.col("n_item_shingles"))
         .groupBy("doc_id", "item_id")

@@ -175,7 +175,7 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
 _WORD = r"[^\x20\x09-\x0D]+"
 
-# The plain patterns of op3, and the checks of their matches m, with the text t before p.
+# The plain patterns of op3, and the checks of their matches m, which start at p of the text t.
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _LUHN = f"""list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda d, i:
     CASE WHEN i % 2 = 1 THEN CAST(d AS INT) WHEN d >= '5' THEN 2 * CAST(d AS INT) - 9
@@ -183,6 +183,8 @@ _LUHN = f"""list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda
 _MOD_97 = """list_reduce(list_transform(string_split(bare[5:] || bare[:4], ''), lambda c: CAST(
     CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE ascii(c) - 48 END AS BIGINT)),
     lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97, CAST(0 AS BIGINT)) = 1"""
+# Between words are all signs but letters and digits of any alphabet.
+_SSN_WORD = rf"(?:^|[^\pL\pN_])(?:{pii.WORDS['ssn']})(?:$|[^\pL\pN_])"
 _PII_SQL = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
     "ip": (
@@ -197,7 +199,8 @@ _PII_SQL = {
     ),
     "ssn": (
         r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
-        rf"regexp_matches(lower(right(before, 40)), '\b(?:{pii.WORDS['ssn']})\b')",
+        f"""(regexp_matches(lower(substr(t, greatest(p - 40, 0) + 1, least(p, 40))), '{_SSN_WORD}')
+            OR regexp_matches(lower(substr(t, p + length(m) + 1, 40)), '{_SSN_WORD}'))""",
     ),
     "card_number": (r"\b(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})\b", _LUHN),
     "phone_number": (
@@ -208,7 +211,7 @@ _PII_SQL = {
 _PII_ROWS = " UNION ALL ".join(
     f"""SELECT doc_id, '{kind}' AS kind, {k} AS k, p, p + length(m) AS q FROM (
         SELECT *, replace(m, ' ', '') AS bare FROM (
-            SELECT doc_id, t, ms[i] AS m, ps[i] AS before, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+            SELECT doc_id, t, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
                 + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS p
             FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
                 SELECT doc_id, t, regexp_extract_all(t, '{regex}') AS ms,
@@ -295,17 +298,23 @@ ORACLES = {
         FROM d LEFT JOIN g USING (doc_id)
     """,
     "op4_decontamination": r"""
-        WITH sets AS (
-            SELECT kind, id, list_distinct(CASE
-                WHEN len(w) < 6 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-                END) AS own
-            FROM (
+        WITH texts AS (
+            SELECT * FROM (
                 SELECT 0 AS kind, item_id AS id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w
                 FROM benchmark
                 UNION ALL
                 SELECT 1, doc_id, regexp_extract_all(lower(text), '[\pL\pN]+') FROM documents)
             WHERE len(w) > 0
+        ), short AS (
+            SELECT coalesce(list(DISTINCT len(w)), []) AS lengths FROM texts WHERE kind = 0 AND len(w) < 5
+        ), sets AS (
+            SELECT kind, id, list_distinct(list_concat(
+                CASE WHEN len(w) < 6 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END,
+                CASE WHEN kind = 0 THEN [] ELSE flatten(list_transform(lengths, lambda n: CASE WHEN len(w) < n THEN []
+                    ELSE list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' ')) END))
+                END)) AS own
+            FROM texts, short
         ), e AS (SELECT kind, id, len(own) AS n, unnest(own) AS s FROM sets)
         SELECT d.id AS doc_id, i.id AS item_id, CAST(i.n AS INT) AS n_item_shingles,
                CAST(count(*) AS INT) AS n_shared

@@ -1,9 +1,10 @@
 import random
 import re
 
+import duckdb
 from corpus import PROSE, documents
 
-from millrace.llm import queries
+from millrace.llm import decontaminate, queries
 from millrace.llm.decontaminate import contained_items, without_contaminated
 
 
@@ -91,3 +92,31 @@ def test_short_items_are_found_inside_long_texts(spark, tmp_path):
     ]
     left = without_contaminated(docs, items_of(spark, items[:2]))
     assert sorted(r["doc_id"] for r in left.collect()) == [4, 5, 6]
+    # The SQL says the same of short items.
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert sorted(connection.sql(queries.ORACLES["op4_decontamination"]).fetchall()) == sorted(map(tuple, found))
+
+
+def test_many_rows_without_an_id_cost_no_more_than_with_one(spark, monkeypatch):
+    """Each text meets the items that were found in it, not those found under its id."""
+    rng = random.Random(3)
+    items = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(12))) for k in range(40)]
+    rows = [(None, f"row {i} has words of its own and then {items[i % 40][1]}") for i in range(400)]
+    rows += [(7, text) for _, text in rows[:100]] + [(None, rows[0][1])] * 50
+    docs = documents(spark, rows)
+    checked = []
+    plain = decontaminate.stored
+
+    def counted(df, label):
+        result = plain(df, label)
+        if label == "candidates":
+            checked.append(result.count())
+        return result
+
+    monkeypatch.setattr(decontaminate, "stored", counted)
+    found = {tuple(r)[:2] for r in contained_items(docs, items_of(spark, items)).collect()}
+    assert found == {(i, k) for i in (None, 7) for k in range(40)} and checked == [500]
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert {tuple(r)[:2] for r in contained_items(docs, items_of(spark, items)).collect()} == found

@@ -181,3 +181,23 @@ def test_folds_before_each_element(spark):
             expected.append(most)
             most = max(most, i * 7919 % 1009)
         assert row["m"] == expected
+
+
+def test_sql_says_the_same_of_contexts(spark, tmp_path):
+    """Lists of numbers, words behind a number and cut contexts, on both sides of the comparison."""
+    import duckdb
+    from compare import duck_rows, spark_rows
+
+    from millrace.llm import queries
+
+    rng = random.Random(12)
+    parts = ["078-05-1120", "219-09-9998", "ssn", "SSN:", "social", "order", ", ", " ", "x" * 9, "\n", "é", "a@b.cd", "(insurance)"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randrange(1, 14))) for _ in range(400)]
+    texts += ["078-05-1120" + " " * n + "ssn" for n in (1, 36, 37, 38, 39, 40)]
+    texts += ["ssn" + " " * n + "078-05-1120" for n in (1, 36, 37, 38, 39, 40)]
+    documents(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = spark_rows(queries.op3_pii(spark, str(tmp_path)))
+    assert found == duck_rows(connection, queries.ORACLES["op3_pii"])
+    assert sum("ssn" in str(row) for row in found[1]) > 100
