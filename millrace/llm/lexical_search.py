@@ -47,7 +47,7 @@ from millrace.llm.storage import stored
 TOP = 10
 OWNERS = 4
 # Term occurrences of the items that one pass looks for.
-VOCABULARY = 1_000_000
+VOCABULARY = 200_000
 # Items whose bundles meet in one group.
 LOT = 512
 # Postings of one owner in one shard, on average.
