@@ -171,9 +171,10 @@ def dropped_places(
     """
     spark = documents.sparkSession
     with Scratch(spark, "line-dedup") as scratch:
+        # The digest is taken before the lines become rows, else every line would hash the whole text.
         found = documents.select(
-            "doc_id", F.xxhash64("text").alias("digest"), F.inline(long_lines(F.col("text"), min_chars))
-        )
+            "doc_id", F.xxhash64("text").alias("digest"), long_lines(F.col("text"), min_chars).alias("rows")
+        ).select("doc_id", "digest", F.inline("rows"))
         conditions = _batches(documents, batches)
         number = F.coalesce(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions)])
         lines = scratch.stored_by(found.withColumn("batch", number), "lines", "batch")

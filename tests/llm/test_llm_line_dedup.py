@@ -106,3 +106,13 @@ def test_runs_are_merged_in_place_and_never_moved(spark):
         plan = run.join(run.select("h1", "h2").where("h1 > 0"), line_dedup.KEY, "left_anti")._jdf.queryExecution().toString()
         assert "Exchange hashpartitioning" not in plan
         runs.close()
+
+
+def test_a_text_of_very_many_lines_takes_time_in_proportion(spark):
+    """The text is hashed once, not once for each of its lines."""
+    import time
+
+    text = "\n".join(f"numbered line {i} of one text with a great many lines in it" for i in range(150_000))
+    began = time.time()
+    assert [r[2:] for r in found(documents(spark, [(1, text)]))] == [(150_000, 0)]
+    assert time.time() - began < 60
