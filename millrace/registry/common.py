@@ -21,12 +21,13 @@ _schemas: dict[tuple[str, str], StructType] = {}
 class Inputs:
     """The parquet tables of one folder, with the session set up for those a query has named."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, task_bytes: int | None = None):
         self.spark = spark
         self.folder = folder
+        self.task_bytes = task_bytes
         self.app = spark.sparkContext.applicationId
         self.named: dict[str, int] = {}
-        configure(spark, 0)
+        configure(spark, 0, task_bytes)
 
     @property
     def bytes(self) -> int:
@@ -41,7 +42,7 @@ class Inputs:
             _sizes[self.app, path] = folder_state(self.spark, path)[1]
         if name not in self.named:
             self.named[name] = _sizes[self.app, path]
-            configure(self.spark, self.bytes)
+            configure(self.spark, self.bytes, self.task_bytes)
         return self.spark.read.schema(_schemas[self.app, path]).parquet(path)
 
     @property
@@ -64,8 +65,8 @@ def forget_stored() -> None:
     _stored.clear()
 
 
-def query(body: Callable[[Inputs], DataFrame]) -> Query:
-    return lambda spark, folder: body(Inputs(spark, folder))
+def query(body: Callable[[Inputs], DataFrame], task_bytes: int | None = None) -> Query:
+    return lambda spark, folder: body(Inputs(spark, folder, task_bytes))
 
 
 def sql_round(expression: str, digits: int) -> str:

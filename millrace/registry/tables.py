@@ -11,8 +11,9 @@ from millrace.operators import constraints, counts
 from millrace.operators.outliers import outlier_stats, outliers
 from millrace.plans import measurements
 from millrace.registry.common import Inputs, query, sql_round
+from millrace.session import DENSE_TASK_BYTES
 from millrace.sinks.files import write_csv
-from millrace.sinks.measurements import append_measurements, with_speedup
+from millrace.sinks.measurements import append_measurements
 from millrace.sinks.versions import LoadRejected, read_collection, replace_collection
 from millrace.sources.files import read_csv
 from millrace.sources.generators import HEX_DIGITS, uniform_value
@@ -225,14 +226,12 @@ FROM events
 
 def _runs(data: Inputs) -> DataFrame:
     """Lines as measured runs: part = size, discount = k, line number = workers."""
-    return with_speedup(
-        data["lineitem"].select(
-            F.col("l_partkey").alias("len_values"),
-            F.col("l_discount").alias("k"),
-            F.col("l_linenumber").alias("workers"),
-            F.col("l_extendedprice").alias("sequential_time"),
-            F.col("l_quantity").alias("parallel_time"),
-        )
+    return data["lineitem"].select(
+        F.col("l_partkey").alias("len_values"),
+        F.col("l_discount").alias("k"),
+        F.col("l_linenumber").alias("workers"),
+        F.col("l_extendedprice").alias("sequential_time"),
+        F.col("l_quantity").alias("parallel_time"),
     )
 
 
@@ -347,11 +346,11 @@ QUERIES = {
     "event_samples": query(event_samples),
     "replaced_documents": query(replaced_documents),
     "uniform_source": query(event_uniform),
-    "experiment_rows": query(experiment_rows),
-    "experiment_rollup": query(experiment_rollup),
-    "experiment_baseline": query(experiment_baseline),
-    "experiment_best": query(experiment_best),
-    "experiment_scaling": query(experiment_scaling),
+    "experiment_rows": query(experiment_rows, DENSE_TASK_BYTES),
+    "experiment_rollup": query(experiment_rollup, DENSE_TASK_BYTES),
+    "experiment_baseline": query(experiment_baseline, DENSE_TASK_BYTES),
+    "experiment_best": query(experiment_best, DENSE_TASK_BYTES),
+    "experiment_scaling": query(experiment_scaling, DENSE_TASK_BYTES),
 }
 
 ORACLES = {

@@ -36,12 +36,19 @@ def next_record_id(spark: SparkSession, path: str) -> int:
 
 
 def append_measurements(runs: DataFrame, path: str, order_by: list[str]) -> None:
-    """Append runs to the log as one JSON document per line, ids continuing from the last one."""
+    """Append runs to the log as one JSON document per line, ids continuing from the last one.
+
+    Runs without speedup and efficiency get them after they are numbered, so that what is moved
+    and stored for it are the measured values alone. Lines repeat their field names and are
+    compressed; a file is then read by one task, and holds what one task wrote.
+    """
     spark = runs.sparkSession
     start = next_record_id(spark, path)
     numbered = assign_dense_ids(runs, order_by, "record_id", start=start)
+    if "speedup" not in runs.columns:
+        numbered = with_speedup(numbered)
     record = F.struct(*FIELDS)
     lines = numbered.select(
         F.to_json(F.create_map(F.col("record_id").cast("string"), record)).alias("value")
     )
-    lines.write.mode("append").text(path)
+    lines.write.mode("append").option("compression", "gzip").text(path)

@@ -82,3 +82,27 @@ def test_malformed_log_fails_unless_lenient(spark):
         parse_log(df).collect()
     assert [r["record_id"] for r in parse_log(df, strict=False).collect()] == [1]
     assert parse_log(df.where("value = ''")).collect() == []
+
+
+def test_log_stores_little_for_a_run(spark, tmp_path, monkeypatch):
+    """The measured values alone are numbered, and the lines are compressed."""
+    moved = []
+    from millrace.sinks import measurements as sink
+
+    number = sink.assign_dense_ids
+    monkeypatch.setattr(
+        sink, "assign_dense_ids", lambda df, *rest, **more: moved.append(df.columns) or number(df, *rest, **more)
+    )
+    runs = spark.range(2000).selectExpr(
+        "id AS len_values", "0.2D AS k", "int(id % 4) + 1 AS workers",
+        "id / 7D AS sequential_time", "double(id % 3) AS parallel_time",
+    )
+    append_measurements(runs, f"file:{tmp_path}/log", ["len_values"])
+    assert moved == [runs.columns]
+    files = list((tmp_path / "log").glob("part-*"))
+    assert files and all(file.name.endswith(".gz") for file in files)
+    assert sum(file.stat().st_size for file in files) < 2000 * 80
+    found = read_log(spark, f"file:{tmp_path}/log").orderBy("record_id").collect()
+    expected = with_speedup(runs).orderBy("len_values").collect()
+    assert [tuple(row)[1:] for row in found] == [tuple(row) for row in expected]
+    assert [row["record_id"] for row in found] == list(range(2000))

@@ -54,3 +54,24 @@ def test_width_follows_the_tables_of_the_query(spark, small, monkeypatch):
         data[name]
         widths[name] = data.width
     assert widths["nation"] < widths["lineitem"]
+
+
+def test_dense_rows_get_small_tasks(spark, small):
+    keys = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+
+    def settings():
+        return [spark.conf.get(key) for key in keys]
+
+    Inputs(spark, small)["lineitem"]
+    before = settings()
+    data = Inputs(spark, small, task_bytes=10_000)
+    data["lineitem"]
+    width, split, advisory = settings()
+    assert int(width) == -(-data.bytes // 10_000) > int(before[0])
+    assert split == "10000" and advisory == "10000b"
+    Inputs(spark, small)["lineitem"]
+    assert settings() == before
