@@ -23,6 +23,7 @@ from millrace.plans.university_load import (
     replace_university,
 )
 from millrace.registry.common import Inputs, query, sql_round
+from millrace.session import DENSE_TASK_BYTES
 from millrace.sinks.files import write_csv
 from millrace.sinks.versions import Collection, LoadRejected
 from millrace.sources.files import read_text_csv
@@ -505,7 +506,7 @@ QUERIES = {
     "university_load": query(university_load),
     "course_load": query(course_load),
     "punctuality": query(punctuality),
-    "grade_distribution": query(grade_distribution),
+    "grade_distribution": query(grade_distribution, DENSE_TASK_BYTES),
     "rubric_items": query(rubric_items),
     "rubric_stats": query(rubric_stats),
     "rubric_load": query(rubric_load),

@@ -8,6 +8,7 @@ from compare import duck, duck_rows, spark_rows
 import __spark_entry__ as entry
 from millrace.operators.segments import hash_segment, segment_counts
 from millrace.registry.common import Inputs
+from millrace.session import DENSE_TASK_BYTES
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
@@ -75,3 +76,10 @@ def test_dense_rows_get_small_tasks(spark, small):
     assert split == "10000" and advisory == "10000b"
     Inputs(spark, small)["lineitem"]
     assert settings() == before
+
+
+@pytest.mark.parametrize("name", ["experiment_baseline", "grade_distribution"])
+def test_queries_that_hold_all_rows_take_small_tasks(spark, small, name):
+    QUERIES[name](spark, small)
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == DENSE_TASK_BYTES
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == f"{DENSE_TASK_BYTES}b"
