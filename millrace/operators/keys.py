@@ -28,7 +28,8 @@ def assign_dense_ids(
         df.repartitionByRange(*[F.col(name).asc_nulls_last() for name in order_by])
         .sortWithinPartitions(*[F.col(name).asc_nulls_last() for name in order_by])
         .withColumn(place, F.monotonically_increasing_id())
-        .write.parquet(path)
+        .write.option("compression", "zstd")
+        .parquet(path)
     )
     placed = spark.read.parquet(path).withColumn("_part", F.shiftright(place, POSITION_BITS))
 

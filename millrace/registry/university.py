@@ -26,8 +26,8 @@ from millrace.registry.common import Inputs, query, sql_round
 from millrace.session import DENSE_TASK_BYTES
 from millrace.sinks.files import write_csv
 from millrace.sinks.versions import Collection, LoadRejected
-from millrace.sources.files import read_text_csv
-from millrace.sources.schemas import FEEDBACK_CSV
+from millrace.sources.files import read_csv, read_text_csv
+from millrace.sources.schemas import FEEDBACK_CSV, UNIVERSITY
 
 MAX_POINTS = 50.0
 
@@ -415,10 +415,16 @@ FROM (
 """
 
 
-def university_files(data: Inputs) -> dict[str, DataFrame]:
-    """The six files of a university, whose keys and references hold."""
+def university_files(data: Inputs, path: str) -> dict[str, DataFrame]:
+    """The six files of a university, whose keys and references hold.
+
+    Three of them are made of lines with their customers; these are joined once and kept at ``path``.
+    """
     col = F.col
-    lines = data["lineitem"].join(data["orders"], col("l_orderkey") == col("o_orderkey"))
+    joined = data["lineitem"].join(data["orders"], col("l_orderkey") == col("o_orderkey"))
+    needed = joined.select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "o_custkey")
+    needed.write.option("compression", "zstd").parquet(path)
+    lines = data.spark.read.schema(needed.schema).parquet(path)
     taken = lines.groupBy(col("l_suppkey").alias("course_id"), col("o_custkey").alias("student_id")).agg(
         F.min(col("l_shipdate").cast("date")).alias("enrolled_dt")
     )
@@ -460,13 +466,15 @@ def university_load(data: Inputs) -> DataFrame:
 
     def build(path: str) -> str:
         good, bad, root = f"{path}/good", f"{path}/bad", f"{path}/tables"
-        for name, rows in university_files(data).items():
-            write_csv(rows, f"{good}/{name}.csv")
-            write_csv(rows.limit(0) if name == "submissions" else rows, f"{bad}/{name}.csv")
+        for name, rows in university_files(data, f"{path}/lines").items():
+            write_csv(rows, f"{good}/{name}.csv", compression="gzip")
         version = replace_university(data.spark, good, root)
+        for name in UNIVERSITY.keys() - {"submissions"}:
+            same = read_csv(data.spark, f"{good}/{name}.csv", UNIVERSITY[name], delimiter=",")
+            write_csv(same, f"{bad}/{name}.csv", compression="gzip")
         # The last file of the second delivery holds a student that no file knows.
         stray = data.spark.sql("SELECT 1 AS i, 1 AS a, -1 AS s, timestamp_ntz'2025-01-01' AS t, 1.00 AS g")
-        write_csv(stray.toDF("submission_id", "assignment_id", "student_id", "submitted_ts", "score"), f"{bad}/submissions.csv", mode="overwrite")
+        write_csv(stray.toDF("submission_id", "assignment_id", "student_id", "submitted_ts", "score"), f"{bad}/submissions.csv")
         try:
             replace_university(data.spark, bad, root)
         except LoadRejected:
@@ -503,7 +511,7 @@ SELECT table_name, row_count, CAST(key_sum AS BIGINT) AS key_sum, last_text FROM
 """
 
 QUERIES = {
-    "university_load": query(university_load),
+    "university_load": query(university_load, DENSE_TASK_BYTES),
     "course_load": query(course_load),
     "punctuality": query(punctuality),
     "grade_distribution": query(grade_distribution, DENSE_TASK_BYTES),

@@ -15,12 +15,13 @@ def write_csv(
     delimiter: str = ",",
     mode: str = "errorifexists",
     multi_line: bool = False,
+    compression: str | None = None,
 ) -> None:
     """CSV with a header line; quotes inside a field are doubled.
 
     Blanks around a value and empty strings are kept, a null is written as NULL_MARK. A line
     break inside a value fails unless ``multi_line`` allows it; such files are read with the same
-    switch, and then each by one task.
+    switch, and then each by one task. So is a file compressed with ``gzip``.
     """
     if not multi_line:
         texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -39,7 +40,7 @@ def write_csv(
         df.write.mode(mode)
         .option("header", True)
         .option("sep", delimiter)
-        .options(**CSV_TEXT)
+        .options(**CSV_TEXT, **({"compression": compression} if compression else {}))
         .csv(path)
     )
 

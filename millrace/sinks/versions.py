@@ -31,7 +31,8 @@ class Draft:
 
     def write(self, name: str, rows: DataFrame, sink_format: str = "parquet") -> DataFrame:
         """Store one table of the version; what is returned is read back, and can be checked."""
-        rows.write.format(sink_format).save(f"{self.path}/{name}")
+        options = {"compression": "zstd"} if sink_format == "parquet" else {}
+        rows.write.format(sink_format).options(**options).save(f"{self.path}/{name}")
         return self.spark.read.format(sink_format).schema(rows.schema).load(f"{self.path}/{name}")
 
 

@@ -10,6 +10,8 @@ from millrace.operators.documents import feedback_documents, nested_rubric, unne
 from millrace.operators.manifest import cast_columns, file_manifest, normalize_fields
 from millrace.plans import marts
 from millrace.plans.university_load import LOADERS, load_enrollments, load_university
+from millrace.registry.common import Inputs
+from millrace.registry.university import university_files
 from millrace.sinks.files import write_csv
 from millrace.sources.catalog import Catalog
 
@@ -376,3 +378,11 @@ def test_catalog_joins_sources_by_name(spark):
     clash = Catalog({"a.x.t": lambda s: s.range(1), "b.x.t": lambda s: s.range(1)})
     with pytest.raises(ValueError, match="share the view t"):
         clash.register(spark)
+
+
+def test_university_files_join_their_lines_once(spark, small, tmp_path):
+    files = university_files(Inputs(spark, small), f"file:{tmp_path}/lines")
+    for name in ("enrollments", "assignments"):
+        assert "Join" not in plan_text(files[name])
+    lines = spark.read.parquet(f"file:{tmp_path}/lines")
+    assert lines.count() == spark.read.parquet(f"{small}/lineitem.parquet").count()

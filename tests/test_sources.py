@@ -220,3 +220,12 @@ def test_folder_sizes_by_the_name_of_the_folder(spark, tmp_path):
     found = {r["k"]: (r["file_count"], r["bytes"]) for r in folder_sizes(listed, "k").collect()}
     assert found == {"a b/c": (1, 5), "ü": (1, 4), "__HIVE_DEFAULT_PARTITION__": (1, 2), None: (1, 5)}
     assert folder_sizes(list_files(spark, f"file:{tmp_path}/none"), "k").isEmpty()
+
+
+def test_compressed_csv_is_the_same_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, " a,b "), (2, ""), (3, None), (4, 'x "y"')], "id int, t string")
+    path = f"file:{tmp_path}/rows.csv"
+    write_csv(df, path, compression="gzip")
+    files = list((tmp_path / "rows.csv").glob("part-*"))
+    assert files and all(file.name.endswith(".csv.gz") for file in files)
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == sorted(map(tuple, df.collect()))
