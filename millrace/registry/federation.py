@@ -18,6 +18,7 @@ from millrace.registry.university import (
     feedback,
     submissions_by_customer,
 )
+from millrace.session import DENSE_TASK_BYTES
 from millrace.sinks.files import write_csv
 from millrace.sources.documents import read_documents_any_case
 from millrace.sources.external_tables import (
@@ -58,8 +59,9 @@ def mounted_sources(data: Inputs) -> dict[str, str]:
             ("submissions", submissions_by_customer(data)),
         ):
             rows.write.parquet(f"{path}/{name}")
-        write_csv(_manifest_text(data), f"{path}/files")
-        feedback(data).write.json(f"{path}/feedback")
+        # Both are text that repeats itself in every line: a tenth of it is left when compressed.
+        write_csv(_manifest_text(data), f"{path}/files", compression="gzip")
+        feedback(data).write.option("compression", "gzip").json(f"{path}/feedback")
         return mount(
             data.spark,
             [
@@ -233,7 +235,7 @@ FROM orders GROUP BY o_orderpriority
 
 QUERIES = {
     "file_inventory": query(file_inventory),
-    "federated_mart": query(federated_mart),
+    "federated_mart": query(federated_mart, DENSE_TASK_BYTES),
     "document_scan": query(document_scan),
     "external_tables": query(external_tables),
 }

@@ -172,3 +172,10 @@ def test_malformed_documents_fail(spark, tmp_path):
 def test_the_mart_reads_three_formats_of_the_tables(spark, small):
     plan = plan_text(federation.federated_mart(Inputs(spark, small)))
     assert {kind for kind in ("parquet", "csv", "json") if f"FileScan {kind}" in plan} == {"parquet", "csv", "json"}
+
+
+def test_delivered_texts_are_compressed(spark, small):
+    tables = federation.mounted_sources(Inputs(spark, small))
+    for role in ("files", "feedback"):
+        found = spark.table(tables[role]).inputFiles()
+        assert found and all(name.endswith(".gz") for name in found)

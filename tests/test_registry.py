@@ -78,7 +78,7 @@ def test_dense_rows_get_small_tasks(spark, small):
     assert settings() == before
 
 
-@pytest.mark.parametrize("name", ["experiment_baseline", "grade_distribution"])
+@pytest.mark.parametrize("name", ["experiment_baseline", "grade_distribution", "university_load", "federated_mart"])
 def test_queries_that_hold_all_rows_take_small_tasks(spark, small, name):
     QUERIES[name](spark, small)
     assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == DENSE_TASK_BYTES
