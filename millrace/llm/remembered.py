@@ -45,6 +45,14 @@ def word_keys(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return keys
 
 
+def gathered(flat: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs flat[ends[k]:ends[k + 1]] of all numbers k, joined, and how long each is."""
+    starts = ends[numbers]
+    lengths = ends[numbers + 1] - starts
+    before = np.cumsum(lengths) - lengths
+    return flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))], lengths
+
+
 class _Remembered:
     """Ids of words. Each word has a number; words with keys are found again by these."""
 
@@ -87,10 +95,7 @@ class _Remembered:
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all numbers, joined, and how many each has."""
-        starts = self.ends[numbers]
-        lengths = self.ends[numbers + 1] - starts
-        before = np.cumsum(lengths) - lengths
-        return self.flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))], lengths
+        return gathered(self.flat, self.ends, numbers)
 
 
 def joined_ids(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:

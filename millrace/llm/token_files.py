@@ -8,7 +8,9 @@ both checksums, and numbers the ids from the first document to the last.
 
 Every white space ends a token of this vocabulary family, so a text's ids are those of its words
 one after the other. The distinct words of a slice of texts are looked up in a bounded memory, and
-only new ones go to the library; the ids of all its words are then gathered at once.
+only new ones go to the library; the ids of all its words are then gathered at once. A new word of
+plain signs and Latin letters is cut here into the pieces that the vocabulary's rules give, and only the
+library's model sees these; all other words take the library's whole way.
 
 Defined cases: a null or empty text is the end id alone. Repeated rows are documents of their own,
 next to each other; a null doc_id comes first. Strings that are special tokens of the vocabulary get
@@ -18,10 +20,13 @@ whole in one block. An empty table gives an empty file. Other columns are not re
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import range_coder
 from millrace.llm.blocks import array_groups
-from millrace.llm.remembered import IdMemory, joined_ids
+from millrace.llm.remembered import IdMemory, gathered, joined_ids
 
 BLOCK_IDS = 1 << 20
 END_ID = 1
@@ -43,6 +48,75 @@ BLOCK_COLUMNS = (
     "part int, block int, start_in_part bigint, n_ids bigint, doc_ids array<bigint>, payload binary"
 )
 
+# How the vocabulary's words become pieces. Only under these settings are plain words cut here.
+_RULES = {
+    "truncation": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+# Words of these signs alone are plain: printable ASCII without ' < > |, and the letters of Latin-1.
+_PLAIN = re.compile("[!-&(-;=?-{}~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9 ]|[^a-z0-9ß-öø-ÿ ]+")
+
+
+class _PlainWords:
+    """Ids of plain words: their lower-case pieces are made distinct and go to the tokenizer's model."""
+
+    def __init__(self, tokenizer):
+        from tokenizers import pre_tokenizers
+
+        signs = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {c: signs.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
+        self.model = tokenizer.model
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one word after the other, and how many each has."""
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        # A blank ends each word. It is the piece 0 and has no ids.
+        pieces = _PIECE.findall(" ".join(words).lower() + " ")
+        distinct = list(dict.fromkeys(chain([" "], pieces)))
+        number = dict(zip(distinct, range(len(distinct))))
+        numbers = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+        # The model knows the bytes of a letter by two signs; a second letter never is one of them.
+        known = " ".join(distinct[1:])
+        for letter, two in self.signs.items():
+            known = known.replace(letter, two)
+        found = [[token.id for token in self.model.tokenize(piece)] for piece in known.split(" ")]
+        flat, lengths = joined_ids([[], *found])
+        flat, lengths = gathered(flat, np.concatenate([[0], np.cumsum(lengths)]), numbers)
+        return flat, np.diff(np.cumsum(lengths)[numbers == 0], prepend=0)
+
+
+def _cuts_plainly(path: str) -> bool:
+    """Whether a tokenizer's file has _RULES, and no added token that a plain word could hold."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    return (
+        all(found[key] == value for key, value in _RULES.items())
+        and found["model"]["type"] == "BPE"
+        and not found["model"].get("dropout")
+        and not any(_PLAIN.fullmatch(token["content"]) for token in found["added_tokens"])
+    )
+
 
 class _WordIds:
     """Ids of words by a tokenizer, most of them remembered."""
@@ -52,12 +126,24 @@ class _WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = _PlainWords(self.tokenizer) if _cuts_plainly(path) else None
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.memory = IdMemory(self._encoded)
 
     def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return joined_ids(found)
+        plain = np.array([self.plain is not None and _PLAIN.fullmatch(word) is not None for word in words], bool)
+        rest = [words[i] for i in np.flatnonzero(~plain)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        if not plain.any():
+            return joined_ids(found)
+        first, n_first = self.plain.ids([words[i] for i in np.flatnonzero(plain)])
+        then, n_then = joined_ids(found)
+        # Back into the order of the words.
+        numbers = np.empty(len(words), np.int64)
+        numbers[plain] = np.arange(len(n_first))
+        numbers[~plain] = np.arange(len(n_first), len(words))
+        ends = np.cumsum(np.concatenate([[0], n_first, n_then]))
+        return gathered(np.concatenate([first, then]), ends, numbers)
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without an end id."""

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -124,3 +125,41 @@ def test_rows_of_blocks(spark):
     docs = documents(spark, [(i, "a b c") for i in range(50)])
     rows = token_files.blocks(docs.coalesce(1), PATH, block_ids=40).collect()
     assert sum(r["n_ids"] for r in rows) == 200 and all(r["n_ids"] >= 40 or r is rows[-1] for r in rows[:-1])
+
+
+def test_plain_words_do_without_the_library_s_whole_way(library):
+    """Only words with other signs than printable ASCII and Latin-1 letters are encoded one by one."""
+    rng = random.Random(2)
+    pool = "abcXYZ019.,!?&%#$*()[]{}/\\\"=~-_^`@:;+ÀÉÖØÞßàéñöøüÿ"
+    plain = ["".join(rng.choice(pool) for _ in range(rng.randrange(1, 12))) for _ in range(3000)]
+    other = ["it's", "a|b", "<|endoftext|>", "x²", "a×b", "σς", "é", "日本", "µm", "İx", "a\x1cb"]
+    words = token_files._WordIds(PATH)
+    seen = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return library.encode_batch_fast(texts, **more)
+
+    words.tokenizer = Counted()
+    for some in ([*plain, *other], plain, other, []):
+        rng.shuffle(some)
+        flat, lengths = words._encoded(some)
+        expected = [library.encode(w, add_special_tokens=False).ids for w in some]
+        assert lengths.tolist() == [len(x) for x in expected] and flat.tolist() == sum(expected, [])
+    assert sorted(seen) == sorted(other * 2)
+
+
+def test_other_rules_take_the_library_s_whole_way(tmp_path):
+    settings = json.loads(Tokenizer.from_file(PATH).to_str())
+    settings["normalizer"] = {"type": "NFC"}
+    path = str(tmp_path / "cased.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(settings, file)
+    texts = ["Plain WORDS, 12 of them", "été É"]
+    library = Tokenizer.from_file(path)
+    words = token_files._WordIds(path)
+    assert words.plain is None
+    assert [x.tolist() for x in words.ids(pa.array(texts))] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts
+    ]
